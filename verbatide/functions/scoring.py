@@ -1,8 +1,5 @@
 """Column expressions that turn word counts, logits and percentages into labels."""
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,10 +7,13 @@ from verbatide.functions import lexicons
 from verbatide.functions.text import as_column
 
 
-def keyword_hits(lowered_text, words) -> Column:
-    """How many of ``words`` occur as substrings; each counts at most once."""
-    text = as_column(lowered_text)
-    return reduce(add, [text.contains(word).cast("int") for word in words], F.lit(0))
+def keyword_hits(lowered_text: str, words) -> Column:
+    """How many of ``words`` occur as substrings of a column; each counts at most once."""
+    tests = [
+        "cast(contains({}, '{}') as int)".format(lowered_text, word.replace("'", "\\'"))
+        for word in words
+    ]
+    return F.expr(" + ".join(tests) or "0")
 
 
 def result_struct(sentiment, confidence, positive, negative, neutral, model) -> Column:

@@ -1,5 +1,8 @@
 """Column expressions on comment text. All of them stay in the JVM."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,15 +10,20 @@ from pyspark.sql import functions as F
 DELETED_MARKER = "[deleted]"
 REMOVED_MARKER = "[removed]"
 
-# Fixed value: every character that str.split() without arguments splits on.
+# Fixed value: every character but those that str.split() without arguments
+# splits on. Stated by what it contains, most frequent first: matching stops at
+# the first range that holds.
 NON_SPACE = (
-    r"[^\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+    r"[!-~\x{A1}-\x{167F}\x{0}-\x{8}\x{E}-\x{1B}\x{7F}-\x{84}\x{86}-\x{9F}\x{1681}-\x{1FFF}"
+    r"\x{200B}-\x{2027}\x{202A}-\x{202E}\x{2030}-\x{205E}\x{2060}-\x{2FFF}\x{3001}-\x{10FFFF}]"
 )
 
-# What clean_text removes, in this order.
+# What clean_text removes, in this order, and the texts without
+# which there is nothing to remove.
 URL = r"http\S+|www\S+"
-MENTION_OR_TAG = r"@\w+|#\w+"
+URL_STARTS = ("http", "www")
+MENTION_OR_TAG = r"[@#]\w+"
+MENTION_OR_TAG_STARTS = ("@", "#")
 NOT_ALPHANUMERIC = r"[^a-zA-Z0-9\s]"
 
 
@@ -42,15 +50,27 @@ def validity_flag(text) -> Column:
     return F.when(usable, "valid").otherwise("invalid")
 
 
-def clean_text(text) -> Column:
-    """Drop links, mentions, tags and punctuation; collapse white space.
+def remove_where_found(text, pattern: str, starts) -> Column:
+    """Remove a pattern, running it only on texts that hold one of its beginnings."""
+    text = as_column(text)
+    found = reduce(or_, [text.contains(start) for start in starts])
+    return F.when(found, F.regexp_replace(text, pattern, "")).otherwise(text)
+
+
+def without_links(text) -> Column:
+    return remove_where_found(text, URL, URL_STARTS)
+
+
+def without_mentions(text) -> Column:
+    return remove_where_found(text, MENTION_OR_TAG, MENTION_OR_TAG_STARTS)
+
+
+def only_alphanumeric(text) -> Column:
+    """Drop what is no ASCII letter, digit or white space; collapse white space.
 
     Neither trimmed nor lower-cased; letters outside a-z vanish.
     """
-    cleaned = as_column(text)
-    for pattern in (URL, MENTION_OR_TAG, NOT_ALPHANUMERIC):
-        cleaned = F.regexp_replace(cleaned, pattern, "")
-    return F.regexp_replace(cleaned, r"\s+", " ")
+    return F.regexp_replace(F.regexp_replace(as_column(text), NOT_ALPHANUMERIC, ""), r"\s+", " ")
 
 
 def space_separated_count(text) -> Column:

@@ -18,9 +18,22 @@ def filter_min_size(
     return kept.filter(F.col("word_count") >= min_words)
 
 
+def clean_text(df: DataFrame, text: str = "text", out: str = "text_cleaned") -> DataFrame:
+    """Without links, then mentions and tags, then all that is no letter, digit or space.
+
+    Steps are columns of their own, since each step looks at its input twice.
+    """
+    return (
+        df.withColumn("_unlinked", T.without_links(text))
+        .withColumn("_unmentioned", T.without_mentions("_unlinked"))
+        .transform(with_columns_once, {out: T.only_alphanumeric("_unmentioned")})
+        .drop("_unlinked", "_unmentioned")
+    )
+
+
 def clean_comments(df: DataFrame) -> DataFrame:
     """text_cleaned, word_count over it, and text_length of the raw text."""
-    return with_columns_once(df, {"text_cleaned": T.clean_text("text")}).withColumns(
+    return df.transform(clean_text).withColumns(
         {
             "word_count": T.space_separated_count("text_cleaned"),
             "text_length": F.col("comment_length"),

@@ -12,100 +12,114 @@ whose columns the input lacks have one row with metric ``error``.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbatide.functions import measures as M
-from verbatide.operators.statistics import moments_stddev, quantile_of
+from verbatide.operators.statistics import quantile_of, top_examples
 
-REPORT_COLUMNS = ("section", "key1", "key2", "metric", "value", "note")
+NOTE_SCHEMA = (
+    "section string, key1 string, key2 string, metric string, value double, note string"
+)
 
 # Report precision: places of confidences and correlations, and of the rest.
 FINE, COARSE = 4, 2
 
 
-def _sums(value, where=None) -> dict:
+# --- pieces of SQL: sums to be merged, and what is computed from them ---------
+
+
+def _sums(value: str, where: str | None = None, name: str | None = None) -> dict:
     """Count, sum and sum of squares of a value, optionally only where a condition holds."""
-    value = F.col(value).cast("double")
+    name = name or value
+    value = f"cast({value} as double)"
     if where is not None:
-        value = F.when(where, value)
-    return {"n": F.count(value), "sum": F.sum(value), "square": F.sum(value * value)}
+        value = f"case when {where} then {value} end"
+    return {
+        f"{name}_n": f"count({value})",
+        f"{name}_sum": f"sum({value})",
+        f"{name}_square": f"sum({value} * {value})",
+    }
 
 
-def _merged(*names) -> list:
-    return [F.sum(name).alias(name) for name in names]
+def _mean(name: str) -> str:
+    return f"{name}_sum / nullif({name}_n, 0)"
 
 
-def _entries(section: str, key1, key2, metrics: dict) -> list:
-    """One report row per metric."""
-    return [
-        F.struct(
-            F.lit(section).alias("section"),
-            key1.cast("string").alias("key1"),
-            key2.cast("string").alias("key2"),
-            F.lit(metric).alias("metric"),
-            value.cast("double").alias("value"),
-            F.lit(None).cast("string").alias("note"),
-        )
-        for metric, value in metrics.items()
-    ]
+def _spread(name: str) -> str:
+    """Sum of squared distances from the mean."""
+    return f"greatest({name}_square - {name}_sum * {name}_sum / nullif({name}_n, 0), 0.0D)"
 
 
-def _grouping_number(columns, kept) -> int:
-    """grouping_id() of a grouping set: one bit per column, 1 if it is left out."""
-    return reduce(lambda bits, name: bits * 2 + (name not in kept), columns, 0)
-
-
-def _explode_sections(grouped: DataFrame, columns, sections) -> DataFrame:
-    """Rows of each grouping set become entries of the sections that use the set."""
-    none = F.lit(None)
-    entries = [
-        F.when(
-            F.col("_set") == _grouping_number(columns, kept),
-            F.array(
-                *_entries(
-                    section,
-                    F.col(kept[0]) if kept else none,
-                    F.col(kept[1]) if len(kept) > 1 else none,
-                    metrics,
-                )
-            ),
-        )
-        for section, kept, metrics in sections
-    ]
-    filled = F.flatten(F.array_compact(F.array(*entries)))
-    return grouped.select(F.explode(filled).alias("entry")).select("entry.*")
+def _stddev(name: str) -> str:
+    """Sample standard deviation; null below two rows."""
+    return f"sqrt({_spread(name)} / nullif(greatest({name}_n - 1, 0), 0))"
 
 
-def _notes(spark, rows) -> DataFrame:
-    """Report rows known from the schema alone."""
-    return spark.createDataFrame(
-        rows, "section string, key1 string, key2 string, metric string, value double, note string"
-    )
+def _correlation(x: str, y: str, cross: str) -> str:
+    """Pearson correlation from sums over the rows where both values are known."""
+    covariance = f"({cross} - {x}_sum * {y}_sum / nullif({x}_n, 0))"
+    return f"{covariance} / nullif(sqrt({_spread(x)}) * sqrt({_spread(y)}), 0.0D)"
 
 
-def _mean(total, n) -> Column:
-    return F.col(total) / F.when(F.col(n) != 0, F.col(n))
+def _round(value: str, places: int = FINE) -> str:
+    return f"round({value}, {places})"
 
 
-def _correlation(x: str, y: str, cross: str, n: str) -> Column:
-    """Pearson correlation from sums over the rows where both values are known."""
-    n = F.col(n)
-    covariance = F.col(cross) - F.col(f"{x}_sum") * F.col(f"{y}_sum") / n
-    spread_x = F.col(f"{x}_square") - F.col(f"{x}_sum") * F.col(f"{x}_sum") / n
-    spread_y = F.col(f"{y}_square") - F.col(f"{y}_sum") * F.col(f"{y}_sum") / n
-    return F.when((spread_x > 0) & (spread_y > 0), covariance / F.sqrt(spread_x * spread_y))
+def _or_zero(value: str) -> str:
+    return f"coalesce({value}, 0.0D)"
+
+
+def _aggregates(sqls: dict) -> list:
+    return [F.expr(sql).alias(name) for name, sql in sqls.items()]
+
+
+def _merged(names) -> list:
+    return _aggregates({name: f"sum({name})" for name in names})
+
+
+# --- grouping sets and the sections made from them ----------------------------
+
+
+def _group_by_sets(df: DataFrame, keys, sets):
+    columns = {name: F.col(name) for name in keys}
+    return df.groupingSets([[columns[name] for name in kept] for kept in sets], *columns.values())
+
+
+def _set_number(keys, kept) -> int:
+    """grouping_id() of a grouping set: one bit per key, 1 if it is left out."""
+    return reduce(lambda bits, name: bits * 2 + (name not in kept), keys, 0)
+
+
+def _report_rows(grouped: DataFrame, keys, sections) -> DataFrame:
+    """Rows of a grouping set (numbered in ``_set``) to the sections that use the set.
+
+    ``sections`` holds (section, kept keys, {metric: SQL}).
+    """
+    arrays = []
+    for section, kept, metrics in sections:
+        key1, key2 = [*kept, "null", "null"][:2]
+        rows = [
+            f"named_struct('section', '{section}', 'key1', cast({key1} as string), "
+            f"'key2', cast({key2} as string), 'metric', '{metric}', "
+            f"'value', cast({value} as double), 'note', cast(null as string))"
+            for metric, value in metrics.items()
+        ]
+        arrays.append(
+            f"case when _set = {_set_number(keys, kept)} then array({', '.join(rows)}) end"
+        )
+    filled = f"flatten(array_compact(array({', '.join(arrays)})))"
+    return grouped.select(F.inline(F.expr(filled)))
 
 
 def comprehensive_report(
     df: DataFrame, time_col: str = "created_utc", bands=M.CONFIDENCE_BANDS
 ) -> DataFrame:
     """Distribution, confidence, lengths, correlations, times and models of scored comments."""
-    has_lengths = {"text_length", "word_count"} <= set(df.columns)
-    has_text_length = "text_length" in df.columns
+    has_length = "text_length" in df.columns
+    has_words = has_length and "word_count" in df.columns
     has_time = time_col in df.columns
     has_model = "model_version" in df.columns
-
     parts = M.time_parts(time_col) if has_time else {}
     absent = F.lit(None)
     keys = ("sentiment", "confidence_range", "model_version", "hour", "day_of_week")
@@ -116,51 +130,47 @@ def comprehensive_report(
         parts.get("hour", absent.cast("int")).alias("hour"),
         parts.get("day_of_week", absent.cast("int")).alias("day_of_week"),
         F.round("confidence", FINE).alias("_value"),
-        F.col("confidence").cast("double").alias("conf"),
-        (F.col("text_length") if has_text_length else absent).cast("double").alias("length"),
-        (F.col("word_count") if has_lengths else absent).cast("double").alias("words"),
+        F.col("confidence").alias("conf"),
+        (F.col("text_length") if has_length else absent.cast("int")).alias("length"),
+        (F.col("word_count") if has_words else absent.cast("int")).alias("words"),
     )
 
     # The profile: per combination of keys, and per confidence value (for the
     # quartiles). Two short rows leave each input row, and they are combined
     # before the only shuffle that grows with the input at all.
-    with_length = F.col("conf").isNotNull() & F.col("length").isNotNull()
-    with_words = F.col("conf").isNotNull() & F.col("words").isNotNull()
-    sums = {
-        "conf": _sums("conf"), "length": _sums("length"), "words": _sums("words"),
-        "lc_conf": _sums("conf", with_length), "lc_length": _sums("length", with_length),
-        "wc_conf": _sums("conf", with_words), "wc_words": _sums("words", with_words),
+    additive = {
+        "rows": "count(1)",
+        **_sums("conf"),
+        **_sums("length"),
+        **_sums("words"),
+        # For the correlations: sums over rows where both values are known.
+        **_sums("conf", "length is not null", "lc_conf"),
+        **_sums("length", "conf is not null", "lc_length"),
+        "lc_cross": "sum(conf * length)",
+        **_sums("conf", "words is not null", "wc_conf"),
+        **_sums("words", "conf is not null", "wc_words"),
+        "wc_cross": "sum(conf * words)",
+    }
+    extremes = {
+        f"{name}_{end}": f"{end}({name})" for name in ("conf", "length") for end in ("min", "max")
     }
-    additive = {f"{name}_{part}": c for name, s in sums.items() for part, c in s.items()}
-    additive["rows"] = F.count(F.lit(1))
-    additive["lc_cross"] = F.sum(F.col("conf") * F.col("length"))
-    additive["wc_cross"] = F.sum(F.col("conf") * F.col("words"))
-    extremes = ("conf_min", "conf_max", "length_min", "length_max")
-    grain = [F.col(name) for name in (*keys, "_value")]
-    profile = narrow.groupingSets(
-        [[F.col(name) for name in keys], [F.col("_value")]], *grain
-    ).agg(
-        (F.grouping("_value") == 0).alias("_by_value"),
-        *[column.alias(name) for name, column in additive.items()],
-        F.min("conf").alias("conf_min"),
-        F.max("conf").alias("conf_max"),
-        F.min("length").alias("length_min"),
-        F.max("length").alias("length_max"),
+    profile = _group_by_sets(narrow, (*keys, "_value"), [keys, ("_value",)]).agg(
+        F.expr("grouping(_value) = 0").alias("_by_value"), *_aggregates({**additive, **extremes})
     )
 
-    # From here on all rows are those of the profile.
-    by_value = Window.partitionBy("_by_value").orderBy("_value")
-    profile = profile.withColumns(
-        {
-            "_reached": F.when(
-                F.col("_by_value"),
-                F.sum("conf_n").over(by_value.rowsBetween(Window.unboundedPreceding, 0)),
-            ),
-            "_total": F.sum("conf_n").over(Window.partitionBy("_by_value")),
-        }
-    ).withColumns(
-        # The rows per confidence value serve the quartiles only.
-        {name: F.when(~F.col("_by_value"), F.col(name)) for name in (*additive, *extremes)}
+    # From here on all rows are those of the profile. Its rows per confidence
+    # value serve the quartiles only.
+    by_value = Window.partitionBy("_by_value")
+    running = by_value.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    profile = profile.select(
+        *keys,
+        "_value",
+        F.when(F.col("_by_value"), F.sum("conf_n").over(running)).alias("_reached"),
+        F.sum("conf_n").over(by_value).alias("_total"),
+        *[
+            F.expr(f"case when not _by_value then {name} end").alias(name)
+            for name in (*additive, *extremes)
+        ],
     )
     sets = [
         (),
@@ -171,127 +181,93 @@ def comprehensive_report(
         ("model_version",),
         ("sentiment", "model_version"),
     ]
-    everything = F.max(
-        F.when(F.col("_set") == _grouping_number(keys, ()), F.col("rows"))
-    ).over(Window.partitionBy())
+    whole = _set_number(keys, ())
     grouped = (
-        profile.groupingSets(
-            [[F.col(name) for name in kept] for kept in sets], *[F.col(name) for name in keys]
-        )
+        _group_by_sets(profile, keys, sets)
         .agg(
             F.grouping_id().alias("_set"),
-            *_merged(*additive),
-            *[(F.min if name.endswith("min") else F.max)(name).alias(name) for name in extremes],
+            *_merged(additive),
+            *_aggregates({name: f"{name[-3:]}({name})" for name in extremes}),
             quantile_of(0.5).alias("median"),
             quantile_of(0.25).alias("q1"),
             quantile_of(0.75).alias("q3"),
         )
-        .filter((F.col("rows") > 0) | (F.col("_set") == _grouping_number(keys, ())))
+        .filter(f"rows > 0 or _set = {whole}")
         .withColumn("rows", F.coalesce("rows", F.lit(0)))
-        .withColumn("_everything", everything)
+        .withColumn("_everything", F.expr(f"max(case when _set = {whole} then rows end) over ()"))
     )
 
-    mean_confidence = F.round(_mean("conf_sum", "conf_n"), FINE)
-    confidence_spread = moments_stddev("conf_n", "conf_sum", "conf_square")
-    length_spread = F.round(moments_stddev("length_n", "length_sum", "length_square"), COARSE)
-    mean_length = F.round(_mean("length_sum", "length_n"), COARSE)
-    length_extremes = {"min": F.col("length_min"), "max": F.col("length_max")}
-    rows = F.col("rows")
+    mean_confidence = _round(_mean("conf"))
+    mean_length, length_stddev = _round(_mean("length"), COARSE), _round(_stddev("length"), COARSE)
+    count = {"count": "rows"}
     sections = [
-        ("metadata", (), {"total_records": rows}),
+        ("metadata", (), {"total_records": "rows"}),
         (
             "sentiment_distribution",
             ("sentiment",),
-            {"count": rows, "percentage": F.round(rows * 100.0 / F.col("_everything"), COARSE)},
+            {**count, "percentage": _round("rows * 100.0D / _everything", COARSE)},
         ),
         (
             "confidence_statistics",
             (),
             {
                 "average": mean_confidence,
-                "minimum": F.round("conf_min", FINE),
-                "maximum": F.round("conf_max", FINE),
-                "std_deviation": F.round(confidence_spread, FINE),
-                "median": F.col("median"),
-                "q1": F.col("q1"),
-                "q3": F.col("q3"),
+                "minimum": _round("conf_min"),
+                "maximum": _round("conf_max"),
+                "std_deviation": _round(_stddev("conf")),
+                "median": "median",
+                "q1": "q1",
+                "q3": "q3",
             },
         ),
-        ("confidence_range_distribution", ("sentiment", "confidence_range"), {"count": rows}),
+        ("confidence_range_distribution", ("sentiment", "confidence_range"), count),
         (
             "average_confidence_by_sentiment",
             ("sentiment",),
-            {"average_confidence": mean_confidence, "sample_size": rows},
+            {"average_confidence": mean_confidence, "sample_size": "rows"},
         ),
     ]
     missing = []
-    if has_text_length:
-        sections.append(
-            (
-                "text_length_statistics",
-                (),
-                {
-                    "average": mean_length,
-                    "minimum": length_extremes["min"],
-                    "maximum": length_extremes["max"],
-                    "std_deviation": length_spread,
-                },
-            )
-        )
-    if has_lengths:
-        sections += [
-            (
-                "length_by_sentiment",
-                ("sentiment",),
-                {
-                    "avg_text_length": mean_length,
-                    "avg_word_count": F.round(_mean("words_sum", "words_n"), COARSE),
-                    "min_text_length": length_extremes["min"],
-                    "max_text_length": length_extremes["max"],
-                    "stddev_text_length": length_spread,
-                },
-            ),
-            (
-                "correlations",
-                (),
-                {
-                    "text_length_confidence": F.round(
-                        _correlation("lc_conf", "lc_length", "lc_cross", "lc_conf_n"), FINE
-                    ),
-                    "word_count_confidence": F.round(
-                        _correlation("wc_conf", "wc_words", "wc_cross", "wc_conf_n"), FINE
-                    ),
-                },
-            ),
-        ]
+    if has_length:
+        lengths = {
+            "average": mean_length,
+            "minimum": "length_min",
+            "maximum": "length_max",
+            "std_deviation": length_stddev,
+        }
+        sections.append(("text_length_statistics", (), lengths))
+    if has_words:
+        by_label = {
+            "avg_text_length": mean_length,
+            "avg_word_count": _round(_mean("words"), COARSE),
+            "min_text_length": "length_min",
+            "max_text_length": "length_max",
+            "stddev_text_length": length_stddev,
+        }
+        correlations = {
+            "text_length_confidence": _round(_correlation("lc_conf", "lc_length", "lc_cross")),
+            "word_count_confidence": _round(_correlation("wc_conf", "wc_words", "wc_cross")),
+        }
+        sections.append(("length_by_sentiment", ("sentiment",), by_label))
+        sections.append(("correlations", (), correlations))
     else:
         missing.append(("text_analysis", "text_length or word_count not found"))
     if has_time:
-        sections += [
-            ("hourly_sentiment_distribution", ("sentiment", "hour"), {"count": rows}),
-            ("daily_sentiment_distribution", ("sentiment", "day_of_week"), {"count": rows}),
-        ]
+        sections.append(("hourly_sentiment_distribution", ("sentiment", "hour"), count))
+        sections.append(("daily_sentiment_distribution", ("sentiment", "day_of_week"), count))
     else:
         missing.append(("temporal_analysis", f"{time_col} not found"))
     if has_model:
-        sections += [
-            (
-                "model_usage_statistics",
-                ("model_version",),
-                {
-                    "usage_count": rows,
-                    "average_confidence": mean_confidence,
-                    "confidence_stddev": F.round(
-                        F.coalesce(confidence_spread, F.lit(0.0)), FINE
-                    ),
-                },
-            ),
-            (
-                "model_sentiment_performance",
-                ("sentiment", "model_version"),
-                {"count": rows, "avg_confidence": mean_confidence},
-            ),
-        ]
+        usage = {
+            "usage_count": "rows",
+            "average_confidence": mean_confidence,
+            "confidence_stddev": _round(_or_zero(_stddev("conf"))),
+        }
+        performance = {**count, "avg_confidence": mean_confidence}
+        sections.append(("model_usage_statistics", ("model_version",), usage))
+        sections.append(
+            ("model_sentiment_performance", ("sentiment", "model_version"), performance)
+        )
     else:
         missing.append(("model_performance", "model_version not found"))
 
@@ -299,83 +275,76 @@ def comprehensive_report(
         ("metadata", name, None, "data_column", float(i), None)
         for i, name in enumerate(df.columns)
     ] + [(section, None, None, "error", None, note) for section, note in missing]
-    return _explode_sections(grouped, keys, sections).unionByName(_notes(df.sparkSession, known))
+    return _report_rows(grouped, keys, sections).unionByName(
+        df.sparkSession.createDataFrame(known, NOTE_SCHEMA)
+    )
+
+
+def _summed_report(df: DataFrame, keys, sets, additive: dict, extremes: dict, sections):
+    """A report from one pass: reduce to the keys' combinations, then to each set."""
+    profile = df.groupBy(*keys).agg(*_aggregates({**additive, **extremes}))
+    names = profile.columns[: len(keys)]
+    grouped = _group_by_sets(profile, names, sets).agg(
+        F.grouping_id().alias("_set"),
+        *_merged(additive),
+        *_aggregates({name: f"{name[-3:]}({name})" for name in extremes}),
+    )
+    rows = grouped.withColumn("rows", F.coalesce("rows", F.lit(0)))
+    return _report_rows(rows, names, sections)
 
 
 def dashboard(df: DataFrame, time_col: str = "created_utc") -> DataFrame:
     """Totals, label counts, confidence histogram and hourly trend, in one pass."""
-    has_time = time_col in df.columns
-    hour = M.time_parts(time_col)["hour"] if has_time else F.lit(None).cast("int")
-    keys = ("sentiment", "bucket", "hour")
-    profile = df.groupBy(
-        "sentiment", M.confidence_bucket("confidence").alias("bucket"), hour.alias("hour")
-    ).agg(
-        F.count("*").alias("rows"),
-        F.count("confidence").alias("known"),
-        F.sum("confidence").alias("total"),
-    )
-    sets = [(), ("sentiment",), ("bucket",), ("sentiment", "hour")]
-    grouped = profile.groupingSets(
-        [[F.col(name) for name in kept] for kept in sets], *[F.col(name) for name in keys]
-    ).agg(F.grouping_id().alias("_set"), *_merged("rows", "known", "total"))
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    average = F.round(F.coalesce(_mean("total", "known"), F.lit(0.0)), FINE)
+    keys = ["sentiment", M.confidence_bucket("confidence").alias("bucket")]
+    sets = [(), ("sentiment",), ("bucket",)]
+    totals = {"total_comments": "rows", "average_confidence": _round(_or_zero(_mean("confidence")))}
+    count = {"count": "rows"}
     sections = [
-        ("summary_metrics", (), {"total_comments": rows, "average_confidence": average}),
-        ("sentiment_distribution", ("sentiment",), {"count": rows}),
-        ("confidence_histogram", ("bucket",), {"count": rows}),
+        ("summary_metrics", (), totals),
+        ("sentiment_distribution", ("sentiment",), count),
+        ("confidence_histogram", ("bucket",), count),
     ]
-    if has_time:
-        sections.append(("hourly_trends", ("sentiment", "hour"), {"count": rows}))
-    return _explode_sections(grouped, keys, sections)
+    if time_col in df.columns:
+        keys.append(M.time_parts(time_col)["hour"].alias("hour"))
+        sets.append(("sentiment", "hour"))
+        sections.append(("hourly_trends", ("sentiment", "hour"), count))
+    additive = {"rows": "count(1)", **_sums("confidence")}
+    return _summed_report(df, keys, sets, additive, {}, sections)
 
 
 def sentiment_summary(df: DataFrame) -> DataFrame:
     """Counts by label and model, confidence described, mean lengths by label, total."""
-    keys = ("sentiment", "model_version")
-    sums = {name: _sums(name) for name in ("confidence", "text_length", "word_count")}
-    additive = {f"{name}_{part}": c for name, s in sums.items() for part, c in s.items()}
-    additive["rows"] = F.count(F.lit(1))
-    profile = df.groupBy(*keys).agg(
-        *[column.alias(name) for name, column in additive.items()],
-        F.min("confidence").alias("low"),
-        F.max("confidence").alias("high"),
-    )
-    grouped = profile.groupingSets(
-        [[], [F.col("sentiment")], [F.col("model_version")]], *[F.col(name) for name in keys]
-    ).agg(
-        F.grouping_id().alias("_set"),
-        *_merged(*additive),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-    )
-    rows = F.coalesce(F.col("rows"), F.lit(0))
-    spread = moments_stddev("confidence_n", "confidence_sum", "confidence_square")
+    names = ("confidence", "text_length", "word_count")
+    additive = {"rows": "count(1)"}
+    for name in names:
+        additive.update(_sums(name))
+    described = {
+        "count": "coalesce(confidence_n, 0)",
+        "mean": _round(_mean("confidence")),
+        "stddev": _round(_stddev("confidence")),
+        "min": "confidence_min",
+        "max": "confidence_max",
+    }
+    lengths = {
+        "avg_text_length": _round(_mean("text_length"), COARSE),
+        "avg_word_count": _round(_mean("word_count"), COARSE),
+    }
+    count = {"count": "rows"}
     sections = [
-        ("total_processed", (), {"count": rows}),
-        ("sentiment_distribution", ("sentiment",), {"count": rows}),
-        (
-            "confidence_statistics",
-            (),
-            {
-                "count": F.coalesce(F.col("confidence_n"), F.lit(0)),
-                "mean": F.round(_mean("confidence_sum", "confidence_n"), FINE),
-                "stddev": F.round(spread, FINE),
-                "min": F.col("low"),
-                "max": F.col("high"),
-            },
-        ),
-        ("model_usage", ("model_version",), {"count": rows}),
-        (
-            "length_sentiment_correlation",
-            ("sentiment",),
-            {
-                "avg_text_length": F.round(_mean("text_length_sum", "text_length_n"), COARSE),
-                "avg_word_count": F.round(_mean("word_count_sum", "word_count_n"), COARSE),
-            },
-        ),
+        ("total_processed", (), count),
+        ("sentiment_distribution", ("sentiment",), count),
+        ("confidence_statistics", (), described),
+        ("model_usage", ("model_version",), count),
+        ("length_sentiment_correlation", ("sentiment",), lengths),
     ]
-    return _explode_sections(grouped, keys, sections)
+    return _summed_report(
+        df,
+        ("sentiment", "model_version"),
+        [(), ("sentiment",), ("model_version",)],
+        additive,
+        {"confidence_min": "min(confidence)", "confidence_max": "max(confidence)"},
+        sections,
+    )
 
 
 def results_analysis(df: DataFrame, example=None) -> DataFrame:
@@ -385,43 +354,21 @@ def results_analysis(df: DataFrame, example=None) -> DataFrame:
     The statistics come from one pass. The examples come from a second one,
     as they need whole rows, of which each task keeps three per label.
     """
-    from verbatide.operators.statistics import top_examples
-
-    keys = ("sentiment_label",)
-    names = ("confidence_score", "comment_length", "word_count", "score")
-    sums = {name: _sums(name) for name in names}
-    additive = {f"{name}_{part}": c for name, s in sums.items() for part, c in s.items()}
-    additive["rows"] = F.count(F.lit(1))
-    profile = df.groupBy(*keys).agg(*[c.alias(name) for name, c in additive.items()])
-    grouped = profile.groupingSets([[], [F.col(keys[0])]], F.col(keys[0])).agg(
-        F.grouping_id().alias("_set"), *_merged(*additive)
-    )
-
-    def mean_or_zero(name):
-        return F.round(F.coalesce(_mean(f"{name}_sum", f"{name}_n"), F.lit(0.0)), FINE)
-
-    length_spread = moments_stddev(
-        "comment_length_n", "comment_length_sum", "comment_length_square"
-    )
-    rows = F.coalesce(F.col("rows"), F.lit(0))
+    additive = {"rows": "count(1)"}
+    for name in ("confidence_score", "comment_length", "word_count", "score"):
+        additive.update(_sums(name))
+    statistics = {
+        "avg_length": _round(_or_zero(_mean("comment_length"))),
+        "std_length": _round(_or_zero(_stddev("comment_length"))),
+        "avg_words": _round(_or_zero(_mean("word_count"))),
+        "avg_score": _round(_or_zero(_mean("score"))),
+    }
+    label = ("sentiment_label",)
     sections = [
-        ("pipeline_metadata", (), {"total_comments": rows}),
-        ("sentiment_distribution", keys, {"count": rows}),
-        (
-            "average_confidence",
-            keys,
-            {"mean": F.round(_mean("confidence_score_sum", "confidence_score_n"), FINE)},
-        ),
-        (
-            "text_statistics",
-            (),
-            {
-                "avg_length": mean_or_zero("comment_length"),
-                "std_length": F.round(F.coalesce(length_spread, F.lit(0.0)), FINE),
-                "avg_words": mean_or_zero("word_count"),
-                "avg_score": mean_or_zero("score"),
-            },
-        ),
+        ("pipeline_metadata", (), {"total_comments": "rows"}),
+        ("sentiment_distribution", label, {"count": "rows"}),
+        ("average_confidence", label, {"mean": _round(_mean("confidence_score"))}),
+        ("text_statistics", (), statistics),
     ]
     examples = top_examples(df, example=example).select(
         F.lit("top_examples").alias("section"),
@@ -431,4 +378,4 @@ def results_analysis(df: DataFrame, example=None) -> DataFrame:
         F.col("confidence_score").alias("value"),
         F.col("text").alias("note"),
     )
-    return _explode_sections(grouped, keys, sections).unionByName(examples)
+    return _summed_report(df, label, [(), label], additive, {}, sections).unionByName(examples)

@@ -4,15 +4,22 @@ import time
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatide.operators.ingest import filter_valid, ingest
+from verbatide.operators.ingest import filter_valid, ingest, retention_counts
 from verbatide.operators.preprocess import preprocess_text
 from verbatide.operators.sentiment import score_comments
 from verbatide.operators.statistics import ingestion_stats
 from verbatide.plans.report import comprehensive_report, dashboard, sentiment_summary
-from verbatide.sinks.tables import append_run, save_partitioned, save_report, save_sentiment, save_table
+from verbatide.sinks.tables import (
+    append_run,
+    save_json,
+    save_partitioned,
+    save_report,
+    save_sentiment,
+    save_table,
+)
 from verbatide.sources.files import read_results, scan_batch, scan_comments
 
 RUN_SCHEMA = (
@@ -53,31 +60,29 @@ class RunRecord:
 
 
 def ingest_stage(spark: SparkSession, settings: RunSettings, run_id: str, run_ts=None) -> dict:
-    """Stage 1. Totals are observed on the unfiltered rows while they are written."""
+    """Stage 1: parse the raw files once and keep every row, by validity.
+
+    Later stages read the valid folder only. The statistics cover all rows;
+    they come from the few columns they need of the stored table.
+    """
     if settings.batch_mode:
         raw = scan_batch(spark, settings.comments, run_id, settings.file_pattern)
     else:
         raw = scan_comments(spark, settings.comments, text_fallback=True)
-    seen = Observation()
-    flagged = ingest(raw, run_ts).observe(
-        seen,
-        F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("is_valid") == "valid").alias("valid"),
-    )
-    save_table(filter_valid(flagged), settings.path("processed"))
+    save_partitioned(ingest(raw, run_ts), settings.path("processed"), ["is_valid"])
+    stored = spark.read.parquet(settings.path("processed"))
+    save_json(ingestion_stats(stored), settings.path("ingestion_statistics"), single_file=True)
     if settings.create_partitions:
-        # From the stored table, so the raw files are parsed once.
-        save_partitioned(
-            spark.read.parquet(settings.path("processed")), settings.path("processed_partitioned")
-        )
-    return seen.get
+        save_partitioned(filter_valid(stored), settings.path("processed_partitioned"))
+    counts = retention_counts(stored).first()
+    return {"records": counts["total"], "valid": counts["retained"]}
 
 
 def score_stage(spark: SparkSession, settings: RunSettings, run_ts=None) -> dict:
-    """Stage 2."""
-    seen = Observation()
+    """Stage 2: the scored table, and a summary of it."""
     scored = (
         spark.read.parquet(settings.path("processed"))
+        .transform(filter_valid)
         .transform(
             preprocess_text,
             min_words=settings.min_words,
@@ -85,14 +90,11 @@ def score_stage(spark: SparkSession, settings: RunSettings, run_ts=None) -> dict
             max_length=settings.max_text_length,
         )
         .transform(score_comments, run_ts=run_ts)
-        .observe(seen, F.count(F.lit(1)).alias("records"))
     )
     save_sentiment(scored, settings.path("sentiment"), settings.include_original_text)
-    save_report(
-        sentiment_summary(spark.read.parquet(settings.path("sentiment"))),
-        settings.path("summary_report"),
-    )
-    return {**seen.get, "valid": None}
+    stored = spark.read.parquet(settings.path("sentiment"))
+    save_report(sentiment_summary(stored), settings.path("summary_report"))
+    return {"records": stored.count(), "valid": None}
 
 
 def analytics_stage(spark: SparkSession, settings: RunSettings) -> dict:
@@ -141,8 +143,3 @@ def run_stages(spark: SparkSession, settings: RunSettings, run_id: str, run_ts=N
     record.end_time = _now()
     append_run(run_record(spark, record), settings.path("run_log"))
     return record
-
-
-def ingestion_report(spark: SparkSession, settings: RunSettings, run_ts=None) -> DataFrame:
-    """Statistics of all ingested rows, valid or not."""
-    return ingestion_stats(ingest(scan_comments(spark, settings.comments), run_ts))

@@ -14,6 +14,7 @@ from verbatide.functions import scoring as S
 from verbatide.operators import ingest as I
 from verbatide.operators import preprocess as P
 from verbatide.operators import sentiment as U
+from verbatide.operators.ordering import spread
 
 RUN_TS = "2024-03-01 12:00:00"
 JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *keys) -> DataFrame:
+    return spread(table(spark, sf_dir, name), *keys)
+
+
 def _number(column) -> F.Column:
     return F.col(column).cast("string")
 
@@ -36,7 +41,7 @@ def _case(number, texts) -> F.Column:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir, "documents", "doc_id")
     events = table(spark, sf_dir, "events")
     text = F.col("text")
     user = F.concat(F.lit("user_"), _number("user_id"))
@@ -251,7 +256,7 @@ def threads(spark, sf_dir) -> DataFrame:
     )
     top = entry(node("-a", role, text, turn * 2, turn), listing(reply, more))
     sibling = entry(node("-d", role, F.lit("bye"), F.lit(1), turn), none)
-    return table(spark, sf_dir, "conversations").select(
+    return texts(spark, sf_dir, "conversations", "conv_id", "turn").select(
         key.alias("thread"), listing(top, sibling).alias("document")
     )
 

@@ -268,8 +268,8 @@ def a22(spark, sf_dir):
 
 
 REPORT_COLUMNS = [
-    "id", "author", "text", "score", "depth", "created_utc", "subreddit", "post_id",
-    "processing_timestamp", "record_id", "comment_length", "is_valid", "text_cleaned",
+    "id", "author", "score", "depth", "created_utc", "subreddit", "post_id",
+    "processing_timestamp", "comment_length", "record_id", "text", "is_valid", "text_cleaned",
     "word_count", "text_length", "sentiment", "confidence", "positive_prob", "negative_prob",
     "neutral_prob", "model_version",
 ]

@@ -322,7 +322,7 @@ REPORT_ROWS = (
 
 
 def read_report(spark, path):
-    document = spark.read.option("wholetext", True).text(path)
+    document = spark.read.text(path, wholetext=True)
     return (
         document.select(F.explode(F.from_json("value", REPORT_ROWS)).alias("section", "rows"))
         .select("section", F.explode("rows").alias("row"))

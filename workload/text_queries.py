@@ -337,7 +337,7 @@ def p22(spark, sf_dir):
     from encoded""",
 )
 def p23(spark, sf_dir):
-    documents = X.table(spark, sf_dir, "documents")
+    documents = X.texts(spark, sf_dir, "documents", "doc_id")
     vocabulary = E.build_vocabulary(documents)
     return E.encode_tokens(documents, vocabulary, 50, key="doc_id").select(
         "doc_id",
