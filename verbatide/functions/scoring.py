@@ -62,26 +62,30 @@ def keyword_result(balance, model: str = lexicons.KEYWORD_MODEL) -> Column:
     )
 
 
-def rule_label(tally, has_question, words) -> Column:
-    """Label of the rule scorer. ``tally`` is positive - negative - negation / 2."""
+def rule_label(tally, has_question, is_long) -> Column:
+    """Label of the rule scorer. ``tally`` is positive - negative - negation / 2.
+
+    ``is_long`` (more than 50 words) matters only where neither words nor
+    question cues decide.
+    """
     tally = as_column(tally)
     return (
         F.when(tally > 0.5, "Positive")
         .when(tally < -0.5, "Negative")
         .when(as_column(has_question), "Neutral")
-        .when(as_column(words) > 50, "Negative")
+        .when(as_column(is_long), "Negative")
         .otherwise("Positive")
     )
 
 
-def rule_confidence(tally, has_question, words) -> Column:
+def rule_confidence(tally, has_question, is_long) -> Column:
     """Percentage that goes with :func:`rule_label`."""
     tally = as_column(tally)
     decided = F.least(F.lit(65.0) + F.abs(tally) * F.lit(8.0), F.lit(92.0))
     return (
         F.when(F.abs(tally) > 0.5, decided)
         .when(as_column(has_question), F.lit(55.0))
-        .when(as_column(words) > 50, F.lit(58.0))
+        .when(as_column(is_long), F.lit(58.0))
         .otherwise(F.lit(62.0))
     )
 

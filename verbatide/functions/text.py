@@ -24,7 +24,7 @@ URL = r"http\S+|www\S+"
 URL_STARTS = ("http", "www")
 MENTION_OR_TAG = r"[@#]\w+"
 MENTION_OR_TAG_STARTS = ("@", "#")
-NOT_ALPHANUMERIC = r"[^a-zA-Z0-9\s]"
+NOT_ALPHANUMERIC = r"[^\p{Alnum}\s]"
 
 
 def as_column(value) -> Column:

@@ -77,7 +77,8 @@ def score_rules(
     lexicon: lexicons.Lexicon = lexicons.RULES,
 ) -> DataFrame:
     """Rule scorer: words, negation cues, then question cues and length for the rest."""
-    evidence = ("_tally", "_question", "_words")
+    evidence = ("_tally", "_question", "_long")
+    undecided = (F.abs("_tally") <= 0.5) & ~F.col("_question")
     return (
         df.withColumn("_lowered", F.lower(F.coalesce(F.col(text_col), F.lit(""))))
         .withColumns(
@@ -86,9 +87,10 @@ def score_rules(
                 - S.keyword_hits("_lowered", lexicon.negative)
                 - S.keyword_hits("_lowered", lexicon.negation) * F.lit(0.5),
                 "_question": S.keyword_hits("_lowered", lexicon.question) > 0,
-                "_words": T.word_count("_lowered"),
             }
         )
+        # Words are counted only where nothing else decides.
+        .withColumn("_long", F.when(undecided, T.word_count("_lowered") > 50))
         .transform(
             with_columns_once,
             {

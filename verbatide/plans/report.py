@@ -86,6 +86,18 @@ def _group_by_sets(df: DataFrame, keys, sets):
     return df.groupingSets([[columns[name] for name in kept] for kept in sets], *columns.values())
 
 
+def _never_empty(profile: DataFrame) -> DataFrame:
+    """Add a row without values, so that an empty table has its totals reported too."""
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in profile.schema]
+    return profile.unionAll(profile.sparkSession.range(1).select(*blank))
+
+
+def _known_groups(grouped: DataFrame, keys) -> DataFrame:
+    """Groups that have rows, and the whole table even if it has none."""
+    counted = grouped.withColumn("rows", F.coalesce("rows", F.lit(0)))
+    return counted.filter(f"rows > 0 or _set = {_set_number(keys, ())}")
+
+
 def _set_number(keys, kept) -> int:
     """grouping_id() of a grouping set: one bit per key, 1 if it is left out."""
     return reduce(lambda bits, name: bits * 2 + (name not in kept), keys, 0)
@@ -183,7 +195,7 @@ def comprehensive_report(
     ]
     whole = _set_number(keys, ())
     grouped = (
-        _group_by_sets(profile, keys, sets)
+        _group_by_sets(_never_empty(profile), keys, sets)
         .agg(
             F.grouping_id().alias("_set"),
             *_merged(additive),
@@ -192,8 +204,7 @@ def comprehensive_report(
             quantile_of(0.25).alias("q1"),
             quantile_of(0.75).alias("q3"),
         )
-        .filter(f"rows > 0 or _set = {whole}")
-        .withColumn("rows", F.coalesce("rows", F.lit(0)))
+        .transform(_known_groups, keys)
         .withColumn("_everything", F.expr(f"max(case when _set = {whole} then rows end) over ()"))
     )
 
@@ -284,13 +295,12 @@ def _summed_report(df: DataFrame, keys, sets, additive: dict, extremes: dict, se
     """A report from one pass: reduce to the keys' combinations, then to each set."""
     profile = df.groupBy(*keys).agg(*_aggregates({**additive, **extremes}))
     names = profile.columns[: len(keys)]
-    grouped = _group_by_sets(profile, names, sets).agg(
+    grouped = _group_by_sets(_never_empty(profile), names, sets).agg(
         F.grouping_id().alias("_set"),
         *_merged(additive),
         *_aggregates({name: f"{name[-3:]}({name})" for name in extremes}),
     )
-    rows = grouped.withColumn("rows", F.coalesce("rows", F.lit(0)))
-    return _report_rows(rows, names, sections)
+    return _report_rows(_known_groups(grouped, names), names, sections)
 
 
 def dashboard(df: DataFrame, time_col: str = "created_utc") -> DataFrame:

@@ -32,79 +32,62 @@ def _number(column) -> F.Column:
     return F.col(column).cast("string")
 
 
-def _case(number, texts) -> F.Column:
-    chosen = None
-    for i, text in enumerate(texts):
-        condition = number == i
-        chosen = F.when(condition, text) if chosen is None else chosen.when(condition, text)
-    return chosen
+def _case(number: str, texts) -> str:
+    return f"case {number} " + " ".join(f"when {i} then {t}" for i, t in enumerate(texts)) + " end"
+
+
+LONG_TEXTS = [
+    "text",
+    "concat(text, ' good great love https://x.example/a?b=1 @bob #tag')",
+    "concat('this is bad and awful, ', text)",
+    "concat(text, ' what a great, excellent, amazing and fantastic day')",
+    "concat(text, ' I can\\'t like this, why?')",
+    "concat('worst: ', text, ' [removed] it')",
+]
+SHORT_TEXTS = [
+    "cast(null as string)",
+    "''",
+    "'   '",
+    "'[deleted]'",
+    "'[removed]'",
+    "'ok'",
+    "'I dislike this but why?'",
+    "concat('good great #win ', event_type)",
+    "concat('bad terrible awful hate ', props)",
+    "concat(event_type, ' was fantastic, thanks @user_', user_id)",
+    "concat('nothing works, see http://x.example/', event_id)",
+    "concat(event_type, '\\t\\r\\n', props)",
+]
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = texts(spark, sf_dir, "documents", "doc_id")
     events = table(spark, sf_dir, "events")
-    text = F.col("text")
-    user = F.concat(F.lit("user_"), _number("user_id"))
     about_event = [
-        F.col("user_id"),
-        F.floor("value").cast("int").alias("score"),
-        (F.col("event_id") % 6).cast("int").alias("depth"),
-        F.col("ts").cast("timestamp").alias("created_utc"),
+        "cast(floor(value) as int) as score",
+        "cast(event_id % 6 as int) as depth",
+        "cast(ts as timestamp) as created_utc",
     ]
-    columns = ["id", "author", "text", "score", "depth", "created_utc", "subreddit", "post_id"]
-    long_texts = (
-        documents.join(
-            events.select(F.col("event_id").alias("doc_id"), *about_event), "doc_id", "left"
-        )
-        .withColumn("id", F.concat(F.lit("d"), _number("doc_id")))
-        .withColumn("author", user)
-        .withColumn("post_id", F.concat(F.lit("p"), (F.col("doc_id") % 100).cast("string")))
-        .withColumn("subreddit", F.col("source"))
-        .withColumn(
-            "text",
-            _case(
-                F.col("doc_id") % 6,
-                [
-                    text,
-                    F.concat(text, F.lit(" good great love https://x.example/a?b=1 @bob #tag")),
-                    F.concat(F.lit("this is bad and awful, "), text),
-                    F.concat(text, F.lit(" what a great, excellent, amazing and fantastic day")),
-                    F.concat(text, F.lit(" I can't like this, why?")),
-                    F.concat(F.lit("worst: "), text, F.lit(" [removed] it")),
-                ],
-            ),
-        )
-        .select(columns)
+    of_event = events.selectExpr("event_id as doc_id", "user_id", *about_event)
+    long_texts = documents.join(of_event, "doc_id", "left").selectExpr(
+        "concat('d', doc_id) as id",
+        "concat('user_', user_id) as author",
+        f"{_case('doc_id % 6', LONG_TEXTS)} as text",
+        "score",
+        "depth",
+        "created_utc",
+        "source as subreddit",
+        "concat('p', doc_id % 100) as post_id",
     )
-    kind, props = F.col("event_type"), F.col("props")
-    short_texts = (
-        events.withColumn("id", F.concat(F.lit("e"), _number("event_id")))
-        .withColumn("author", F.when(F.col("event_id") % 50 != 0, user))
-        .withColumn("post_id", F.concat(F.lit("p"), (F.col("event_id") % 100).cast("string")))
-        .withColumn("subreddit", F.col("event_type"))
-        .withColumn(
-            "text",
-            _case(
-                F.col("event_id") % 12,
-                [
-                    F.lit(None).cast("string"),
-                    F.lit(""),
-                    F.lit("   "),
-                    F.lit("[deleted]"),
-                    F.lit("[removed]"),
-                    F.lit("ok"),
-                    F.lit("I dislike this but why?"),
-                    F.concat(F.lit("good great #win "), kind),
-                    F.concat(F.lit("bad terrible awful hate "), props),
-                    F.concat(kind, F.lit(" was fantastic, thanks @"), user),
-                    F.concat(F.lit("nothing works, see http://x.example/"), _number("event_id")),
-                    F.concat(kind, F.lit("\t\r\n"), props),
-                ],
-            ),
-        )
-        .select("id", "author", "text", *about_event[1:], "subreddit", "post_id")
+    short_texts = events.selectExpr(
+        "concat('e', event_id) as id",
+        "case when event_id % 50 <> 0 then concat('user_', user_id) end as author",
+        f"{_case('event_id % 12', SHORT_TEXTS)} as text",
+        *about_event,
+        "event_type as subreddit",
+        "concat('p', event_id % 100) as post_id",
     )
-    return long_texts.unionByName(short_texts)
+    return long_texts.unionAll(short_texts)
 
 
 def ingested(spark, sf_dir) -> DataFrame:
