@@ -154,3 +154,13 @@ def test_encoding_finds_rare_and_long_tokens(spark, monkeypatch):
     encoded = {r.id: r.input_ids for r in E.encode_tokens(rows, vocabulary, 7).collect()}
     assert encoded[1] == [2, ids["a"], ids["a"], ids[long], ids["a"], ids["b"], 3]
     assert encoded[2] == [2, ids[long], ids["c"], 3, 0, 0, 0]
+
+
+def test_row_index_divides_a_hot_key(spark):
+    # A third of the rows share one key.
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    rows = spark.range(0, 30000).select(hot.alias("k"), F.col("id").alias("v"))
+    numbered = with_row_index(rows, ["k"], "n").withColumn("part", F.spark_partition_id())
+    assert numbered.agg(F.count_distinct("n"), F.max("n")).first()[:] == (30000, 29999)
+    in_order = numbered.filter("k = -1").agg(F.max("n")).first()[0]
+    assert in_order == 9999

@@ -23,6 +23,12 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(as_column(text)), F.lit(TOKEN), F.lit(0))
 
 
+def first_tokens(text, count: int) -> Column:
+    """The first ``count`` tokens, without splitting the rest of a long text."""
+    start = rf"\A(?:\s*+(?:[\p{{L}}\p{{N}}]++|[^\p{{L}}\p{{N}}\s])){{0,{count}}}"
+    return tokens(F.regexp_extract(F.lower(as_column(text)), start, 0))
+
+
 def build_vocabulary(df: DataFrame, text: str = "text", max_size: int | None = None) -> DataFrame:
     """(token, count, token_id): most frequent first, then by token.
 
@@ -68,7 +74,7 @@ def encode_tokens(
     """
     room = maxlen - 2
     placed = df.select(
-        key, F.posexplode_outer(F.slice(tokens(text), 1, room)).alias("_pos", "token")
+        key, F.posexplode_outer(first_tokens(text, room)).alias("_pos", "token")
     )
     in_head = F.col("token_id") < FIRST_WORD_ID + HEAD_TOKENS
     head = vocabulary.filter(in_head).select(_head_key("token").alias("_key"), "token_id")

@@ -18,9 +18,11 @@ def with_row_index(df: DataFrame, order_by, name: str, start: int = 0) -> DataFr
     place in its partition is shifted by the rows of all earlier partitions.
     The offsets table has one row per partition, so it is safe to broadcast.
 
-    The order should be total: ties get numbers in no particular order.
+    The order should be total. Ties are ordered by a hash of the row, so that
+    the number depends on content only, and a key that many rows share is
+    still divided between partitions.
     """
-    ordered = cut_lineage(df.orderBy(*order_by))
+    ordered = cut_lineage(df.orderBy(*order_by, F.xxhash64(*df.columns)))
     placed = (
         ordered.withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _ROW_BITS))
