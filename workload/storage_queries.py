@@ -432,8 +432,6 @@ def k9(spark, sf_dir):
     )
 
 
-EXPORTED = "select {} as source, coalesce(text, '') as text from conversations"
-
 
 @query(
     "k10_export_text",
