@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from verbatide.llm import simhash_vptree as V
 from verbatide.llm import token_counts as T
 from verbatide.llm import url_reputation as U
 from verbatide.llm import warc as W
@@ -113,3 +114,8 @@ def op10(spark, sf_dir):
     return U.judge_urls(
         table(spark, sf_dir, "pages"), labelled_outcomes(spark, sf_dir), URL_RULES
     ).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op9_simhash_vptree")
+def op9(spark, sf_dir):
+    return V.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4, seed=42)
