@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from verbatide.llm import itq as Q
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm import token_counts as T
 from verbatide.llm import url_reputation as U
@@ -119,3 +120,8 @@ def op10(spark, sf_dir):
 @query("op9_simhash_vptree")
 def op9(spark, sf_dir):
     return V.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4, seed=42)
+
+
+@query("op7_itq")
+def op7(spark, sf_dir):
+    return Q.embedding_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
