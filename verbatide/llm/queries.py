@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from verbatide.llm import itq as Q
 from verbatide.llm import simhash_vptree as V
+from verbatide.llm import suffix_dedup as S
 from verbatide.llm import token_counts as T
 from verbatide.llm import url_reputation as U
 from verbatide.llm import warc as W
@@ -125,3 +126,8 @@ def op9(spark, sf_dir):
 @query("op7_itq")
 def op7(spark, sf_dir):
     return Q.embedding_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@query("op2_suffix_dedup")
+def op2(spark, sf_dir):
+    return S.remove_repeats(table(spark, sf_dir, "documents"), window=50)
