@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from verbatide.llm import automaton_dedup as A
 from verbatide.llm import itq as Q
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm import suffix_dedup as S
@@ -131,3 +132,8 @@ def op7(spark, sf_dir):
 @query("op2_suffix_dedup")
 def op2(spark, sf_dir):
     return S.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+
+
+@query("op5_automaton_dedup")
+def op5(spark, sf_dir):
+    return A.remove_repeated_passages(table(spark, sf_dir, "documents"), window=50)
