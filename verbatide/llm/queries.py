@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from verbatide.llm import automaton_dedup as A
 from verbatide.llm import itq as Q
+from verbatide.llm import langid_cnn as L
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm import suffix_dedup as S
 from verbatide.llm import token_counts as T
@@ -137,3 +138,8 @@ def op2(spark, sf_dir):
 @query("op5_automaton_dedup")
 def op5(spark, sf_dir):
     return A.remove_repeated_passages(table(spark, sf_dir, "documents"), window=50)
+
+
+@query("op8_langid_cnn")
+def op8(spark, sf_dir):
+    return L.identify(table(spark, sf_dir, "documents"))
