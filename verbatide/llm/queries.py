@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from verbatide.llm import automaton_dedup as A
+from verbatide.llm import decontaminate as D
 from verbatide.llm import itq as Q
 from verbatide.llm import langid_cnn as L
 from verbatide.llm import simhash_vptree as V
@@ -143,3 +144,10 @@ def op5(spark, sf_dir):
 @query("op8_langid_cnn")
 def op8(spark, sf_dir):
     return L.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op1_string_tiling")
+def op1(spark, sf_dir):
+    return D.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=5, coverage=0.5
+    )

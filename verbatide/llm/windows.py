@@ -128,12 +128,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(data: np.ndarray, starts: np.ndarray):
-    """(symbols, word starts, first byte, last byte + 1) of the words in all texts.
+def words_of(data: np.ndarray, starts: np.ndarray, inner: np.ndarray | None = None):
+    """(symbols, each text's first word, first bytes, last bytes + 1) of all words.
 
-    Words are what ASCII white space divides, and end with their text.
+    Words are what ASCII white space divides, or runs of the bytes in ``inner``, a
+    table of 256 booleans. They end with their text.
     """
-    solid = (data != 32) & ((data < 9) | (data > 13))
+    solid = (data != 32) & ((data < 9) | (data > 13)) if inner is None else inner[data]
     border = np.zeros(len(data) + 1, bool)
     border[starts] = True
     before = np.zeros(len(data), bool)
