@@ -30,7 +30,8 @@ _HASHES = 3
 # Word bytes: ASCII letters, digits and underscore, and all of longer characters.
 _INNER = np.zeros(256, bool)
 _INNER[[*range(48, 58), 95, *range(97, 123), *range(128, 256)]] = True
-_MARKS = re.compile("[\u0080-¿×÷ -⁯　-〿]")
+# Signs among longer characters: Latin-1 signs, general and CJK punctuation.
+_MARKS = re.compile("[\x80-\xbf\xd7\xf7\u2000-\u206f\u3000-\u303f]")
 
 
 def token_symbols(column: pa.Array):

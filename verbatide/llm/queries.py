@@ -6,6 +6,7 @@ from verbatide.llm import automaton_dedup as A
 from verbatide.llm import decontaminate as D
 from verbatide.llm import itq as Q
 from verbatide.llm import langid_cnn as L
+from verbatide.llm import mixing as M
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm import suffix_dedup as S
 from verbatide.llm import token_counts as T
@@ -151,3 +152,25 @@ def op1(spark, sf_dir):
     return D.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=5, coverage=0.5
     )
+
+
+# Target shares of tokens by domain.
+MIX_WEIGHTS = {"good": 0.92, "low": 0.06, "toxic": 0.02}
+
+
+def label_domains(labels):
+    """(doc_id, domain): toxic before low before good; without quality or toxic, null."""
+    return labels.select(
+        "doc_id",
+        F.when(F.col("toxic") == 1, "toxic")
+        .when(F.col("quality") == 0, "low")
+        .when(F.col("quality") == 1, "good")
+        .alias("domain"),
+    )
+
+
+@query("op4_soft_mixing")
+def op4(spark, sf_dir):
+    labels = label_domains(table(spark, sf_dir, "labels"))
+    mixed = M.mix(table(spark, sf_dir, "documents"), labels, MIX_WEIGHTS)
+    return mixed.drop("place")

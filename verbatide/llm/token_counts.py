@@ -30,7 +30,7 @@ HEAD_BYTES = 24
 
 # Beyond these characters, Unicode tables and notions of white space may differ
 # between libraries; such texts are divided by the tokenizer itself.
-_UNSURE = regex.compile("[^\t\n\r -~\xa0-ſ‐-‟…€]")
+_UNSURE = regex.compile("[^\t\n\r -~\xa0-\u017f\u2010-\u201f\u2026\u20ac]")
 _split = regex.compile(PRE_TOKEN).findall
 
 _loaded: dict = {}
