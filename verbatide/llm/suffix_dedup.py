@@ -11,7 +11,9 @@ them (see windows.py):
 1. 20 bytes: the gram that stands for a run of positions. Most are unique.
 2. The pair (gram, whole run): where it repeats, all positions of the run are past the
    threshold at once. Where only the gram repeats, the run goes on to round 3.
-3. Single positions of what is left: pairs (25 bytes, the 25 bytes at offset 25).
+3. 43 bytes: the core that up to eight neighbouring positions share, at a distance from
+   the gram that is a multiple of eight. Most lines shorter than the threshold end here.
+4. Single positions of what is left: pairs (25 bytes, the 25 bytes at offset 25).
 
 A task first drops what it sees repeated itself, so that the rows of a rank are bounded
 by the tasks, whatever share of the documents holds it.
@@ -33,6 +35,7 @@ from verbatide.llm.windows import (
     covered,
     mix,
     range_arrays,
+    release,
     runs,
     seen_before,
     text_bytes,
@@ -42,6 +45,8 @@ from verbatide.llm.windows import (
 from verbatide.storage import scratch_path
 
 GRAM = 20
+# Neighbouring positions with one core; bits of a run's length in a packed place.
+_STEP, _PLACE = 8, 20
 
 
 def _batch(**columns):
@@ -63,9 +68,7 @@ def _ranked_runs(window: int, gram: int):
                     rank=least.view(np.int64),
                     run=name.view(np.int64),
                     doc_id=doc,
-                    lo=lo.astype(np.int32),
-                    hi=hi.astype(np.int32),
-                    again=again,
+                    place=(lo << _PLACE) | ((hi - lo) << 1) | again,
                 )
 
     return rank
@@ -80,48 +83,100 @@ def _parts(data, starts, ids, most=16 * PIECE):
         at = end
 
 
-def _ranked_positions(window: int):
-    half = window // 2
+def _cores(window: int, gram: int):
+    """Rows of up to _STEP neighbouring positions: their core, and their bytes."""
 
-    def rank(batches):
+    def cut(batches):
         for batch in batches:
             data, starts = text_bytes(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
-            held, rows = 0, []
+            out, held = _no_rows(), 0
             for i, found in enumerate(range_arrays(batch.column("ranges"))):
                 if found is None:
                     continue
                 own = data[starts[i] : starts[i + 1]]
                 for at in range(0, len(own), PIECE):
-                    part = own[at : at + PIECE + window - 1]
                     lo, hi = np.maximum(found[0], at), np.minimum(found[1], at + PIECE - 1)
-                    lo, hi = lo[lo <= hi], hi[lo <= hi]
+                    lo, hi = lo[lo <= hi] - at, hi[lo <= hi] - at
                     if not len(lo):
                         continue
-                    sizes = hi - lo + 1
-                    place = np.repeat(lo - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                    names, p = Names(BYTE_SYMBOLS[part]), place - at
-                    first = names.at(p, p + half)
-                    second = names.at(p + half, p + window)
-                    rows.append((first, second, np.full(len(p), ids[i]), place))
-                    held += len(p)
-                if held > PIECE:
-                    yield _positions(rows)
-                    held, rows = 0, []
-            if rows:
-                yield _positions(rows)
-
-    def _positions(rows):
-        first, second, doc, place = (np.concatenate(c) for c in zip(*rows))
-        again = seen_before([first, second], doc)
-        first[again] = mix(first + place.astype(np.uint64) + doc.view(np.uint64))[again]
-        return _batch(
-            first=first.view(np.int64),
-            second=second.view(np.int64),
-            doc_id=doc,
-            lo=place.astype(np.int32),
-            again=again,
-        )
+                    part = own[at : at + PIECE + window - 1]
+                    names = Names(BYTE_SYMBOLS[part])
+                    first, last, core = _segments(names, lo, hi, window, gram)
+                    text = part.tobytes()
+                    pieces = [text[a : b + window] for a, b in zip(first.tolist(), last.tolist())]
+                    rows = core, names.at(first, last + window), np.full(len(first), ids[i]), first + at
+                    for column, values in zip(out, (*rows, pieces)):
+                        column.append(values)
+                    held += len(first)
+                if held > PIECE // 4:
+                    yield _core_batch(out)
+                    out, held = _no_rows(), 0
+            if held:
+                yield _core_batch(out)
+
+    return cut
+
+
+def _no_rows():
+    return [], [], [], [], []
+
+
+def _core_batch(out):
+    core, name, doc, lo = (np.concatenate(c) for c in out[:4])
+    again = seen_before([core, name], doc)
+    core[again] = mix(core + lo.astype(np.uint64) + doc.view(np.uint64))[again]
+    pieces = [p for part in out[4] for p in part]
+    return _batch(core=core.view(np.int64), doc_id=doc, lo=lo, again=again, piece=pieces)
+
+
+def _segments(names: Names, lo, hi, window: int, gram: int):
+    """Positions lo .. hi, divided so that each part lies in one step of distances from
+    the gram that stands for it: (first, last, name of the core) of each part."""
+    width = window - gram + 1
+    sizes = hi - lo + 1
+    spread = lambda start, n: np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+    place = spread(lo, sizes)
+    owner = np.repeat(np.arange(len(lo)), sizes)
+    # The grams within a run's windows, and where the least of them stands.
+    inside = spread(lo, sizes + width - 1)
+    values = names.at(inside, inside + gram)
+    least = np.minimum.reduceat(values, np.cumsum(sizes + width - 1) - sizes - width + 1)
+    hit = values == np.repeat(least, sizes + width - 1)
+    # Places with their run, so that the next one is looked up within the run.
+    stride = len(names.sums) + window
+    at = inside[hit] + stride * np.repeat(np.arange(len(lo)), sizes + width - 1)[hit]
+    anchor = at[np.searchsorted(at, place + stride * owner)] - stride * owner
+    bucket = (anchor - place) // _STEP
+    edge = np.ones(len(place), bool)
+    edge[1:] = (anchor[1:] != anchor[:-1]) | (bucket[1:] != bucket[:-1]) | (owner[1:] != owner[:-1])
+    begin = np.flatnonzero(edge)
+    end = np.append(begin[1:], len(place)) - 1
+    core = anchor[begin] - bucket[begin] * _STEP
+    return place[begin], place[end], names.at(core, core + window - _STEP + 1)
+
+
+def _positions(window: int):
+    """The positions of each piece, by the pair of names of their halves."""
+    half = window // 2
+
+    def rank(batches):
+        for batch in batches:
+            data, starts = text_bytes(batch.column("piece"))
+            doc, lo = batch.column("doc_id").to_numpy(), batch.column("lo").to_numpy()
+            for at in range(0, batch.num_rows, PIECE // 64):
+                some = slice(at, at + PIECE // 64)
+                own = starts[at : at + PIECE // 64 + 1]
+                names = Names(BYTE_SYMBOLS[data[own[0] : own[-1]]])
+                sizes = np.diff(own) - window + 1
+                turn = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                p = np.repeat(own[:-1] - own[0], sizes) + turn
+                yield _batch(
+                    first=names.at(p, p + half).view(np.int64),
+                    second=names.at(p + half, p + window).view(np.int64),
+                    doc_id=np.repeat(doc[some], sizes),
+                    lo=np.repeat(lo[some], sizes) + turn,
+                )
 
     return rank
 
@@ -134,13 +189,11 @@ def repeated_ranges(texts: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
     """
     spark = texts.sparkSession
     decided = scratch_path(spark, "repeated-runs")
-    ranked = texts.mapInArrow(
-        _ranked_runs(window, gram), "rank long, run long, doc_id long, lo int, hi int, again boolean"
-    )
-    by_rank, by_run = Window.partitionBy("rank"), Window.partitionBy("rank", "run")
+    by_rank = Window.partitionBy("rank")
     (
         # Sorted once; both windows below keep to this order.
-        ranked.repartition("rank")
+        texts.mapInArrow(_ranked_runs(window, gram), "rank long, run long, doc_id long, place long")
+        .repartition("rank")
         .sortWithinPartitions("rank", "run")
         .withColumns(
             {
@@ -148,31 +201,47 @@ def repeated_ranges(texts: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
                 "highest": F.max("doc_id").over(by_rank),
                 "one": F.min("run").over(by_rank),
                 "last": F.max("run").over(by_rank),
+                "again": F.col("place").bitwiseAND(1) == 1,
             }
         )
         .filter("again or lowest < highest")
         .withColumn("again", F.expr("again or doc_id > min(doc_id) over (partition by rank, run)"))
         .filter("again or one < last")
+        .withColumn("lo", F.shiftright("place", _PLACE))
+        .withColumn("hi", F.col("lo") + F.shiftright("place", 1).bitwiseAND((1 << _PLACE - 1) - 1))
         .select("doc_id", "lo", "hi", "again")
         .write.parquet(decided)
     )
-    rows = spark.read.schema("doc_id long, lo int, hi int, again boolean").parquet(decided)
+    release(spark)
+    rows = spark.read.schema("doc_id long, lo long, hi long, again boolean").parquet(decided)
     left = rows.filter("not again").groupBy("doc_id").agg(
         F.collect_list(F.struct("lo", "hi")).alias("ranges")
     )
-    positions = texts.join(left, "doc_id").mapInArrow(
-        _ranked_positions(window), "first long, second long, doc_id long, lo int, again boolean"
+    by_core, by_pair = Window.partitionBy("core"), Window.partitionBy("first", "second")
+    columns = "core long, doc_id long, lo long, again boolean, piece binary"
+    cores = (
+        texts.join(left, "doc_id")
+        .mapInArrow(_cores(window, gram), columns)
+        .withColumns({"lowest": F.min("doc_id").over(by_core), "highest": F.max("doc_id").over(by_core)})
+        .filter("again or lowest < highest")
+        .select("doc_id", "lo", "again", "piece")
     )
-    by_pair = Window.partitionBy("first", "second")
+    pieces = scratch_path(spark, "shared-cores")
+    cores.write.parquet(pieces)
+    release(spark)
+    cores = spark.read.schema("doc_id long, lo long, again boolean, piece binary").parquet(pieces)
+    last = F.col("lo") + F.length("piece") - window
+    known = cores.filter("again").select("doc_id", "lo", last.alias("hi"))
     single = (
-        positions.withColumn("lowest", F.min("doc_id").over(by_pair))
-        .filter("again or doc_id > lowest")
+        cores.filter("not again")
+        .select("doc_id", "lo", "piece")
+        .mapInArrow(_positions(window), "first long, second long, doc_id long, lo long")
+        .withColumn("lowest", F.min("doc_id").over(by_pair))
+        .filter("doc_id > lowest")
         .select("doc_id", "lo", F.col("lo").alias("hi"))
     )
-    found = scratch_path(spark, "repeated-positions")
-    single.write.parquet(found)
-    single = spark.read.schema("doc_id long, lo int, hi int").parquet(found)
-    return rows.filter("again").select("doc_id", "lo", "hi").unionByName(single)
+    whole = rows.filter("again").select("doc_id", "lo", "hi")
+    return whole.unionByName(known).unionByName(single)
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM, text: bool = False) -> DataFrame:

@@ -10,9 +10,11 @@ belongs to exactly one run.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the fingerprints: an odd base with its inverse, and the mixer's factors.
@@ -121,7 +123,10 @@ def seen_before(keys: list, document: np.ndarray) -> np.ndarray:
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All texts' bytes one after another, and where each starts. Nulls are empty."""
-    column = column.fill_null("").cast(pa.large_string())
+    if pa.types.is_binary(column.type):
+        column = column.fill_null(b"").cast(pa.large_binary())
+    else:
+        column = column.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -208,3 +213,10 @@ def covered(n: int, lo: np.ndarray, hi: np.ndarray, window: int) -> np.ndarray:
     np.add.at(change, lo, 1)
     np.add.at(change, hi + window, -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of phases whose results are written: it does
+    so once the driver's garbage collector has found their plans unused."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
