@@ -267,10 +267,8 @@ def _least_shards(spark) -> int:
     return 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def remove_repeated_passages(
-    docs: DataFrame, window: int = 50, gram: int = GRAM, text: bool = False
-) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256), with ``text`` the kept words too.
+def remove_repeated_passages(docs: DataFrame, window: int = 50, gram: int = GRAM) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, kept) for every row; ``kept`` are the words.
 
     Words are what ASCII white space divides, unchanged. Each word covered by a window
     of ``window`` words whose sequence also starts in a document with a smaller doc_id
@@ -293,15 +291,19 @@ def remove_repeated_passages(
                     gone = covered(n, *found, window)
                     words = [w for w, g in zip(words, gone.tolist()) if not g]
                 kept = b" ".join(words)
-                row = (n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode() if text else None)
+                row = (n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode())
                 for column, value in zip(out, row):
                     column.append(value)
-            columns = [batch.column("doc_id"), *map(pa.array, out[:3])]
-            names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
-            if text:
-                columns.append(pa.array(out[3], pa.string()))
-                names.append("text")
-            yield pa.record_batch(columns, names=names)
-
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return with_ranges(docs, torn, ranges).mapInArrow(cut, schema + ", text string" * text)
+            columns = [
+                batch.column("doc_id"),
+                pa.array(out[0], pa.int64()),
+                pa.array(out[1], pa.int64()),
+                pa.array(out[2], pa.string()),
+            ]
+            columns.append(pa.array(out[3], pa.string()))
+            yield pa.record_batch(
+                columns, names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
+            )
+
+    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
+    return with_ranges(docs, torn, ranges).mapInArrow(cut, schema)

@@ -187,8 +187,8 @@ def learn(docs: DataFrame) -> Network:
     return train(rows, target.astype(np.int64), languages)
 
 
-def predict_languages(docs: DataFrame, network: Network) -> DataFrame:
-    """The rows of ``docs`` (doc_id and text are read) with held_out, lang_pred, score.
+def predict_languages(docs: DataFrame, network: Network, columns=("doc_id",)) -> DataFrame:
+    """The rows of ``docs``, of which ``columns``, with held_out, lang_pred, score.
 
     A text that is null or has no letter is ``und`` with score 0, as is every text if
     no language was learned. Repeated rows stay. A missing doc_id is not held out.
@@ -218,20 +218,32 @@ def predict_languages(docs: DataFrame, network: Network) -> DataFrame:
             names = np.array([*network.languages, UNKNOWN], object)
             pred = np.where(lettered, names[best] if known else UNKNOWN, UNKNOWN)
             score = np.where(lettered, np.clip(share[np.arange(n), best], 0, 1), 0.0)
-            kept = [batch.column(c) for c in ("doc_id", "held_out")]
+            made = [batch.column("held_out"), pa.array(pred, pa.string()), pa.array(score)]
             yield pa.record_batch(
-                [*kept, pa.array(pred, pa.string()), pa.array(score)],
-                names=["doc_id", "held_out", "lang_pred", "score"],
+                [*map(batch.column, columns), *made],
+                names=[*columns, "held_out", "lang_pred", "score"],
             )
 
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+    rows = docs.select(
+        *columns,
         F.coalesce(is_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
-        "text",
-    ).mapInArrow(read, "doc_id long, held_out boolean, lang_pred string, score double")
+        *(["text"] if "text" not in columns else []),
+    )
+    types = ", ".join(f"`{c}` {dict(docs.dtypes)[c]}" for c in columns)
+    return rows.mapInArrow(read, f"{types}, held_out boolean, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row: learn, then predict all."""
     return predict_languages(docs, learn(docs))
+
+
+def accept_languages(docs: DataFrame, network: Network, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose language is known: not ``und``,
+    and predicted with a score of ``least`` or more."""
+    plain = [f"_{i}" for i in range(len(docs.columns))]
+    plain = [c if c in ("doc_id", "text") else p for c, p in zip(docs.columns, plain)]
+    judged = predict_languages(docs.toDF(*plain), network, plain)
+    kept = judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return kept.select(*[F.col(p).alias(c) for p, c in zip(plain, docs.columns)])

@@ -139,7 +139,7 @@ def op2(spark, sf_dir):
 
 @query("op5_automaton_dedup")
 def op5(spark, sf_dir):
-    return A.remove_repeated_passages(table(spark, sf_dir, "documents"), window=50)
+    return A.remove_repeated_passages(table(spark, sf_dir, "documents"), window=50).drop("kept")
 
 
 @query("op8_langid_cnn")

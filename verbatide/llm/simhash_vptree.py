@@ -234,3 +234,24 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, seed: int
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_first(docs: DataFrame, words: int = 5, radius: int = 8, seed: int = 42) -> DataFrame:
+    """The rows of ``docs``, with their columns, less all but one of each component.
+
+    The smallest doc_id of a component stays, in one row. Rows without doc_id stay if
+    no row of their component has one.
+    """
+    found = near_duplicates(docs, words, radius, seed).select("doc_id", "component_id")
+    first = cut_lineage(
+        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
+    )
+    kept = docs.join(
+        first.select(F.col("doc_id").alias("_kept")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")),
+        "left_semi",
+    )
+    if first.filter("count > 1 and doc_id is not null").isEmpty():
+        return kept
+    named = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    return named.unionByName(kept.filter(F.col("doc_id").isNull()))

@@ -244,15 +244,21 @@ def repeated_ranges(texts: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
     return whole.unionByName(known).unionByName(single)
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM, text: bool = False) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), with ``text`` the kept text too.
+def _cut(own: np.ndarray, found, window: int):
+    """(kept bytes, bytes removed, maximal runs removed) of a text with its ranges."""
+    if found is None:
+        return own, 0, 0
+    gone = covered(len(own), *found, window)
+    return own[~gone], int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
+
+
+def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``.
 
     Each byte covered by a ``window``-byte string that also starts in a document with
     a smaller doc_id goes; overlaps count, and strings are judged on the input. A null
     text is empty. Rows without doc_id come back whole. Rows that repeat a doc_id are
-    one document, as texts_by_id tells. Kept bytes that are no valid UTF-8 after a
-    removal are left out of the kept text (not of the digest). An empty table gives
-    no rows.
+    one document, as texts_by_id tells. An empty table gives no rows.
     """
     texts, torn = texts_by_id(docs)
     ranges = repeated_ranges(texts, window, gram)
@@ -260,27 +266,57 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM, text: bo
     def cut(batches):
         for batch in batches:
             data, starts = text_bytes(batch.column("text"))
-            out: tuple = ([], [], [], [], [])
+            out: tuple = ([], [], [], [])
             for i, found in enumerate(range_arrays(batch.column("ranges"))):
                 own = data[starts[i] : starts[i + 1]]
-                removed = spans = 0
-                if found is not None:
-                    gone = covered(len(own), *found, window)
-                    removed = int(gone.sum())
-                    spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                    own = own[~gone]
-                kept = own.tobytes()
-                digest = hashlib.sha256(kept).hexdigest()
-                whole = kept.decode("utf-8", "ignore") if text else None
-                row = (int(starts[i + 1] - starts[i]), removed, spans, digest, whole)
-                for column, value in zip(out, row):
+                kept, removed, spans = _cut(own, found, window)
+                digest = hashlib.sha256(kept.tobytes()).hexdigest()
+                for column, value in zip(out, (len(own), removed, spans, digest)):
                     column.append(value)
-            columns = [batch.column("doc_id"), *map(pa.array, out[:4])]
-            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if text:
-                columns.append(pa.array(out[4], pa.string()))
-                names.append("text")
-            yield pa.record_batch(columns, names=names)
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return with_ranges(docs, torn, ranges).mapInArrow(cut, schema + ", text string" * text)
+            yield _batch(
+                doc_id=batch.column("doc_id"),
+                n_bytes=pa.array(out[0], pa.int64()),
+                n_removed=pa.array(out[1], pa.int64()),
+                n_spans=pa.array(out[2], pa.int64()),
+                kept_sha256=pa.array(out[3], pa.string()),
+            )
+
+    return with_ranges(docs, torn, ranges).mapInArrow(
+        cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    )
+
+
+def cut_repeats(docs: DataFrame, window: int = 50, gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs``, with their columns, less the repeated bytes of their texts.
+
+    As remove_repeats. What is left of a character that was cut in two goes as well. A
+    row whose text is cut to nothing goes; rows that had none stay, and so does null.
+    """
+    texts, torn = texts_by_id(docs)
+    ranges = repeated_ranges(texts, window, gram)
+    plain = [c if c in ("doc_id", "text") else f"_{i}" for i, c in enumerate(docs.columns)]
+
+    def cut(batches):
+        for batch in batches:
+            column = batch.column("text")
+            data, starts = text_bytes(column)
+            kept = []
+            for i, found in enumerate(range_arrays(batch.column("ranges"))):
+                if found is None:
+                    kept.append(column[i].as_py())
+                    continue
+                own, _, _ = _cut(data[starts[i] : starts[i + 1]], found, window)
+                kept.append(own.tobytes().decode("utf-8", "ignore"))
+            emptied = [k == "" and starts[i] < starts[i + 1] for i, k in enumerate(kept)]
+            columns = [
+                pa.array(kept, pa.string()) if c == "text" else batch.column(c) for c in plain
+            ]
+            yield pa.record_batch([*columns, pa.array(emptied, pa.bool_())], names=[*plain, "emptied"])
+
+    renamed = docs.toDF(*plain)
+    types = dict(renamed.dtypes) | {"doc_id": "bigint"}
+    schema = ", ".join(f"`{c}` {types[c]}" for c in plain) + ", emptied boolean"
+    cut_rows = with_ranges(renamed, torn, ranges, plain).mapInArrow(cut, schema)
+    return cut_rows.filter("not emptied").select(
+        *[F.col(p).alias(c) for p, c in zip(plain, docs.columns)]
+    )

@@ -184,17 +184,20 @@ def texts_by_id(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return chosen.select("doc_id", "text"), torn
 
 
-def with_ranges(docs: DataFrame, torn: DataFrame | None, ranges: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with ``ranges``: the (lo, hi) of its doc_id, or null."""
+def with_ranges(
+    docs: DataFrame, torn: DataFrame | None, ranges: DataFrame, columns=("doc_id", "text")
+) -> DataFrame:
+    """Every row of ``docs``, of which ``columns``, with ``ranges``: the (lo, hi) of its
+    doc_id, or null."""
     listed = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(*columns).withColumn("doc_id", F.col("doc_id").cast("long"))
     joined = rows.join(listed, "doc_id", "left")
     if torn is not None:
         hashed = F.xxhash64(F.coalesce("text", F.lit("")))
         joined = joined.join(torn, "doc_id", "left").withColumn(
             "ranges", F.when(F.col("chosen").isNull() | (F.col("chosen") == hashed), F.col("ranges"))
         )
-    return joined.select("doc_id", "text", "ranges")
+    return joined.select(*columns, "ranges")
 
 
 def range_arrays(column: pa.Array):
