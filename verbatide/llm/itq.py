@@ -80,6 +80,13 @@ def _matrix(column, dim: int) -> np.ndarray:
     return out
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Scaled to length one; by the largest first, so that squares neither overflow nor
+    vanish."""
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+
+
 def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every vector.
 
@@ -105,14 +112,7 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
     usable = vectors.filter(
         F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0)
     )
-    entries = usable.select("label", F.posexplode("embedding").alias("at", "x"))
-    means = cut_lineage(
-        entries.groupBy("label", "at")
-        .agg(F.avg(F.col("x").cast("double")).alias("mean"))
-        .groupBy("label")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "mean"))).alias("m"))
-        .select("label", F.col("m.mean").alias("mean"))
-    )
+    types = dict(vectors.dtypes)
     sizes = usable.groupBy("label").agg(
         F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")
     )
@@ -120,9 +120,29 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
     largest, dim = largest or 0, dim or 1
     bits, tables = table_plan(largest, threshold)
 
+    def scale(batches):
+        for batch in batches:
+            rows = _unit(_matrix(batch.column("embedding"), dim))
+            listed = pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), dim)
+            yield pa.record_batch(
+                [batch.column("label"), listed.cast(pa.list_(pa.float64()))], names=["label", "unit"]
+            )
+
+    entries = (
+        usable.select("label", "embedding")
+        .mapInArrow(scale, f"label {types['label']}, unit array<double>")
+        .select("label", F.posexplode("unit").alias("at", "x"))
+    )
+    means = cut_lineage(
+        entries.groupBy("label", "at")
+        .agg(F.avg("x").alias("mean"))
+        .groupBy("label")
+        .agg(F.array_sort(F.collect_list(F.struct("at", "mean"))).alias("m"))
+        .select("label", F.col("m.mean").alias("mean"))
+    )
     centred = usable.join(means, "label")
     drawn = centred.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
-    sample = _matrix(drawn.column("embedding"), dim) - _matrix(drawn.column("mean"), dim)
+    sample = _unit(_matrix(drawn.column("embedding"), dim)) - _matrix(drawn.column("mean"), dim)
     per_rotation = min(dim, 64)
     projections = [
         learn_rotation(sample, seed) for seed in range(math.ceil(bits * tables / per_rotation))
@@ -131,7 +151,8 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
     def index(batches):
         """A row for each vector and table, with all of the vector's substrings."""
         for batch in batches:
-            rows = _matrix(batch.column("embedding"), dim) - _matrix(batch.column("mean"), dim)
+            rows = _unit(_matrix(batch.column("embedding"), dim))
+            rows -= _matrix(batch.column("mean"), dim)
             codes = substrings(rows, projections, bits, tables)
             listed = pa.array(codes.astype(np.int32).tolist(), pa.list_(pa.int32()))
             for t in range(tables):
@@ -147,7 +168,6 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
                     names=["label", "t", "key", "vec_id", "codes", "embedding"],
                 )
 
-    types = dict(vectors.dtypes)
     indexed = centred.mapInArrow(
         index,
         f"label {types['label']}, t int, key int, vec_id {types['vec_id']}, codes array<int>, "
@@ -220,10 +240,7 @@ def _links(table: pa.Table, dim: int, threshold: float) -> pa.Table:
     """
     table = table.combine_chunks()
     n = table.num_rows
-    vectors = _matrix(table.column("embedding"), dim)
-    # Scaled first, so that squares neither overflow nor vanish.
-    vectors /= np.abs(vectors).max(axis=1, keepdims=True)
-    vectors /= np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
+    vectors = _unit(_matrix(table.column("embedding"), dim))
     codes = np.array(table.column("codes").combine_chunks().flatten()).reshape(n, -1)
     ids = table.column("vec_id")
     group = table.column("group").to_numpy()
