@@ -11,21 +11,22 @@ from verbatide.storage import cut_lineage
 def connected_components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(node, root) for every node that has an edge to another; one root per component.
 
-    In each round a node moves to the neighbour that comes first in an order drawn
-    anew for the round (itself included), edges are rewritten to the new ends, and
-    loops and repeats go. A fixed share of the nodes goes with each round, also on
-    long chains, so rounds grow with the logarithm of the longest chain. Nothing but
-    the number of edges left reaches the driver. Rows with a null end link nothing.
+    In each round a node moves to the neighbour that comes first in the round's order
+    (itself included), edges are rewritten to the new ends, and loops go. Every other
+    round's order is that of the nodes' values, which takes stars around their smallest
+    node at once; the rounds between draw one anew, by which a fixed share of the nodes
+    goes, also on long chains. So rounds grow with the logarithm of the longest chain.
+    Nothing but whether edges are left reaches the driver. Rows with a null end link
+    nothing.
     """
     live = cut_lineage(
         edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
         .filter(F.col("a") != F.col("b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
     )
     moves = []
     while not live.isEmpty():
-        order = lambda c, r=len(moves): F.xxhash64(F.lit(r), c)
+        turn = len(moves)
+        order = lambda c, t=turn: F.xxhash64(F.lit(t), c) if t % 2 else c
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.min(F.struct(order(F.col("b")).alias("o"), "b")).alias("m"))
         to = F.when(F.struct(order(F.col("a")).alias("o"), F.col("a").alias("b")) < F.col("m"), F.col("a"))
@@ -36,8 +37,7 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
             .select(F.col("to").alias("x"), F.col("b").alias("a"))
             .join(move, "a")
             .filter(F.col("x") != F.col("to"))
-            .select(F.least("x", "to").alias("a"), F.greatest("x", "to").alias("b"))
-            .distinct()
+            .select(F.col("x").alias("a"), F.col("to").alias("b"))
         )
     if not moves:
         return live.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -238,7 +238,8 @@ def _links(table: pa.Table, dim: int, threshold: float) -> pa.Table:
 
     A pair that shares several substrings counts in the first such table only.
     """
-    table = table.combine_chunks()
+    # In order of vec_id, so that stars of links are around the smallest.
+    table = table.sort_by("vec_id").combine_chunks()
     n = table.num_rows
     vectors = _unit(_matrix(table.column("embedding"), dim))
     codes = np.array(table.column("codes").combine_chunks().flatten()).reshape(n, -1)

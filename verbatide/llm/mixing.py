@@ -5,7 +5,8 @@ Every document gets a nonnegative rate, the expected number of its copies in the
 so that the expected tokens per domain, the sum of rate x tokens x posterior, match the
 targets. That is a least-squares problem with one unknown per document and one equation
 per domain. Projected gradient solves it: a round sums the domains' totals over all
-documents, and each document then moves against the gradient and stops at zero.
+documents, and each document then moves against the gradient, taken ahead of the last
+step to converge faster, and stops at zero.
 
 Rates live in the table; only a few numbers per domain reach the driver. Gradients are
 taken in the metric of the domains' second moments, in which a full step is safe and
@@ -158,33 +159,40 @@ def fit_rates(members: DataFrame, targets: list[float], rounds: int = ROUNDS) ->
     share = [F.element_at("posterior", i + 1) for i in range(k)]
     tokens = F.col("n_tokens").cast("double")
 
-    def totals(df):
-        row = df.agg(*[F.sum(F.col("rate") * tokens * p) for p in share]).first()
-        return np.array([x or 0.0 for x in row])
+    def totals(df, *names):
+        row = df.agg(*[F.sum(F.col(n) * tokens * p) for n in names for p in share]).first()
+        return np.array([x or 0.0 for x in row]).reshape(len(names), k)
 
     moments = members.agg(
         F.sum(tokens), *[F.sum(tokens * a * b) for a in share for b in share]
     ).first()
     whole = moments[0] or 0.0
-    state = members.withColumn("rate", F.lit(wanted.sum() / whole if whole else 0.0))
+    start = F.lit(wanted.sum() / whole if whole else 0.0)
+    state = members.withColumn("rate", start)
     if not whole:
         return state
     metric = np.array([x or 0.0 for x in moments[1:]]).reshape(k, k)
     inverse = np.linalg.pinv(metric, rcond=1e-10, hermitian=True)
-    last = np.inf
+    # Accelerated: gradients are taken at ``_ahead``, where the last step points.
+    state, pace = state.withColumn("_ahead", start), 1.0
     for turn in range(1, rounds + 1):
-        gap = totals(state) - wanted
-        # What the projected rates still leave; its decrease tells when to stop.
-        norm = float(gap @ inverse @ gap)
-        if np.abs(gap).max() <= TOLERANCE * wanted.sum() or last - norm <= 1e-9 * norm:
+        reached, ahead = totals(state, "rate", "_ahead")
+        if np.abs(reached - wanted).max() <= TOLERANCE * wanted.sum():
             break
-        last = norm
-        step = inverse @ gap
+        step = inverse @ (ahead - wanted)
         move = sum((p * float(s) for p, s in zip(share, step)), F.lit(0.0))
-        state = state.withColumn("rate", F.greatest(F.col("rate") - move, F.lit(0.0)))
+        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
+        beyond = F.col("_new") + float((pace - 1) / faster) * (F.col("_new") - F.col("rate"))
+        state = (
+            state.withColumn("_new", F.greatest(F.col("_ahead") - move, F.lit(0.0)))
+            .withColumn("_ahead", beyond)
+            .withColumn("rate", F.col("_new"))
+            .drop("_new")
+        )
+        pace = faster
         if turn % STORED_EVERY == 0:
             state = cut_lineage(state)
-    return state
+    return state.drop("_ahead")
 
 
 def mix(

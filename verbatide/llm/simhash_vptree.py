@@ -149,9 +149,10 @@ class Forest:
         return child, self.parent[child]
 
 
-def search_shard(members: np.ndarray, guests: np.ndarray, radius: int):
-    """Links among a shard's members and to its guests, as a spanning forest."""
-    points = np.concatenate([members, guests])
+def search_shard(points: np.ndarray, member: np.ndarray, radius: int):
+    """Links among a shard's members and to its guests, as a spanning forest of stars
+    around the points that come first."""
+    members, at = points[member], np.flatnonzero(member)
     forest = Forest(len(points))
     leaves = 1
     while leaves * LEAF < len(members):
@@ -163,7 +164,7 @@ def search_shard(members: np.ndarray, guests: np.ndarray, radius: int):
         for start in range(0, len(own), 1 << 14):
             some = own[start : start + (1 << 14)]
             q, m = np.nonzero(distance(points[some][:, None], members[held][None, :]) <= radius)
-            forest.add(some[q], held[m])
+            forest.add(some[q], at[held[m]])
     child, parent = forest.links()
     return points[child], points[parent]
 
@@ -202,9 +203,10 @@ def fingerprint_links(prints: DataFrame, radius: int = 4) -> DataFrame:
                     )
 
     def search(table):
-        points = table.column("fp").to_numpy().view(np.uint64)
-        member = table.column("member").to_numpy(zero_copy_only=False)
-        a, b = search_shard(np.sort(points[member]), np.sort(points[~member]), radius)
+        points = table.column("fp").to_numpy()
+        order = np.argsort(points)
+        member = table.column("member").to_numpy(zero_copy_only=False)[order]
+        a, b = search_shard(points[order].view(np.uint64), member, radius)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return (

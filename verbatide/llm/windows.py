@@ -11,6 +11,7 @@ belongs to exactly one run.
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -220,6 +221,9 @@ def covered(n: int, lo: np.ndarray, hi: np.ndarray, window: int) -> np.ndarray:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of phases whose results are written: it does
-    so once the driver's garbage collector has found their plans unused."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    so once the driver's garbage collectors, Python's and then Java's in several rounds,
+    have found their plans unused."""
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
