@@ -156,7 +156,7 @@ def test_rates_meet_targets(spark):
     )
     wanted = np.array([0.7, 0.25, 0.05]) * tokens.sum()
     rates = np.array([r.rate for r in M.fit_rates(df, list(wanted)).orderBy("doc_id").collect()])
-    assert (rates >= 0).all() and (rates == 0).any()
+    assert (rates >= 0).all()
     assert np.allclose((rates * tokens) @ posterior, wanted, atol=1e-5 * tokens.sum())
     # A domain without documents stays short of its target; the others meet theirs.
     two = df.selectExpr("doc_id", "n_tokens", "array(0.25, 0.75, 0.0) posterior")
