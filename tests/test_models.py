@@ -43,3 +43,11 @@ def test_classifier_learns_and_survives_storage(spark, tmp_path):
     scored = C.score_with_classifier(df.withColumnRenamed("sentence", "text"), model)
     labels = scored.select("label", "sentiment_result.sentiment").distinct().collect()
     assert {(r.label, r.sentiment) for r in labels} == {(1, "positive"), (0, "negative")}
+
+
+def test_training_with_gaps(spark):
+    rows = [("good fine", 1), ("bad", 0), (None, 1), ("", 0), ("no label", None)] * 3
+    train = spark.createDataFrame(rows, "sentence string, label int")
+    model = C.train_text_classifier(train, epochs=3)
+    assert C.unlabelled_count(train) == 3
+    assert C.add_logits(train, model).filter("logit is null").count() == 0

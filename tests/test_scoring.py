@@ -107,3 +107,26 @@ def test_scoring_stays_in_the_jvm_and_runs_once(spark, small):
     # The filter must not repeat the substring tests, nor those the cleaning.
     assert text.count("fantastic as int") <= 2
     assert text.count(r"\P{Alnum}") + text.count(r"[^\p{Alnum}\s]") == 1
+
+
+def test_nulls_do_not_reach_the_model(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+
+    def load():
+        def score(texts):
+            with open(calls, "a") as log:
+                log.write(f"{len(texts)}\n")
+            if "fault" in texts:
+                raise ValueError
+            return [("Positive", 90)] * len(texts)
+
+        return score
+
+    texts = [(None if i % 7 == 0 else f"t{i}",) for i in range(4000)]
+    df = spark.createDataFrame(texts, "text string").coalesce(1)
+    results = U.score_batches(df, load).collect()
+    assert sum(r.sentiment_result is None for r in results) == sum(t is None for t, in texts)
+    assert len(open(calls).readlines()) <= 4
+    faulty = spark.createDataFrame([("a",), ("fault",), ("b",), ("c",)], "text string").coalesce(1)
+    results = {r.text: r.sentiment_result for r in U.score_batches(faulty, load).collect()}
+    assert [t for t, r in results.items() if r is None] == ["fault"]

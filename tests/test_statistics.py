@@ -8,7 +8,7 @@ from tests.conftest import plan
 from verbatide.operators import encoding as E
 from verbatide.operators import evaluation as V
 from verbatide.operators import statistics as A
-from verbatide.operators.ordering import spread, with_row_index
+from verbatide.operators.ordering import with_row_index
 from verbatide.plans import report as R
 from workload import fixtures as X
 
@@ -25,13 +25,6 @@ def test_row_index_is_dense_and_ordered(spark):
     assert with_row_index(rows.filter("k < 0"), ["k"], "n").count() == 0
 
 
-def test_spread_only_moves_small_scans(spark, small):
-    table = X.table(spark, small, "documents")
-    assert spread(table, "doc_id").rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, 1, 20)
-    assert spread(many, "id") is many
-
-
 def test_confidence_quartiles_are_exact(spark):
     values = [((i * 37) % 1009) / 1009 for i in range(1009)] + [None]
     rows = spark.createDataFrame([(v,) for v in values], "confidence double").repartition(5)
@@ -83,7 +76,9 @@ def test_report_agrees_with_single_operators(spark, scored):
 def test_report_keeps_going_without_columns(spark, scored):
     rows = R.comprehensive_report(scored.select("sentiment", "confidence")).collect()
     errors = {row.section for row in rows if row.metric == "error"}
-    assert errors == {"text_analysis", "temporal_analysis", "model_performance"}
+    assert errors == {
+        "text_analysis", "temporal_analysis", "model_performance", "cluster_sentiment"
+    }
     assert any(row.section == "confidence_statistics" for row in rows)
 
 
@@ -140,11 +135,28 @@ def test_encoding(spark):
     assert encoded[2].input_ids == [2, 4, 3, 0, 0] and encoded[2].attention_mask == [1, 1, 1, 0, 0]
     assert encoded[3].input_ids == encoded[4].input_ids == [2, 3, 0, 0, 0]
     assert encoded[5].input_ids == [2, 4, 5, 6, 3]
-    few = E.build_vocabulary(rows, max_size=1)
-    cut = {r.id: r for r in E.encode_tokens(rows, few, 5, vocabulary_limit=1).collect()}
+    few = vocabulary.filter("token = 'a'")
+    cut = {r.id: r for r in E.encode_tokens(rows, few, 5).collect()}
     assert cut[1].input_ids == [2, 1, 4, 4, 3]
 
 
+def test_encoding_reads_texts_once(spark, tmp_path):
+    many = spark.range(0, 3000, 1, 40).selectExpr("id", "concat('a b w', id % 300) text")
+    many.write.parquet(str(tmp_path / "texts"))
+    rows = spark.read.parquet(str(tmp_path / "texts"))
+    vocabulary = E.build_vocabulary(rows)
+    encoded = E.encode_tokens(rows, vocabulary, 5)
+    encoded.collect()
+    final = plan(encoded).split("Initial Plan")[0]
+    assert final.count("Scan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_encoding_has_no_longest_length(spark):
+    rows = spark.createDataFrame([(1, "a " * 20000)], "id int, text string")
+    encoded = E.encode_tokens(rows, E.build_vocabulary(rows), 15000).first()
+    assert encoded.input_ids == [2, *[4] * 14998, 3]
+
+
 def test_encoding_finds_rare_and_long_tokens(spark, monkeypatch):
     monkeypatch.setattr(E, "HEAD_TOKENS", 1)
     long = "x" * 200

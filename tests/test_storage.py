@@ -76,6 +76,15 @@ def listing(*entries):
     return {"data": {"children": list(entries)}}
 
 
+def test_threads_of_any_depth(spark):
+    opened = ['{"kind":"Listing","data":{"children":[{"kind":"t1","data":{"id":"%d","body":"b","replies":' % i for i in range(20000)]
+    document = "".join(opened) + '""' + "}}]}}" * 20000
+    spoilt = document[:-1]
+    df = spark.createDataFrame([("deep", document), ("spoilt", spoilt)], "thread string, document string")
+    rows = H.flatten_threads(df).orderBy("position").collect()
+    assert [(r.thread, r.id, r.position) for r in rows] == [("deep", str(i), i) for i in range(20000)]
+
+
 def test_threads_in_reading_order(spark):
     tree = listing(
         entry("a", listing(entry("b"), entry("x", kind="more"), "junk", entry("c"))),

@@ -45,6 +45,8 @@ KEYWORD_MODEL = "simple-keyword"
 RULE_MODEL = "lexicon-v2"
 CLASSIFIER_MODEL = "bert-sentiment-v1"
 EMPTY_MODEL = "empty"
+# The classifier trained by this library.
+TFIDF_MODEL = "tfidf-logistic-v1"
 FALLBACK_MODEL = "fallback"
 
 # What stands for a comment without usable text, or a failed one.

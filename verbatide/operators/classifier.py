@@ -1,6 +1,6 @@
 """A text classifier trained with Spark ML."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -24,21 +24,28 @@ def train_text_classifier(
     """Hashed word counts, weighted by rarity, into a logistic regression.
 
     The size of the model depends on ``buckets`` alone, not on the vocabulary.
-    Training passes over its input once per epoch, so the selected columns are
-    stored first; gradients are summed in a tree. More executors: raise
-    ``tree_depth``.
+    Training passes over its input once per epoch, so the hashed counts are stored
+    first, not the texts; gradients are summed in a tree. More executors: raise
+    ``tree_depth``. A null text counts as empty; rows without label are left out
+    (unlabelled_count tells how many).
     """
-    rows = cut_lineage(train.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label")))
-    stages = [
-        RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}\p{N}]+"),
-        HashingTF(inputCol="words", outputCol="counts", numFeatures=buckets),
-        IDF(inputCol="counts", outputCol="features"),
-        LogisticRegression(
-            maxIter=epochs, regParam=regularization, aggregationDepth=tree_depth,
-            featuresCol="features", labelCol="label",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(rows)
+    rows = train.select(
+        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("double").alias("label")
+    ).filter(F.col("label").isNotNull())
+    tokenizer = RegexTokenizer(inputCol="text", outputCol="words", pattern=r"[^\p{L}\p{N}]+")
+    hashing = HashingTF(inputCol="words", outputCol="counts", numFeatures=buckets)
+    counts = cut_lineage(hashing.transform(tokenizer.transform(rows)).select("counts", "label"))
+    rarity = IDF(inputCol="counts", outputCol="features").fit(counts)
+    regression = LogisticRegression(
+        maxIter=epochs, regParam=regularization, aggregationDepth=tree_depth,
+        featuresCol="features", labelCol="label",
+    ).fit(rarity.transform(counts))
+    return PipelineModel([tokenizer, hashing, rarity, regression])
+
+
+def unlabelled_count(train: DataFrame, label: str = "label") -> int:
+    """Rows that training leaves out."""
+    return train.filter(F.col(label).isNull()).count()
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -62,11 +69,15 @@ def add_logits(df: DataFrame, model: PipelineModel, text: str = "sentence") -> D
 
 
 def score_with_classifier(
-    df: DataFrame, model: PipelineModel, text: str = "text", out: str = "sentiment_result"
+    df: DataFrame,
+    model: PipelineModel,
+    text: str = "text",
+    out: str = "sentiment_result",
+    name: str = lexicons.TFIDF_MODEL,
 ) -> DataFrame:
     """The common result struct from a trained classifier, null where text is null."""
     result = S.expand_probabilities(
-        S.logit_label("logit"), S.logit_percent("logit"), lexicons.CLASSIFIER_MODEL
+        S.logit_label("logit"), S.logit_percent("logit"), name
     )
     return (
         add_logits(df, model, text)

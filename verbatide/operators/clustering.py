@@ -1,8 +1,10 @@
 """Clusters of comments by how they were scored."""
 
+from dataclasses import dataclass
+
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbatide.storage import cut_lineage
@@ -17,10 +19,34 @@ def available_features(df: DataFrame, features=FEATURES) -> list:
     return found
 
 
+def feature_profile(df: DataFrame, features, label: str = "sentiment") -> DataFrame:
+    """Distinct feature vectors, by label if there is one, with their rows; stored.
+
+    The only pass over the rows. A lexicon scorer has a handful of vectors for any
+    number of comments; percentages of a model are whole numbers, so at most 101 for
+    each of its labels. A scorer with continuous results gets no shorter by this.
+    """
+    known = df.dropna(subset=list(features))
+    keys = [*features, *([label] if label in df.columns else [])]
+    return cut_lineage(known.groupBy(*keys).agg(F.count("*").alias("rows")))
+
+
 def feature_deviations(df: DataFrame, features) -> DataFrame:
     """One row with the sample standard deviation of every feature."""
-    return df.dropna(subset=list(features)).agg(
-        *[F.coalesce(F.stddev(name), F.lit(0.0)).alias(name) for name in features]
+    return profile_deviations(feature_profile(df, features), features)
+
+
+def profile_deviations(profile: DataFrame, features) -> DataFrame:
+    """As feature_deviations, from a profile: distances from the means, by weight."""
+    total = F.sum("rows").over(Window.partitionBy())
+    means = {
+        f"_{name}": F.sum(F.col("rows") * F.col(name)).over(Window.partitionBy()) / total
+        for name in features
+    }
+    spread = {name: F.sum(F.col("rows") * F.pow(F.col(name) - F.col(f"_{name}"), 2)) for name in features}
+    free = F.nullif(F.greatest(F.sum("rows") - 1, F.lit(0)), F.lit(0))
+    return profile.withColumns(means).agg(
+        *[F.coalesce(F.sqrt(spread[name] / free), F.lit(0.0)).alias(name) for name in features]
     )
 
 
@@ -34,32 +60,72 @@ def scale_features(df: DataFrame, features, deviations: dict) -> DataFrame:
     )
 
 
-def cluster_sentiment_features(
-    df: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 20, features=FEATURES
-) -> tuple[DataFrame, DataFrame]:
-    """(rows with their cluster, centres).
+@dataclass(frozen=True)
+class Clustering:
+    """A fitted model, and what it says about the profile it was fitted on."""
 
-    K-means goes over its input many times, so it is fitted on the distinct
-    feature vectors, weighted by how often each occurs: the same optimum, and
-    a lexicon scorer has only a handful of vectors for any number of comments.
-    The reduced table is checkpointed before the iterations.
-    """
+    model: KMeansModel
+    features: list
+    deviations: dict
+    profile: DataFrame
+
+    def _assemble(self, df: DataFrame) -> DataFrame:
+        names = [f"scaled_{name}" for name in self.features]
+        scaled = scale_features(df, self.features, self.deviations)
+        return VectorAssembler(inputCols=names, outputCol="features").transform(scaled)
+
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Rows that know all features, with their cluster."""
+        names = [f"scaled_{name}" for name in self.features]
+        return self.model.transform(self._assemble(df)).drop("features", *names)
+
+    def centers(self) -> DataFrame:
+        spark = self.profile.sparkSession
+        return cluster_centers(spark, self.model, self.features, self.deviations)
+
+    def counts(self, label: str = "sentiment") -> DataFrame:
+        """Rows by cluster and label, from the profile."""
+        return (
+            self.assign(self.profile)
+            .groupBy("cluster", label)
+            .agg(F.sum("rows").alias("count"))
+            .orderBy("cluster", label)
+        )
+
+
+def fit_clusters(
+    df: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 20, features=FEATURES
+) -> Clustering:
+    """K-means over the distinct feature vectors, weighted by how often each occurs: the
+    same optimum as over the rows, which are read once. Fewer vectors than k give as
+    many clusters as there are vectors."""
     used = available_features(df, features)
+    profile = feature_profile(df, used)
+    if profile.isEmpty():
+        raise ValueError("no row knows all score columns")
     # Four numbers come to the driver, as they must for the model itself.
-    deviations = feature_deviations(df, used).first().asDict()
-    scaled = scale_features(df, used, deviations)
+    deviations = profile_deviations(profile, used).first().asDict()
     names = [f"scaled_{name}" for name in used]
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-
-    distinct = scaled.groupBy(*names).agg(F.count("*").cast("double").alias("weight"))
-    points = cut_lineage(distinct.orderBy(*names))
+    points = (
+        scale_features(profile, used, deviations)
+        .groupBy(*names)
+        .agg(F.sum("rows").cast("double").alias("weight"))
+        .orderBy(*names)
+    )
+    assembled = VectorAssembler(inputCols=names, outputCol="features").transform(points)
     kmeans = KMeans(
         k=k, seed=seed, maxIter=max_iter, featuresCol="features",
         predictionCol="cluster", weightCol="weight",
     )
-    model = kmeans.fit(assembler.transform(points))
-    clustered = model.transform(assembler.transform(scaled)).drop("features", *names)
-    return clustered, cluster_centers(df.sparkSession, model, used, deviations)
+    return Clustering(kmeans.fit(assembled), used, deviations, profile)
+
+
+def cluster_sentiment_features(
+    df: DataFrame, k: int = 3, seed: int = 42, max_iter: int = 20, features=FEATURES
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with their cluster, centres); see fit_clusters."""
+    fitted = fit_clusters(df, k, seed, max_iter, features)
+    return fitted.assign(df), fitted.centers()
 
 
 def cluster_centers(spark, model: KMeansModel, features, deviations: dict) -> DataFrame:

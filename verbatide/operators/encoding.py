@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.functions.text import as_column
+from verbatide.operators.once import with_columns_once
 from verbatide.operators.ordering import with_row_index
 
 # Ids of the special tokens; words follow.
@@ -23,13 +24,7 @@ def tokens(text) -> Column:
     return F.regexp_extract_all(F.lower(as_column(text)), F.lit(TOKEN), F.lit(0))
 
 
-def first_tokens(text, count: int) -> Column:
-    """The first ``count`` tokens, without splitting the rest of a long text."""
-    start = rf"\A(?:\s*+(?:[\p{{L}}\p{{N}}]++|[^\p{{L}}\p{{N}}\s])){{0,{count}}}"
-    return tokens(F.regexp_extract(F.lower(as_column(text)), start, 0))
-
-
-def build_vocabulary(df: DataFrame, text: str = "text", max_size: int | None = None) -> DataFrame:
+def build_vocabulary(df: DataFrame, text: str = "text") -> DataFrame:
     """(token, count, token_id): most frequent first, then by token.
 
     Frequent tokens are combined before the shuffle, so none is hot.
@@ -39,12 +34,9 @@ def build_vocabulary(df: DataFrame, text: str = "text", max_size: int | None = N
         .groupBy("token")
         .agg(F.count("*").alias("count"))
     )
-    numbered = with_row_index(
+    return with_row_index(
         counted, [F.desc("count"), F.asc("token")], "token_id", start=FIRST_WORD_ID
     )
-    if max_size is not None:
-        numbered = numbered.filter(F.col("token_id") < FIRST_WORD_ID + max_size)
-    return numbered
 
 
 def _head_key(token) -> Column:
@@ -56,26 +48,20 @@ def _head_key(token) -> Column:
 
 
 def encode_tokens(
-    df: DataFrame,
-    vocabulary: DataFrame,
-    maxlen: int,
-    key: str = "id",
-    text: str = "text",
-    vocabulary_limit: int | None = None,
+    df: DataFrame, vocabulary: DataFrame, maxlen: int, key: str = "id", text: str = "text"
 ) -> DataFrame:
     """input_ids and attention_mask of length maxlen for each (unique) key.
 
-    A text is cut to what fits before any token is looked up. Head tokens, the
-    frequent ones, are looked up in a broadcast table of bounded size. What
-    the head lacks is rare by construction, so a shuffle join by token finds
-    it without hot keys; tokens outside the vocabulary are UNKNOWN. If the
-    vocabulary was built with a limit within the head, say so in
-    ``vocabulary_limit``: the second join is then left out.
+    A text's tokens are cut to what fits, and (key, position, token) rows are shuffled
+    by key once; all that follows starts from that exchange. Head tokens, the frequent
+    ones, are looked up in a broadcast table of bounded size. The others go through a
+    shuffle join by token, in one row for each key and token; adaptive execution splits
+    a token outside the vocabulary that many keys share. Such tokens are UNKNOWN.
     """
     room = maxlen - 2
     placed = df.select(
-        key, F.posexplode_outer(first_tokens(text, room)).alias("_pos", "token")
-    )
+        key, F.posexplode_outer(F.slice(tokens(text), 1, room)).alias("_pos", "token")
+    ).repartition(key)
     in_head = F.col("token_id") < FIRST_WORD_ID + HEAD_TOKENS
     head = vocabulary.filter(in_head).select(_head_key("token").alias("_key"), "token_id")
     every = (
@@ -83,11 +69,19 @@ def encode_tokens(
         .join(F.broadcast(head), "_key", "left")
         .drop("_key")
     )
-    if vocabulary_limit is None or vocabulary_limit > HEAD_TOKENS:
-        settled = F.col("token_id").isNotNull() | F.col("token").isNull()
-        tail = vocabulary.filter(~in_head).select("token", "token_id")
-        rare = every.filter(~settled).drop("token_id").join(tail, "token", "left")
-        every = every.filter(settled).unionByName(rare)
+    # Once: a condition on token that moved below the exchange would make it two.
+    every = every.transform(
+        with_columns_once, {"_settled": F.col("token_id").isNotNull() | F.col("token").isNull()}
+    )
+    tail = vocabulary.filter(~in_head).select("token", "token_id")
+    rare = (
+        every.filter(~F.col("_settled"))
+        .groupBy(key, "token")
+        .agg(F.collect_list("_pos").alias("_places"))
+        .join(tail, "token", "left")
+        .select(key, F.explode("_places").alias("_pos"), "token", "token_id")
+    )
+    every = every.filter("_settled").select(key, "_pos", "token", "token_id").unionByName(rare)
     every = every.withColumn("token_id", F.coalesce("token_id", F.lit(UNKNOWN)))
 
     # At most maxlen - 2 entries per key.

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from verbatide.functions import scoring as S
 from verbatide.operators.ordering import with_row_index
+from verbatide.storage import cut_lineage
 
 
 def accuracy_from_logits(df: DataFrame, logit: str = "logit", label: str = "label") -> DataFrame:
@@ -25,7 +26,9 @@ def batched_evaluation(
     partitions and its sums combine before they are shuffled.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    numbered = with_row_index(df.select(*keys, logit, label), keys, "_row")
+    # Stored first: numbering sorts by ranges, which samples its input, and a model in
+    # front would score every row for that as well.
+    numbered = with_row_index(cut_lineage(df.select(*keys, logit, label)), keys, "_row")
     batches = numbered.groupBy(F.floor(F.col("_row") / batch_size).alias("_batch")).agg(
         F.avg(S.logit_correct(logit, label)).alias("_accuracy"),
         F.avg(S.bce_with_logits(logit, label)).alias("_loss"),

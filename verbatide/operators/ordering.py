@@ -1,4 +1,4 @@
-"""Placement of rows: dense numbers over a whole table, and enough tasks for a small one."""
+"""Dense numbers over a whole table."""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,15 +41,3 @@ def with_row_index(df: DataFrame, order_by, name: str, start: int = 0) -> DataFr
         .drop("_part", "_place", "_offset")
     )
 
-
-def spread(df: DataFrame, *keys) -> DataFrame:
-    """Shuffle a scan that has fewer partitions than there are cores, else leave it.
-
-    Text work is heavy per byte. A small file, or one with a single row group,
-    would keep one core busy and the others idle; a large table has more
-    partitions than cores anyway and is not moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

@@ -69,6 +69,23 @@ def score_comments(df: DataFrame, text_col: str = "text_cleaned", run_ts=None) -
     )
 
 
+def classifier_scorer(score, default: tuple | None = None, run_ts=None):
+    """A scorer for runs and streams: ``score`` (a frame and the name of its result
+    column, to a frame) where it has a result, by keyword elsewhere, else the default.
+    """
+
+    def scorer(df: DataFrame, text_col: str = "text_cleaned") -> DataFrame:
+        return (
+            score(df, "_model")
+            .transform(keyword_struct, text_col, out="_lexicon", blank_as_unknown=True)
+            .transform(fallback_cascade, ["_model", "_lexicon"], default=default)
+            .transform(flatten_struct)
+            .withColumn("processing_timestamp", run_timestamp(run_ts))
+        )
+
+    return scorer
+
+
 def score_rules(
     df: DataFrame,
     text_col: str = "text",
@@ -122,8 +139,9 @@ def score_batches(
 
     ``load_scorer`` runs once per task and returns a function from a list of
     texts to a list of (label, percentage) pairs, None where a text failed.
-    ``spark.sql.execution.arrow.maxRecordsPerBatch`` sets the batch size. Rows
-    without a result get a null struct, for :func:`fallback_cascade` to fill.
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` sets the batch size. Null texts
+    do not reach the model. Rows without a result get a null struct, for
+    :func:`fallback_cascade` to fill.
     """
     import pandas as pd
 
@@ -133,18 +151,23 @@ def score_batches(
         import pandas as pd
 
         score = load_scorer()
-        for texts in batches:
+
+        def results(texts):
+            """A failed batch is halved, until only the texts at fault have none."""
+            if not texts:
+                return []
             try:
-                pairs = score(texts.tolist())
+                return list(score(texts))
             except Exception:
-                # The batch failed as a whole: retry its texts one by one, so
-                # that only those at fault go without a result.
-                pairs = []
-                for text in texts:
-                    try:
-                        pairs.extend(score([text]))
-                    except Exception:
-                        pairs.append(None)
+                if len(texts) == 1:
+                    return [None]
+                half = len(texts) // 2
+                return results(texts[:half]) + results(texts[half:])
+
+        for texts in batches:
+            known = texts.notna()
+            found = iter(results(texts[known].tolist()))
+            pairs = [next(found) if there else None for there in known]
             yield pd.DataFrame(
                 {
                     "label": [pair and pair[0] for pair in pairs],
@@ -167,10 +190,16 @@ def score_batches(
 
 
 def fallback_cascade(
-    df: DataFrame, candidates, out: str = "sentiment_result"
+    df: DataFrame, candidates, out: str = "sentiment_result", default: tuple | None = None
 ) -> DataFrame:
-    """The first non-null result of several scorers, else the unknown result."""
-    chosen = F.coalesce(*[F.col(name) for name in candidates], S.unknown_result())
+    """The first non-null result of several scorers, else the unknown result, or that of
+    a ``default`` (label, percentage, model)."""
+    if default is None:
+        last = S.unknown_result()
+    else:
+        label, percent, model = default
+        last = S.expand_probabilities(F.lit(label), F.lit(percent), model)
+    chosen = F.coalesce(*[F.col(name) for name in candidates], last)
     dropped = [name for name in candidates if name != out]
     return df.withColumn(out, chosen.cast(SENTIMENT_RESULT)).drop(*dropped)
 

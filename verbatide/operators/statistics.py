@@ -39,11 +39,12 @@ def total_rows(df: DataFrame) -> DataFrame:
 
 
 def value_histogram(df: DataFrame, value: str, places: int = 4) -> DataFrame:
-    """Rows per value rounded to report precision, with their sums."""
+    """Rows per value rounded to report precision, with their mean and the sum of squared
+    distances from it."""
     return df.groupBy(F.round(value, places).alias("_value")).agg(
         F.count(value).alias("_n"),
-        F.sum(value).alias("_sum"),
-        F.sum(F.col(value) * F.col(value)).alias("_square"),
+        F.avg(value).alias("_mean"),
+        (F.count(value) * F.var_pop(value)).alias("_spread"),
         F.min(value).alias("_min"),
         F.max(value).alias("_max"),
     )
@@ -54,11 +55,11 @@ def quantile_of(share: float, value="_value", reached="_reached", total="_total"
     return F.min(F.when(F.col(reached) >= F.col(total) * F.lit(share), F.col(value)))
 
 
-def moments_stddev(n, total, square) -> Column:
-    """Sample standard deviation from count, sum and sum of squares; null below 2 rows."""
-    n, total, square = as_column(n), as_column(total), as_column(square)
-    spread = F.greatest(square - total * total / n, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(spread / (n - 1)))
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation over rows where both are known; null if either is constant."""
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    deviations = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
+    return F.covar_pop(x, y) / F.nullif(deviations, F.lit(0.0))
 
 
 def confidence_stats(df: DataFrame, value: str = "confidence", places: int = 4) -> DataFrame:
@@ -79,14 +80,27 @@ def confidence_stats(df: DataFrame, value: str = "confidence", places: int = 4)
             {
                 "_reached": F.sum("_n").over(running),
                 "_total": F.sum("_n").over(Window.partitionBy()),
+                # Distances from the overall mean: sums of raw squares would lose them.
+                "_centre": F.sum(F.col("_n") * F.col("_mean")).over(Window.partitionBy())
+                / F.sum("_n").over(Window.partitionBy()),
             }
         )
         .agg(
-            rounded(F.sum("_sum") / F.sum("_n"), places).alias("average"),
+            rounded(F.first("_centre"), places).alias("average"),
             rounded(F.min("_min"), places).alias("minimum"),
             rounded(F.max("_max"), places).alias("maximum"),
             rounded(
-                moments_stddev(F.sum("_n"), F.sum("_sum"), F.sum("_square")), places
+                F.when(
+                    F.sum("_n") > 1,
+                    F.sqrt(
+                        F.sum(
+                            F.col("_spread")
+                            + F.col("_n") * F.pow(F.col("_mean") - F.col("_centre"), 2)
+                        )
+                        / (F.sum("_n") - 1)
+                    ),
+                ),
+                places,
             ).alias("std_deviation"),
             quantile_of(0.5).alias("median"),
             quantile_of(0.25).alias("q1"),
@@ -133,8 +147,8 @@ def length_by_sentiment(df: DataFrame) -> DataFrame:
 
 def confidence_correlations(df: DataFrame) -> DataFrame:
     return df.agg(
-        rounded(F.corr("text_length", "confidence"), 4).alias("text_length_confidence"),
-        rounded(F.corr("word_count", "confidence"), 4).alias("word_count_confidence"),
+        rounded(correlation("text_length", "confidence"), 4).alias("text_length_confidence"),
+        rounded(correlation("word_count", "confidence"), 4).alias("word_count_confidence"),
     )
 
 
@@ -280,3 +294,9 @@ def top_examples(
         .withColumn("rank", F.row_number().over(ranking))
         .filter(F.col("rank") <= k)
     )
+
+
+def ordered_groups(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows per group, the largest first, ties by key."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("count"))
+    return counts.orderBy(F.desc("count"), *keys)

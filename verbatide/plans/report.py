@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbatide.functions import measures as M
+from verbatide.operators.clustering import fit_clusters
 from verbatide.operators.statistics import quantile_of, top_examples
 
 NOTE_SCHEMA = (
@@ -30,20 +31,68 @@ FINE, COARSE = 4, 2
 
 
 def _sums(value: str, where: str | None = None, name: str | None = None) -> dict:
-    """Count, sum and sum of squares of a value, optionally only where a condition holds."""
+    """Count, mean and sum of squared distances from it, optionally only where a
+    condition holds."""
     name = name or value
     value = f"cast({value} as double)"
     if where is not None:
         value = f"case when {where} then {value} end"
     return {
         f"{name}_n": f"count({value})",
-        f"{name}_sum": f"sum({value})",
-        f"{name}_square": f"sum({value} * {value})",
+        f"{name}_mean": f"avg({value})",
+        f"{name}_spread": f"count({value}) * var_pop({value})",
     }
 
 
+def _products(x: str, y: str, name: str) -> dict:
+    """Of rows that know both values: what _sums tells, and the sum of products of their
+    distances from the means."""
+    return {
+        **_sums(x, f"{y} is not null", f"{name}_{x}"),
+        **_sums(y, f"{x} is not null", f"{name}_{y}"),
+        f"{name}_product": f"count({name}_both) * covar_pop({x}, {y})".replace(
+            f"{name}_both", f"case when {x} is not null and {y} is not null then 1 end"
+        ),
+    }
+
+
+def _summed(additive: dict) -> list:
+    return [n.removesuffix("_mean") for n in additive if n.endswith("_mean")]
+
+
+def _centred(profile: DataFrame, additive: dict) -> DataFrame:
+    """Turn means and spreads into sums that can be added up over any rows.
+
+    Distances are taken from the table's mean, which the profile's few rows tell, and
+    not from zero: raw sums of squares lose the digits a small deviation needs.
+    """
+    names = _summed(additive)
+    centre = {
+        n: f"sum({n}_n * {n}_mean) over () / nullif(sum({n}_n) over (), 0)" for n in names
+    }
+    profile = profile.withColumns({f"{n}_centre": F.expr(sql) for n, sql in centre.items()})
+    off = {n: f"({n}_mean - {n}_centre)" for n in names}
+    made = {f"{n}_sum": f"{n}_n * {off[n]}" for n in names}
+    made |= {f"{n}_square": f"{n}_spread + {n}_n * {off[n]} * {off[n]}" for n in names}
+    for cross in [n.removesuffix("_product") for n in additive if n.endswith("_product")]:
+        x, y = [n for n in names if n.startswith(f"{cross}_")]
+        made[f"{cross}_cross"] = f"{cross}_product + {x}_n * {off[x]} * {off[y]}"
+    return profile.withColumns({n: F.expr(sql) for n, sql in made.items()})
+
+
+def _merges(additive: dict) -> list:
+    """Sums over a profile's centred rows; centres are the same in all of them."""
+    sums = []
+    for name in additive:
+        stem, _, kind = name.rpartition("_")
+        sums.append({"mean": f"{stem}_sum", "spread": f"{stem}_square"}.get(kind, name))
+        if kind == "product":
+            sums[-1] = f"{stem}_cross"
+    return _merged(sums) + [F.max(f"{n}_centre").alias(f"{n}_centre") for n in _summed(additive)]
+
+
 def _mean(name: str) -> str:
-    return f"{name}_sum / nullif({name}_n, 0)"
+    return f"{name}_centre + {name}_sum / nullif({name}_n, 0)"
 
 
 def _spread(name: str) -> str:
@@ -127,7 +176,8 @@ def _report_rows(grouped: DataFrame, keys, sections) -> DataFrame:
 def comprehensive_report(
     df: DataFrame, time_col: str = "created_utc", bands=M.CONFIDENCE_BANDS
 ) -> DataFrame:
-    """Distribution, confidence, lengths, correlations, times and models of scored comments."""
+    """Distribution, confidence, lengths, correlations, times, models and clusters of
+    scored comments."""
     has_length = "text_length" in df.columns
     has_words = has_length and "word_count" in df.columns
     has_time = time_col in df.columns
@@ -155,13 +205,9 @@ def comprehensive_report(
         **_sums("conf"),
         **_sums("length"),
         **_sums("words"),
-        # For the correlations: sums over rows where both values are known.
-        **_sums("conf", "length is not null", "lc_conf"),
-        **_sums("length", "conf is not null", "lc_length"),
-        "lc_cross": "sum(conf * length)",
-        **_sums("conf", "words is not null", "wc_conf"),
-        **_sums("words", "conf is not null", "wc_words"),
-        "wc_cross": "sum(conf * words)",
+        # For the correlations: rows where both values are known.
+        **_products("conf", "length", "lc"),
+        **_products("conf", "words", "wc"),
     }
     extremes = {
         f"{name}_{end}": f"{end}({name})" for name in ("conf", "length") for end in ("min", "max")
@@ -195,10 +241,10 @@ def comprehensive_report(
     ]
     whole = _set_number(keys, ())
     grouped = (
-        _group_by_sets(_never_empty(profile), keys, sets)
+        _group_by_sets(_never_empty(_centred(profile, additive)), keys, sets)
         .agg(
             F.grouping_id().alias("_set"),
-            *_merged(additive),
+            *_merges(additive),
             *_aggregates({name: f"{name[-3:]}({name})" for name in extremes}),
             quantile_of(0.5).alias("median"),
             quantile_of(0.25).alias("q1"),
@@ -286,8 +332,28 @@ def comprehensive_report(
         ("metadata", name, None, "data_column", float(i), None)
         for i, name in enumerate(df.columns)
     ] + [(section, None, None, "error", None, note) for section, note in missing]
-    return _report_rows(grouped, keys, sections).unionByName(
-        df.sparkSession.createDataFrame(known, NOTE_SCHEMA)
+    return (
+        _report_rows(grouped, keys, sections)
+        .unionByName(df.sparkSession.createDataFrame(known, NOTE_SCHEMA))
+        .unionByName(cluster_section(df))
+    )
+
+
+def cluster_section(df: DataFrame, k: int = 3) -> DataFrame:
+    """Rows by cluster of the scores and sentiment; an error row where nothing can be
+    clustered. A pass of its own: the profile above does not hold the scores together."""
+    try:
+        counts = fit_clusters(df, k).counts()
+    except ValueError as error:
+        rows = [("cluster_sentiment", None, None, "error", None, str(error))]
+        return df.sparkSession.createDataFrame(rows, NOTE_SCHEMA)
+    return counts.select(
+        F.lit("cluster_sentiment").alias("section"),
+        F.col("cluster").cast("string").alias("key1"),
+        F.col("sentiment").alias("key2"),
+        F.lit("count").alias("metric"),
+        F.col("count").cast("double").alias("value"),
+        F.lit(None).cast("string").alias("note"),
     )
 
 
@@ -295,9 +361,9 @@ def _summed_report(df: DataFrame, keys, sets, additive: dict, extremes: dict, se
     """A report from one pass: reduce to the keys' combinations, then to each set."""
     profile = df.groupBy(*keys).agg(*_aggregates({**additive, **extremes}))
     names = profile.columns[: len(keys)]
-    grouped = _group_by_sets(_never_empty(profile), names, sets).agg(
+    grouped = _group_by_sets(_never_empty(_centred(profile, additive)), names, sets).agg(
         F.grouping_id().alias("_set"),
-        *_merged(additive),
+        *_merges(additive),
         *_aggregates({name: f"{name[-3:]}({name})" for name in extremes}),
     )
     return _report_rows(_known_groups(grouped, names), names, sections)

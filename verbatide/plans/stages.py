@@ -12,8 +12,10 @@ from verbatide.operators.preprocess import preprocess_text
 from verbatide.operators.sentiment import score_comments
 from verbatide.operators.statistics import ingestion_stats
 from verbatide.plans.report import comprehensive_report, dashboard, sentiment_summary
+from verbatide.schemas import RAW_COMMENT
 from verbatide.sinks.tables import (
     append_run,
+    result_columns,
     save_json,
     save_partitioned,
     save_report,
@@ -70,7 +72,7 @@ def ingest_stage(spark: SparkSession, settings: RunSettings, run_id: str, run_ts
     else:
         raw = scan_comments(spark, settings.comments, text_fallback=True)
     save_partitioned(ingest(raw, run_ts), settings.path("processed"), ["is_valid"])
-    stored = spark.read.parquet(settings.path("processed"))
+    stored = _processed(spark, settings)
     save_json(ingestion_stats(stored), settings.path("ingestion_statistics"), single_file=True)
     if settings.create_partitions:
         save_partitioned(filter_valid(stored), settings.path("processed_partitioned"))
@@ -78,28 +80,42 @@ def ingest_stage(spark: SparkSession, settings: RunSettings, run_id: str, run_ts
     return {"records": counts["total"], "valid": counts["retained"]}
 
 
-def score_stage(spark: SparkSession, settings: RunSettings, run_ts=None) -> dict:
-    """Stage 2: the scored table, and a summary of it."""
-    scored = (
-        spark.read.parquet(settings.path("processed"))
-        .transform(filter_valid)
-        .transform(
-            preprocess_text,
-            min_words=settings.min_words,
-            min_length=settings.min_text_length,
-            max_length=settings.max_text_length,
-        )
-        .transform(score_comments, run_ts=run_ts)
+def _processed(spark: SparkSession, settings: RunSettings) -> DataFrame:
+    """What stage 1 stored. The schema is stated, as an empty run stores no file."""
+    schema = ingest(spark.createDataFrame([], RAW_COMMENT)).schema
+    if settings.batch_mode:
+        schema = schema.add("batch_id", "string").add("source_file", "string")
+    return spark.read.schema(schema).parquet(settings.path("processed"))
+
+
+def _scored(processed: DataFrame, settings: RunSettings, scorer, run_ts=None) -> DataFrame:
+    cleaned = processed.transform(filter_valid).transform(
+        preprocess_text,
+        min_words=settings.min_words,
+        min_length=settings.min_text_length,
+        max_length=settings.max_text_length,
     )
+    return scorer(cleaned) if scorer is not None else score_comments(cleaned, run_ts=run_ts)
+
+
+def _stored_scores(spark: SparkSession, settings: RunSettings, scorer) -> DataFrame:
+    scored = _scored(_processed(spark, settings), settings, scorer)
+    schema = result_columns(scored, settings.include_original_text).schema
+    return read_results(spark, settings.path("sentiment"), schema)
+
+
+def score_stage(spark: SparkSession, settings: RunSettings, run_ts=None, scorer=None) -> dict:
+    """Stage 2: the scored table, and a summary of it."""
+    scored = _scored(_processed(spark, settings), settings, scorer, run_ts)
     save_sentiment(scored, settings.path("sentiment"), settings.include_original_text)
-    stored = spark.read.parquet(settings.path("sentiment"))
+    stored = _stored_scores(spark, settings, scorer)
     save_report(sentiment_summary(stored), settings.path("summary_report"))
     return {"records": stored.count(), "valid": None}
 
 
-def analytics_stage(spark: SparkSession, settings: RunSettings) -> dict:
+def analytics_stage(spark: SparkSession, settings: RunSettings, scorer=None) -> dict:
     """Stage 3. Reports are small tables; they are also saved as JSON documents."""
-    scored = read_results(spark, settings.path("sentiment"))
+    scored = _stored_scores(spark, settings, scorer)
     save_table(comprehensive_report(scored, settings.time_col), settings.path("report"))
     save_table(dashboard(scored, settings.time_col), settings.path("dashboard"))
     report = spark.read.parquet(settings.path("report"))
@@ -117,14 +133,20 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
-def run_stages(spark: SparkSession, settings: RunSettings, run_id: str, run_ts=None) -> RunRecord:
-    """All three stages; the run is logged whether it succeeds or fails."""
+def run_stages(
+    spark: SparkSession, settings: RunSettings, run_id: str, run_ts=None, scorer=None
+) -> RunRecord:
+    """All three stages; the run is logged whether it succeeds or fails.
+
+    ``scorer`` takes cleaned comments and adds the result columns; by default
+    keywords decide.
+    """
     record = RunRecord(run_id, start_time=_now())
     started = time.monotonic()
     stages = (
         ("data_ingestion", lambda: ingest_stage(spark, settings, run_id, run_ts)),
-        ("sentiment_processing", lambda: score_stage(spark, settings, run_ts)),
-        ("analytics_processing", lambda: analytics_stage(spark, settings)),
+        ("sentiment_processing", lambda: score_stage(spark, settings, run_ts, scorer)),
+        ("analytics_processing", lambda: analytics_stage(spark, settings, scorer)),
     )
     try:
         for name, stage in stages:

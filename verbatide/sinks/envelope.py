@@ -9,8 +9,9 @@ from verbatide.operators.ordering import with_row_index
 
 def envelope_details(df: DataFrame, order_by="id", run_ts=None) -> DataFrame:
     """Comments numbered from 1 in the order of a unique key."""
-    narrow = df.select(order_by, "text", "sentiment", "confidence")
-    return with_row_index(narrow, [order_by], "comment_id", start=1).select(
+    # Only keys are sorted and stored; texts are scored once, and joined to the numbers.
+    numbers = with_row_index(df.select(order_by), [order_by], "comment_id", start=1)
+    return df.select(order_by, "text", "sentiment", "confidence").join(numbers, order_by).select(
         "comment_id",
         F.col("text").alias("comment"),
         "sentiment",

@@ -1,10 +1,11 @@
 """Readers of comment files. Every schema is declared; nothing is inferred from
-data except in :func:`read_results`, whose JSON form has no fixed schema."""
+data except in :func:`read_results`, if it is given no schema for JSON."""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbatide.functions.text import is_blank
 from verbatide.operators.ingest import default_columns
 from verbatide.operators.ordering import with_row_index
 from verbatide.operators.statistics import scan_counts
@@ -69,7 +70,7 @@ def decodable_lines(lines: DataFrame) -> DataFrame:
         {"columnNameOfCorruptRecord": "_bad"},
     )
     return (
-        lines.filter(F.trim("value") != "")
+        lines.filter(~is_blank("value"))
         .withColumn("_parsed", parsed)
         .filter(F.col("_parsed._bad").isNull())
         .withColumn("text", F.coalesce("_parsed.text", F.lit("")))
@@ -96,14 +97,18 @@ def scan_bare_texts(spark: SparkSession, path: str, run_ts=None, **defaults) ->
     ).transform(default_columns, run_ts=run_ts, **defaults)
 
 
-def read_results(spark: SparkSession, path: str) -> DataFrame:
-    """A directory of Parquet results, else the same path read as JSON."""
-    try:
-        return spark.read.option("pathGlobFilter", "*.parquet").parquet(path)
-    except AnalysisException as error:
-        if _missing(error):
-            raise FileNotFoundError(f"no input at {path}") from error
-        return spark.read.json(path)
+def read_results(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """A directory of Parquet results, else the same path read as JSON.
+
+    JSON is read where there is no ``*.parquet`` file at all. Without a schema, both
+    forms tell their own, which for JSON takes a pass over the data.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    stored = _load(path, names.option("pathGlobFilter", "*.parquet").load)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if stored.select("path").isEmpty():
+        return reader.json(path)
+    return reader.option("pathGlobFilter", "*.parquet").parquet(path)
 
 
 def read_processed_or_raw(spark: SparkSession, processed: str, raw: str) -> DataFrame:
@@ -127,7 +132,7 @@ def scan_labelled(spark: SparkSession, path: str) -> DataFrame:
 
 def nonblank_line_count(spark: SparkSession, path: str) -> DataFrame:
     lines = _load(path, spark.read.text)
-    return lines.filter(F.trim("value") != "").agg(F.count("*").alias("lines"))
+    return lines.filter(~is_blank("value")).agg(F.count("*").alias("lines"))
 
 
 def stream_comments(

@@ -8,18 +8,89 @@ from verbatide.functions.text import as_column
 from verbatide.schemas import THREAD_COMMENT
 
 
-def _comments_of(strict: bool):
-    """A pandas UDF from a thread's JSON text to its comments in reading order.
+# Comments that a task gathers before it hands them on.
+BATCH_BYTES = 4 << 20
 
-    Replies nest without limit, which no fixed column expression can follow.
-    The walk keeps its own stack, so depth costs no recursion, and it looks at
-    each node once. Everything it uses lives inside it: workers need not have
-    this package.
+
+def _comments_of(document_at: int, strict: bool):
+    """A function from Arrow batches of threads to batches of comments in reading order.
+
+    Replies nest without limit, which no fixed column expression can follow. The walk
+    keeps its own stack; a document nested too deeply for the JSON library is read by
+    the loop below, which keeps one too. Everything it uses lives inside it: workers
+    need not have this package.
     """
-    import pandas as pd
+    batch_bytes = BATCH_BYTES
 
-    def walk(threads: pd.Series) -> pd.Series:
+    def flatten(batches):
         import json
+        import re
+        from json.decoder import scanstring
+
+        import pyarrow as pa
+
+        blank = re.compile(r"[ \t\n\r]*")
+        scalar = re.compile(r"true|false|null|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?")
+
+        def parse(text):
+            """As json.loads, for any depth of arrays and objects."""
+            at, stack, value, have = blank.match(text).end(), [], None, False
+            while True:
+                mark = text[at : at + 1]
+                if not have:
+                    if mark in ("{", "["):
+                        stack.append(({} if mark == "{" else [], None))
+                        at = blank.match(text, at + 1).end()
+                        if text[at : at + 1] == ("}" if mark == "{" else "]"):
+                            value, have = stack.pop()[0], True
+                            at = blank.match(text, at + 1).end()
+                        elif mark == "{":
+                            at = name(text, at, stack)
+                        continue
+                    if mark == '"':
+                        value, at = scanstring(text, at + 1, False)
+                    else:
+                        found = scalar.match(text, at)
+                        if found is None:
+                            raise ValueError(f"no JSON at {at}")
+                        value, at = json.loads(found[0]), found.end()
+                    at, have = blank.match(text, at).end(), True
+                    continue
+                if not stack:
+                    if at != len(text):
+                        raise ValueError(f"more after the document at {at}")
+                    return value
+                holder, key = stack[-1]
+                if key is None:
+                    holder.append(value)
+                else:
+                    holder[key] = value
+                at = blank.match(text, at + 1).end()
+                if mark == ",":
+                    have = False
+                    if key is not None:
+                        at = name(text, at, stack)
+                elif mark == ("]" if key is None else "}"):
+                    value = stack.pop()[0]
+                else:
+                    raise ValueError(f"no comma or end before {at}")
+
+        def name(text, at, stack):
+            """Read an object's next name; the place of its value."""
+            if text[at : at + 1] != '"':
+                raise ValueError(f"no name at {at}")
+            key, at = scanstring(text, at + 1, False)
+            at = blank.match(text, at).end()
+            if text[at : at + 1] != ":":
+                raise ValueError(f"no colon at {at}")
+            stack[-1] = (stack[-1][0], key)
+            return blank.match(text, at + 1).end()
+
+        def load(text):
+            try:
+                return json.loads(text)
+            except RecursionError:
+                return parse(text)
 
         def entries(listing):
             data = listing.get("data") if isinstance(listing, dict) else None
@@ -37,36 +108,47 @@ def _comments_of(strict: bool):
             return float(value) if is_number else None
 
         def comments(document):
-            if document is None:
-                return None
             try:
-                pending = entries(json.loads(document))[::-1]
+                pending = entries(load(document))[::-1]
             except ValueError:
                 if strict:
                     raise
-                return None
-            found = []
+                return
             while pending:
                 entry = pending.pop()
                 node = entry.get("data") if isinstance(entry, dict) else None
                 if not isinstance(node, (dict, list)) or entry.get("kind") != "t1":
                     continue
                 fields = node if isinstance(node, dict) else {}
-                found.append(
-                    {
-                        "id": words(fields.get("id")),
-                        "author": words(fields.get("author")),
-                        "body": words(fields.get("body")),
-                        "score": number(fields.get("score")),
-                        "depth": number(fields.get("depth")),
-                    }
-                )
+                texts = [words(fields.get(f)) for f in ("id", "author", "body")]
+                yield (*texts, number(fields.get("score")), number(fields.get("depth")))
                 pending.extend(entries(fields.get("replies"))[::-1])
-            return found
-
-        return threads.map(comments)
 
-    return F.pandas_udf(walk, T.ArrayType(THREAD_COMMENT))
+        def batch_of(batch, rows, found):
+            kept = [n for i, n in enumerate(batch.schema.names) if i != document_at]
+            at = pa.array(rows, pa.int64())
+            position, *parts = zip(*found) if found else ((),) * 6
+            kinds = (pa.string(),) * 3 + (pa.float64(),) * 2
+            columns = [batch.column(n).take(at) for n in kept]
+            columns.append(pa.array(position, pa.int32()))
+            columns += [pa.array(p, k) for p, k in zip(parts, kinds)]
+            made = ["position", "id", "author", "body", "score", "depth"]
+            return pa.RecordBatch.from_arrays(columns, [*kept, *made])
+
+        for batch in batches:
+            rows, found, size = [], [], 0
+            for row in range(batch.num_rows):
+                document = batch.column(document_at)[row].as_py()
+                for position, comment in enumerate(comments(document) if document is not None else ()):
+                    rows.append(row)
+                    found.append((position, *comment))
+                    size += 64 + len(comment[2])
+                    if size >= batch_bytes:
+                        yield batch_of(batch, rows, found)
+                        rows, found, size = [], [], 0
+            yield batch_of(batch, rows, found)
+
+    return flatten
 
 
 def flatten_threads(
@@ -77,10 +159,11 @@ def flatten_threads(
     Only entries of kind ``t1`` count, their replies right after them. A
     document that is no JSON yields nothing, or fails the query if ``strict``.
     """
-    kept = [name for name in threads.columns if name != document]
-    return threads.select(
-        *kept, F.posexplode(_comments_of(strict)(F.col(document))).alias("position", "comment")
-    ).select(*kept, "position", "comment.*")
+    kept = [field for field in threads.schema.fields if field.name != document]
+    made = [T.StructField("position", T.IntegerType()), *THREAD_COMMENT.fields]
+    return threads.mapInArrow(
+        _comments_of(threads.columns.index(document), strict), T.StructType([*kept, *made])
+    )
 
 
 def permalink_segment(url, index: int) -> Column:

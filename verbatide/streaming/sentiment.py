@@ -10,15 +10,15 @@ from verbatide.sinks.tables import result_columns
 from verbatide.sources.files import stream_comments
 
 
-def score_raw_comments(comments: DataFrame, run_ts=None) -> DataFrame:
-    """Raw comments, batch or stream, to scored ones. Row by row: no state, no shuffle."""
-    return (
-        comments.transform(ingest, run_ts)
-        .transform(filter_valid)
-        .transform(preprocess_text)
-        .transform(score_comments, run_ts=run_ts)
-        .transform(result_columns)
-    )
+def score_raw_comments(comments: DataFrame, run_ts=None, scorer=None) -> DataFrame:
+    """Raw comments, batch or stream, to scored ones. Row by row: no state, no shuffle.
+
+    ``scorer`` takes cleaned comments and adds the result columns; by default
+    keywords decide.
+    """
+    cleaned = comments.transform(ingest, run_ts).transform(filter_valid).transform(preprocess_text)
+    scored = scorer(cleaned) if scorer is not None else score_comments(cleaned, run_ts=run_ts)
+    return result_columns(scored)
 
 
 def start_sink(
@@ -51,9 +51,10 @@ def stream_sentiment(
     trigger_interval: str | None = "30 seconds",
     max_files_per_trigger: int | None = 10,
     run_ts=None,
+    scorer=None,
 ) -> StreamingQuery:
     """Score a folder's comment files as they arrive. The caller awaits the query."""
     comments = stream_comments(spark, source, max_files_per_trigger)
     return start_sink(
-        score_raw_comments(comments, run_ts), output, checkpoint, trigger_interval
+        score_raw_comments(comments, run_ts, scorer), output, checkpoint, trigger_interval
     )

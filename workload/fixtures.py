@@ -14,7 +14,6 @@ from verbatide.functions import scoring as S
 from verbatide.operators import ingest as I
 from verbatide.operators import preprocess as P
 from verbatide.operators import sentiment as U
-from verbatide.operators.ordering import spread
 
 RUN_TS = "2024-03-01 12:00:00"
 JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -25,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *keys) -> DataFrame:
-    return spread(table(spark, sf_dir, name), *keys)
+    # The given files have one row group each; text work should use all cores.
+    return table(spark, sf_dir, name).repartition(*keys)
 
 
 def _number(column) -> F.Column:
@@ -134,7 +134,15 @@ def rule_scored(spark, sf_dir) -> DataFrame:
     )
 
 
-def comment_lines(spark, sf_dir) -> DataFrame:
+# What Python calls white space, but Spark's trim() does not.
+ODD_BLANKS = ("", "\t", " \t ", "\x0b", "\u00a0", "\u2003 ")
+
+
+def _blank(blanks):
+    return F.element_at(F.array(*map(F.lit, blanks)), (F.col("doc_id") % len(blanks) + 1).cast("int"))
+
+
+def comment_lines(spark, sf_dir, blanks=("",)) -> DataFrame:
     """Comments as JSON lines; one broken and one blank line per labelled document."""
     lines = comments(spark, sf_dir).select(
         F.to_json(F.struct("*"), JSON_TIME).alias("value")
@@ -145,7 +153,7 @@ def comment_lines(spark, sf_dir) -> DataFrame:
             "value"
         )
     )
-    blank = labels.select(F.lit("").alias("value"))
+    blank = labels.select(_blank(blanks).alias("value"))
     return lines.unionByName(broken).unionByName(blank)
 
 
@@ -158,7 +166,7 @@ def bare_lines(spark, sf_dir) -> DataFrame:
     broken = labels.select(
         F.concat(F.lit("x"), _number("doc_id")).alias("id"), F.lit('{"text": "cut o').alias("value")
     )
-    blank = labels.select(F.concat(F.lit("y"), _number("doc_id")), F.lit("  "))
+    blank = labels.select(F.concat(F.lit("y"), _number("doc_id")), _blank(ODD_BLANKS))
     return lines.unionByName(broken).union(blank).orderBy("id").select("value")
 
 
@@ -244,6 +252,28 @@ def threads(spark, sf_dir) -> DataFrame:
     )
 
 
+def deep_threads(spark, sf_dir) -> DataFrame:
+    """A listing per conversation, in which each turn is the reply to the one before."""
+    fields = F.struct(
+        F.concat_ws("-", _number("conv_id"), _number("turn")).alias("id"),
+        F.col("role").alias("author"),
+        F.col("text").alias("body"),
+    )
+    opened = F.concat(
+        F.lit('{"kind":"Listing","data":{"children":[{"kind":"t1","data":'),
+        F.regexp_replace(F.to_json(fields), r"\}$", ""),
+        F.lit(',"replies":'),
+    )
+    turns = F.array_sort(F.collect_list(F.struct("turn", opened.alias("opened"))))
+    listed = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    return listed.select(
+        _number("conv_id").alias("thread"),
+        F.concat(
+            F.array_join("turns.opened", ""), F.lit('""'), F.repeat(F.lit("}}]}}"), F.size("turns"))
+        ).alias("document"),
+    )
+
+
 def permalinks(spark, sf_dir) -> DataFrame:
     """Page addresses, discussion addresses made of them, and lines to be skipped."""
     pages = table(spark, sf_dir, "pages")

@@ -100,6 +100,10 @@ def comprehensive(source: str, columns, absent=()) -> str:
         "model_sentiment_performance", source, ["sentiment", "model_version"],
         {"count": "count(*)", "avg_confidence": "round(avg(confidence), 4)"},
     )
+    # Which cluster a row is in depends on the fit; over all clusters, rows by sentiment.
+    selects.append(
+        entry("cluster_sentiment", "count", "count(*)", source, key2="sentiment", group="group by sentiment")
+    )
     return "\nunion all\n".join(selects)
 
 

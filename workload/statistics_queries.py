@@ -106,6 +106,19 @@ def a7(spark, sf_dir):
     return A.confidence_correlations(X.scored(spark, sf_dir))
 
 
+@query(
+    "a7_constant",
+    using(
+        "scored",
+        """select null::double as text_length_confidence,
+        null::double as word_count_confidence from (select count(*) from scored)""",
+    ),
+)
+def a7_constant(spark, sf_dir):
+    # One confidence for all: no correlation, and no division by zero.
+    return A.confidence_correlations(X.scored(spark, sf_dir).withColumn("confidence", F.lit(0.5)))
+
+
 HOURLY = """select hour(created_utc)::int as hour, sentiment, count(*) as count
     from scored group by all order by 1, 2"""
 
@@ -275,9 +288,34 @@ REPORT_COLUMNS = [
 ]
 
 
+def over_clusters(report):
+    """The report with its clusters' counts added up by sentiment."""
+    clustered = F.col("section") == "cluster_sentiment"
+    summed = report.filter(clustered).groupBy("section", "key2", "metric", "note").agg(
+        F.sum("value").alias("value"), F.lit(None).cast("string").alias("key1")
+    )
+    return report.filter(~clustered).unionByName(summed)
+
+
+def with_long_texts(df):
+    return df.withColumn("text_length", F.col("text_length") + F.lit(1_000_000_000))
+
+
+@query(
+    "a23_large_lengths",
+    using(
+        "scored",
+        "select * from (with long as (select * replace (text_length + 1000000000 as text_length) "
+        "from scored) " + sql.comprehensive("long", REPORT_COLUMNS) + ")",
+    ),
+)
+def a23_large(spark, sf_dir):
+    return over_clusters(R.comprehensive_report(with_long_texts(X.scored(spark, sf_dir))))
+
+
 @query("a23_comprehensive_report", using("scored", sql.comprehensive("scored", REPORT_COLUMNS)))
 def a23(spark, sf_dir):
-    return R.comprehensive_report(X.scored(spark, sf_dir))
+    return over_clusters(R.comprehensive_report(X.scored(spark, sf_dir)))
 
 
 @query("a24_dashboard", using("scored", sql.dashboard("scored")))
@@ -311,8 +349,7 @@ def t1_marked(spark, sf_dir):
     ),
 )
 def t2(spark, sf_dir):
-    counts = X.comments(spark, sf_dir).groupBy("subreddit").agg(F.count("*").alias("count"))
-    return counts.orderBy(F.desc("count"), "subreddit")
+    return A.ordered_groups(X.comments(spark, sf_dir), "subreddit")
 
 
 @query(

@@ -4,9 +4,11 @@ result to a new scratch path with Spark and reads it back through the operator."
 from pyspark.sql import functions as F
 
 from verbatide.operators import ingest as I
+from verbatide.operators import sentiment as U
 from verbatide.operators.statistics import scan_counts
 from verbatide.plans import report as R
 from verbatide.plans import stages as G
+from verbatide.plans.integrated import run_integrated
 from verbatide.sinks import envelope as N
 from verbatide.sinks import tables as K
 from verbatide.sources import files as S
@@ -17,11 +19,12 @@ from workload import fixtures as X
 from workload import reports_sql as sql
 from workload.oracle import using
 from workload.registry import query
+from workload.statistics_queries import over_clusters
 
 
-def written_lines(spark, sf_dir, name="comments.json"):
+def written_lines(spark, sf_dir, name="comments.json", blanks=("",)):
     path = f"{scratch_path(spark, 'lines')}/{name}"
-    X.comment_lines(spark, sf_dir).write.text(path)
+    X.comment_lines(spark, sf_dir, blanks).write.text(path)
     return path
 
 
@@ -141,18 +144,29 @@ def s7(spark, sf_dir):
     return df.groupBy("text", "comment_length").agg(F.count("*").alias("lines"))
 
 
+@query(
+    "s7_parquet_scan",
+    using("valid", "select id, text, comment_length from valid"),
+)
+def s7_parquet(spark, sf_dir):
+    path = scratch_path(spark, "processed")
+    K.save_table(X.valid(spark, sf_dir), path)
+    df = S.read_processed_or_raw(spark, path, scratch_path(spark, "absent"))
+    return df.select("id", "text", "comment_length")
+
+
 STREAMED = """select id, sentiment, round(confidence, 6) as confidence, word_count, text_length,
     model_version from keyword_scored where regexp_matches(text_cleaned, '[^ ]')
     union all select id, 'unknown', 0, word_count, text_length, 'empty' from cleaned
     where not regexp_matches(text_cleaned, '[^ ]')"""
 
 
-def drained(spark, sf_dir, files_per_trigger):
+def drained(spark, sf_dir, files_per_trigger, scorer=None):
     source = written_lines(spark, sf_dir, "stream_in")
     output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     running = stream_sentiment(
         spark, source, output, checkpoint, trigger_interval=None,
-        max_files_per_trigger=files_per_trigger, run_ts=X.RUN_TS,
+        max_files_per_trigger=files_per_trigger, run_ts=X.RUN_TS, scorer=scorer,
     )
     running.awaitTermination()
     return spark.read.parquet(output)
@@ -210,6 +224,16 @@ def s10(spark, sf_dir):
     return H.flatten_threads(X.threads(spark, sf_dir))
 
 
+@query(
+    "s10_deep_thread",
+    """select conv_id::varchar as thread, (row_number() over (partition by conv_id order by turn)
+      - 1)::int as position, conv_id || '-' || turn as id, role as author, text as body
+    from conversations""",
+)
+def s10_deep(spark, sf_dir):
+    return H.flatten_threads(X.deep_threads(spark, sf_dir)).drop("score", "depth")
+
+
 @query(
     "s11_parse_permalink",
     r"""with urls as (select url from pages union all
@@ -231,12 +255,13 @@ def s11(spark, sf_dir):
     ),
 )
 def s12(spark, sf_dir):
-    return S.nonblank_line_count(spark, written_lines(spark, sf_dir))
+    return S.nonblank_line_count(spark, written_lines(spark, sf_dir, blanks=X.ODD_BLANKS))
 
 
 @query("f6_skip_bad_lines", using("comments", "select coalesce(text, '') as text from comments"))
 def f6(spark, sf_dir):
-    return S.decodable_lines(spark.read.text(written_lines(spark, sf_dir)))
+    lines = written_lines(spark, sf_dir, blanks=X.ODD_BLANKS)
+    return S.decodable_lines(spark.read.text(lines))
 
 
 @query(
@@ -293,14 +318,14 @@ def k3(spark, sf_dir):
     "k3_save_sentiment_no_text",
     using(
         "scored",
-        "select id, sentiment, text_length, word_count from scored where sentiment = 'negative'",
+        "select id, sentiment, text_length, word_count from scored",
     ),
 )
 def k3_no_text(spark, sf_dir):
     path = scratch_path(spark, "sentiment")
     K.save_sentiment(X.scored(spark, sf_dir), path, include_original=False)
     kept = spark.read.parquet(path)
-    return kept.filter(F.col("sentiment") == "negative").select(
+    return kept.select(
         *[c for c in kept.columns if c in ("id", "text", "sentiment", "text_length", "word_count")]
     )
 
@@ -405,9 +430,10 @@ def k8_summary(spark, sf_dir):
     )
 
 
-def staged_run(spark, sf_dir):
-    settings = G.RunSettings(written_lines(spark, sf_dir), scratch_path(spark, "run"))
-    record = G.run_stages(spark, settings, "run_1", X.RUN_TS)
+def staged_run(spark, sf_dir, lines=None, scorer=None):
+    lines = lines or written_lines(spark, sf_dir)
+    settings = G.RunSettings(lines, scratch_path(spark, "run"))
+    record = G.run_stages(spark, settings, "run_1", X.RUN_TS, scorer)
     if record.status != "SUCCESS":
         raise RuntimeError(record.errors)
     return settings
@@ -421,7 +447,7 @@ def staged_run(spark, sf_dir):
         (select count(*) from ingested) + (select count(*) from labels) as records,
         (select count(*) from valid) as valid
         union all select 'run_1', 'SUCCESS', 'sentiment_processing', count(*), null from cleaned
-        union all select 'run_1', 'SUCCESS', 'analytics_processing', 12, null""",
+        union all select 'run_1', 'SUCCESS', 'analytics_processing', 13, null""",
     ),
 )
 def k9(spark, sf_dir):
@@ -468,4 +494,99 @@ STAGED = f"""staged as (select created_utc, text_length, word_count, sentiment,
 )
 def o1(spark, sf_dir):
     settings = staged_run(spark, sf_dir)
-    return spark.read.parquet(settings.path("report"))
+    return over_clusters(spark.read.parquet(settings.path("report")))
+
+
+# A stand-in for a model: by length, nothing for some texts, an error for others.
+MODEL_SQL = """case when contains(text_cleaned, 'nothing works') or contains(text_cleaned, 'awful')
+    then null else text_cleaned end"""
+
+
+def stand_in(df, out, text_col="text_cleaned"):
+    # Defined here, so that workers get it by value.
+    def load():
+        def score(texts):
+            if any("nothing works" in text for text in texts):
+                raise ValueError("no result")
+            return [
+                None if "awful" in text else ("Positive" if len(text) % 2 else "Negative", 50 + len(text) % 50)
+                for text in texts
+            ]
+
+        return score
+
+    return U.score_batches(df, load, text_col, out)
+
+
+CASCADE = f"""select id, case when m is not null
+      then case when length(m) % 2 = 1 then 'positive' else 'negative' end
+      when not regexp_matches(text_cleaned, '[^ ]') then 'unknown' else k end as sentiment,
+    case when m is not null then 'bert-sentiment-v1'
+      when not regexp_matches(text_cleaned, '[^ ]') then 'empty' else 'simple-keyword' end
+      as model_version from (select *, sentiment as k, {MODEL_SQL} as m from keyword_scored)"""
+
+
+@query("o1_classifier_run", using("keyword_scored", CASCADE))
+def o1_classifier(spark, sf_dir):
+    settings = staged_run(spark, sf_dir, scorer=U.classifier_scorer(stand_in, run_ts=X.RUN_TS))
+    scored = S.read_results(spark, settings.path("sentiment"))
+    return scored.select("id", "sentiment", "model_version")
+
+
+@query("r1_stream_classifier", using("keyword_scored", CASCADE))
+def r1_classifier(spark, sf_dir):
+    scorer = U.classifier_scorer(stand_in, run_ts=X.RUN_TS)
+    return drained(spark, sf_dir, 3, scorer).select("id", "sentiment", "model_version")
+
+
+@query(
+    "u5_cascade_in_batches",
+    using(
+        "cleaned",
+        f"""select id, case when m is null then 'neutral' when length(m) % 2 = 1 then 'positive'
+          else 'negative' end as sentiment,
+        case when m is null then 'none' else 'bert-sentiment-v1' end as model_version,
+        case when m is null then 0.5::double else (50 + length(m) % 50) / 100.0::double end
+          as confidence from (select *, {MODEL_SQL} as m from cleaned)""",
+    ),
+)
+def u5_batches(spark, sf_dir):
+    return (
+        stand_in(X.cleaned(spark, sf_dir), "_model")
+        .transform(U.fallback_cascade, ["_model"], default=("Neutral", 50.0, "none"))
+        .select("id", "sentiment_result.sentiment", "sentiment_result.model_version", "sentiment_result.confidence")
+    )
+
+
+@query(
+    "o1_empty_run",
+    using(
+        "comments",
+        """select * from (with empty as (select * from comments where text is null or trim(text, ' ') = '')
+        select 'SUCCESS' as status, 'data_ingestion' as stage, count(*) as records, 0::bigint as valid
+        from empty union all select 'SUCCESS', 'sentiment_processing', 0, null)""",
+    ),
+)
+def o1_empty(spark, sf_dir):
+    lines = f"{scratch_path(spark, 'lines')}/comments.json"
+    blank = X.comments(spark, sf_dir).filter(F.col("text").isNull() | (F.trim("text") == ""))
+    blank.select(F.to_json(F.struct("*"), X.JSON_TIME).alias("value")).write.text(lines)
+    settings = staged_run(spark, sf_dir, lines)
+    runs = spark.read.schema(G.RUN_SCHEMA).json(settings.path("run_log"))
+    return (
+        runs.select("status", F.explode("stages").alias("s"))
+        .select("status", "s.stage", "s.records", "s.valid")
+        .filter("stage <> 'analytics_processing'")
+    )
+
+
+@query(
+    "o1_integrated_run",
+    using("rule_scored", "select id, sentiment_label, confidence_score from rule_scored"),
+)
+def o1_integrated(spark, sf_dir):
+    path, output = scratch_path(spark, "enriched"), scratch_path(spark, "integrated")
+    X.comments(spark, sf_dir).transform(I.default_columns, run_ts=X.RUN_TS).write.json(path)
+    run_integrated(spark, path, output)
+    schema = "id string, sentiment_label string, confidence_score double"
+    return spark.read.schema(schema).json(f"{output}/detailed_results")

@@ -346,6 +346,29 @@ def p23(spark, sf_dir):
     )
 
 
+LONG_LENGTH = 5000
+
+
+@query(
+    "p23_encode_long",
+    r"""with words as (
+      select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+|[^\p{L}\p{N}\s\x{B}]') as t
+      from documents)
+    select doc_id, 5000 as ids, least(len(t), 4998)::bigint + 2 as attended, 0::bigint as unknown
+    from words""",
+)
+def p23_long(spark, sf_dir):
+    documents = X.texts(spark, sf_dir, "documents", "doc_id")
+    encoded = E.encode_tokens(documents, E.build_vocabulary(documents), LONG_LENGTH, key="doc_id")
+    attended = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x)
+    return encoded.select(
+        "doc_id",
+        F.size("input_ids").alias("ids"),
+        attended.alias("attended"),
+        F.size(F.filter("input_ids", lambda i: i == E.UNKNOWN)).cast("long").alias("unknown"),
+    )
+
+
 VERDICT = """select count(*) filter (lower({label}) = 'positive') as positive,
     count(*) filter (lower({label}) = 'negative') as negative,
     count(*) filter (lower({label}) = 'neutral') as neutral,
