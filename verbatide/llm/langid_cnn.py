@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verbatide.llm.sampling import first_of_groups
 from verbatide.llm.windows import text_bytes
 
 UNKNOWN = "und"
@@ -149,13 +150,15 @@ def is_held_out(doc_id) -> Column:
 
 def learn(docs: DataFrame) -> Network:
     """Train on documents with text and language that are not held out."""
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "text"))
     labelled = (
         docs.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
         .filter(~F.coalesce(is_held_out(F.col("doc_id")), F.lit(False)))
-        .select("doc_id", "lang", "text", F.xxhash64("doc_id", "text").alias("order"))
-        .select("lang", "text", number.alias("number"), "order")
-        .filter(F.col("number") <= DOCS_PER_LANGUAGE)
+        .select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
+    )
+    # Hashes are drawn first, texts read after; what is broadcast has a known size.
+    drawn = first_of_groups(labelled.select("lang", "order"), "lang", "order", DOCS_PER_LANGUAGE)
+    chosen = docs.sparkSession.createDataFrame(
+        drawn.distinct().toPandas(), "lang string, order long"
     )
 
     def pick(batches):
@@ -177,7 +180,8 @@ def learn(docs: DataFrame) -> Network:
                 names=["lang", "classes"],
             )
 
-    drawn = labelled.mapInArrow(pick, "lang string, classes binary").toPandas()
+    picked = labelled.join(F.broadcast(chosen), ["lang", "order"])
+    drawn = picked.mapInArrow(pick, "lang string, classes binary").toPandas()
     drawn = drawn.sort_values(["lang", "classes"], ignore_index=True)
     languages = sorted(drawn["lang"].unique())
     if not languages:

@@ -17,10 +17,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.llm.decontaminate import token_symbols
+from verbatide.llm.sampling import first_of_groups
 from verbatide.storage import cut_lineage
 
 FEATURES = 1 << 15
@@ -73,19 +74,16 @@ def train_classifier(docs: DataFrame, labels: DataFrame, domains) -> Classifier:
     ``domains`` or a null are left out, and a doc_id's least domain counts. At most
     TRAIN_PER_DOMAIN documents of each domain, drawn by hash, are read."""
     spark = docs.sparkSession
-    drawn = F.row_number().over(Window.partitionBy("domain").orderBy("order", "doc_id"))
-    chosen = (
+    one_each = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), "domain")
         .filter(F.col("doc_id").isNotNull() & F.col("domain").isin(*domains))
         .groupBy("doc_id")
         .agg(F.min("domain").alias("domain"))
         .withColumn("order", F.xxhash64("doc_id"))
-        .withColumn("number", drawn)
-        .filter(F.col("number") <= TRAIN_PER_DOMAIN)
-        .select("doc_id", "domain")
     )
+    chosen = first_of_groups(one_each, "domain", "order", TRAIN_PER_DOMAIN)
     # Read first, so that what is broadcast has the size the number above allows.
-    picked = chosen.toPandas()
+    picked = chosen.select("doc_id", "domain").toPandas()
     few = spark.createDataFrame(picked, "doc_id long, domain string")
 
     def read(batches):
