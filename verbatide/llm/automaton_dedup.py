@@ -20,11 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verbatide.llm.suffix_dedup import _batch, _parts
+from verbatide.llm.suffix_dedup import _batch, _parts, _spread
 from verbatide.llm.windows import (
     PIECE,
     covered,
-    mix,
     range_arrays,
     runs,
     seen_before,
@@ -117,7 +116,7 @@ def _ranked_runs(window: int, gram: int):
                 least, name, owner, lo, hi = runs(symbols, at, window, gram)
                 doc = ids[owner]
                 again = seen_before([least, name], doc)
-                least[again] = mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64))[again]
+                least[again] = _spread(doc, lo)[again]
                 yield _batch(
                     rank=least.view(np.int64),
                     doc_id=doc,

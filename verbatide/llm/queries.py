@@ -132,12 +132,50 @@ def op7(spark, sf_dir):
     return Q.embedding_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
-@query("op2_suffix_dedup")
+def _covered_sql(symbols, windows):
+    """Places ``p`` of each document with their symbol, and whether a window that a
+    smaller doc_id has covers them; ``windows`` gives (doc_id, p, w)."""
+    return f"""windows as ({windows}),
+    firsts as (select w, min(doc_id) as first from windows group by w),
+    found as (select doc_id, p, true as again from windows join firsts using (w)
+        where doc_id > first),
+    places as (select s.doc_id, s.p, s.symbol, coalesce(max(f.again::int) over (
+        partition by s.doc_id order by s.p rows between 49 preceding and current row), 0) = 1
+        as gone from ({symbols}) s left join found f using (doc_id, p)),
+    marked as (select *, gone and not coalesce(lag(gone) over (partition by doc_id order by p),
+        false) as opens from places)"""
+
+
+BYTES_SQL = f"""with docs as (select doc_id, encode(coalesce(text, '')) as b from documents),
+    {_covered_sql(
+        "select doc_id, p, hex(b[p + 1 : p + 1]) as symbol from docs, range(0, octet_length(b)::bigint) t(p)",
+        "select doc_id, p, b[p + 1 : p + 50] as w from docs, range(0, (octet_length(b) - 49)::bigint) t(p)",
+    )}
+    select doc_id, count(m.p)::bigint as n_bytes, count(*) filter (m.gone)::bigint as n_removed,
+    count(*) filter (m.opens)::bigint as n_spans,
+    sha256(unhex(coalesce(string_agg(m.symbol, '' order by m.p) filter (not m.gone), '')))
+        as kept_sha256
+    from docs left join marked m using (doc_id) group by doc_id"""
+
+
+@query("op2_suffix_dedup", BYTES_SQL)
 def op2(spark, sf_dir):
     return S.remove_repeats(table(spark, sf_dir, "documents"), window=50)
 
 
-@query("op5_automaton_dedup")
+WORDS_SQL = rf"""with docs as (select doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+    {_covered_sql(
+        "select doc_id, p, ws[p + 1] as symbol from docs, range(0, len(ws)::bigint) t(p)",
+        "select doc_id, p, md5(array_to_string(ws[p + 1 : p + 50], ' ')) as w from docs, range(0, (len(ws) - 49)::bigint) t(p)",
+    )}
+    select doc_id, count(m.p)::bigint as n_words, count(*) filter (m.gone)::bigint as n_removed,
+    sha256(coalesce(string_agg(m.symbol, ' ' order by m.p) filter (not m.gone), ''))
+        as kept_sha256
+    from docs left join marked m using (doc_id) group by doc_id"""
+
+
+@query("op5_automaton_dedup", WORDS_SQL)
 def op5(spark, sf_dir):
     return A.remove_repeated_passages(table(spark, sf_dir, "documents"), window=50).drop("kept")
 

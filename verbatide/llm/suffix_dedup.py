@@ -53,6 +53,11 @@ def _batch(**columns):
     return pa.record_batch([pa.array(c) for c in columns.values()], names=list(columns))
 
 
+def _spread(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Names that only spread rows evenly."""
+    return mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + place.astype(np.uint64))
+
+
 def _ranked_runs(window: int, gram: int):
     def rank(batches):
         for batch in batches:
@@ -63,7 +68,7 @@ def _ranked_runs(window: int, gram: int):
                 doc = ids[owner]
                 again = seen_before([least, name], doc)
                 # Decided rows need no partner: their ranks only spread them evenly.
-                least[again] = mix(doc.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + lo.astype(np.uint64))[again]
+                least[again] = _spread(doc, lo)[again]
                 yield _batch(
                     rank=least.view(np.int64),
                     run=name.view(np.int64),
@@ -125,7 +130,7 @@ def _no_rows():
 def _core_batch(out):
     core, name, doc, lo = (np.concatenate(c) for c in out[:4])
     again = seen_before([core, name], doc)
-    core[again] = mix(core + lo.astype(np.uint64) + doc.view(np.uint64))[again]
+    core[again] = _spread(doc, lo)[again]
     pieces = [p for part in out[4] for p in part]
     return _batch(core=core.view(np.int64), doc_id=doc, lo=lo, again=again, piece=pieces)
 
@@ -171,11 +176,16 @@ def _positions(window: int):
                 sizes = np.diff(own) - window + 1
                 turn = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                 p = np.repeat(own[:-1] - own[0], sizes) + turn
+                first, second = names.at(p, p + half), names.at(p + half, p + window)
+                own_doc, place = np.repeat(doc[some], sizes), np.repeat(lo[some], sizes) + turn
+                again = seen_before([first, second], own_doc)
+                first[again] = _spread(own_doc, place)[again]
                 yield _batch(
-                    first=names.at(p, p + half).view(np.int64),
-                    second=names.at(p + half, p + window).view(np.int64),
-                    doc_id=np.repeat(doc[some], sizes),
-                    lo=np.repeat(lo[some], sizes) + turn,
+                    first=first.view(np.int64),
+                    second=second.view(np.int64),
+                    doc_id=own_doc,
+                    lo=place,
+                    again=again,
                 )
 
     return rank
@@ -235,9 +245,11 @@ def repeated_ranges(texts: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
     single = (
         cores.filter("not again")
         .select("doc_id", "lo", "piece")
-        .mapInArrow(_positions(window), "first long, second long, doc_id long, lo long")
+        .mapInArrow(
+            _positions(window), "first long, second long, doc_id long, lo long, again boolean"
+        )
         .withColumn("lowest", F.min("doc_id").over(by_pair))
-        .filter("doc_id > lowest")
+        .filter("again or doc_id > lowest")
         .select("doc_id", "lo", F.col("lo").alias("hi"))
     )
     whole = rows.filter("again").select("doc_id", "lo", "hi")
