@@ -65,7 +65,7 @@ def test_simhash(documents):
     got = sorted((r.doc_id if r.doc_id is not None else -1, r.fingerprint, r.component_id) for r in V.near_duplicates(df).collect())
     assert got[0] == (-1, f"{prints[3]:016x}", 3)
     assert got[1:] == sorted((i, f"{prints[i]:016x}", want[i]) for i in [*range(n), 9])
-    kept = V.keep_first(df, words=4, radius=4)
+    kept = V.keep_first(df, words=4, radius=4, wide=0, total=None)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
     assert kept.columns == df.columns
     assert V.near_duplicates(documents([])).collect() == []
@@ -80,13 +80,30 @@ def test_shards_find_all_pairs(spark, monkeypatch):
     for _ in range(3):
         near ^= np.uint64(1) << draw.integers(0, 64, 300, dtype=np.uint64)
     every = np.unique(np.concatenate([points, near]))
-    df = spark.createDataFrame([(int(x),) for x in every.view(np.int64)], "fp long")
+    rows = [(int(x), int(x), []) for x in every.view(np.int64)]
+    df = spark.createDataFrame(rows, "node long, fp long, more array<long>")
     edges = [(r.a, r.b) for r in V.fingerprint_links(df, 4).collect()]
     at = {int(x): i for i, x in enumerate(every.view(np.int64))}
     i, j = np.nonzero(V.distance(every[:, None], every[None]) <= 4)
     assert classes(len(at), [(at[a], at[b]) for a, b in edges]) == classes(len(at), zip(i, j))
 
 
+def test_near_copies_go_and_others_stay(documents):
+    """Five-word shingles: a similarity of 0.8 or more is found, 0.5 is left alone."""
+    draw = random.Random(8)
+    rows, kin = [], []
+    for k in range(60):
+        words = [f"w{draw.randrange(3000)}" for _ in range(400)]
+        rows.append((2 * k, " ".join(words)))
+        for at in draw.sample(range(400), 5 if k % 2 else 40):
+            words[at] = "changed" + str(draw.randrange(9000))
+        rows.append((2 * k + 1, " ".join(words)))
+        if k % 2:
+            kin.append(2 * k + 1)
+    gone = {i for i, _ in rows} - {r.doc_id for r in V.keep_first(documents(rows)).collect()}
+    assert gone <= set(kin) and len(gone) >= 0.9 * len(kin)
+
+
 def test_vectors(spark, monkeypatch):
     monkeypatch.setattr(Q, "BLOCK", 16)
     draw = np.random.default_rng(1)
