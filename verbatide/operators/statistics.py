@@ -58,8 +58,11 @@ def quantile_of(share: float, value="_value", reached="_reached", total="_total"
 def correlation(x: str, y: str) -> Column:
     """Pearson correlation over rows where both are known; null if either is constant."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    deviations = F.stddev_pop(F.when(both, F.col(x))) * F.stddev_pop(F.when(both, F.col(y)))
-    return F.covar_pop(x, y) / F.nullif(deviations, F.lit(0.0))
+    known = [F.when(both, F.col(name)) for name in (x, y)]
+    # Merged partial results leave a constant with a deviation just above zero.
+    varies = (F.min(known[0]) < F.max(known[0])) & (F.min(known[1]) < F.max(known[1]))
+    deviations = F.nullif(F.stddev_pop(known[0]) * F.stddev_pop(known[1]), F.lit(0.0))
+    return F.when(varies, F.covar_pop(x, y) / deviations)
 
 
 def confidence_stats(df: DataFrame, value: str = "confidence", places: int = 4) -> DataFrame:

@@ -108,7 +108,12 @@ def _stddev(name: str) -> str:
 def _correlation(x: str, y: str, cross: str) -> str:
     """Pearson correlation from sums over the rows where both values are known."""
     covariance = f"({cross} - {x}_sum * {y}_sum / nullif({x}_n, 0))"
-    return f"{covariance} / nullif(sqrt({_spread(x)}) * sqrt({_spread(y)}), 0.0D)"
+    # What rounding leaves of a constant's spread counts as none.
+    varies = " and ".join(
+        f"{_spread(n)} > 1e-26D * {n}_n * {n}_centre * {n}_centre" for n in (x, y)
+    )
+    deviations = f"nullif(sqrt({_spread(x)}) * sqrt({_spread(y)}), 0.0D)"
+    return f"case when {varies} then {covariance} / {deviations} end"
 
 
 def _round(value: str, places: int = FINE) -> str:
