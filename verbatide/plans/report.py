@@ -6,6 +6,8 @@ once, to mergeable sums at the finest grain a report needs; that profile has
 a few thousand rows however large the table is, and grouping sets over it give
 all sections.
 
+Fixed values: the names of sections and metrics.
+
 A report is a long table (section, key1, key2, metric, value, note). Sections
 whose columns the input lacks have one row with metric ``error``.
 """

@@ -1,4 +1,7 @@
-"""Declared schemas, so that no reader has to infer one from the data."""
+"""Declared schemas, so that no reader has to infer one from the data.
+
+Fixed values: the names, types and order of the fields, as the files have them.
+"""
 
 from pyspark.sql import types as T
 

@@ -34,14 +34,16 @@ def save_table(df: DataFrame, path: str, file_format: str = "parquet") -> None:
 
 def save_partitioned(
     df: DataFrame, path: str, partition_cols=None, time_col: str = "processing_timestamp",
-    compact: bool = False,
+    compact: bool | None = None,
 ) -> None:
     """Parquet in one folder per partition value, by default per day of ``time_col``.
 
-    Each task writes a file per value it holds, without a shuffle. If there
-    are many values, ``compact`` first rebalances by them: few files per
-    folder, and adaptive execution splits a value that holds too much.
+    ``compact``, the default for days, first rebalances by the values: few files per
+    folder, and adaptive execution splits a value that holds too much. Without it,
+    each task writes a file per value it holds, and nothing is shuffled.
     """
+    if compact is None:
+        compact = partition_cols is None
     if partition_cols is None:
         df = df.withColumn("processing_date", date_key(time_col))
         partition_cols = ["processing_date"]
