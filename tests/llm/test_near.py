@@ -148,3 +148,35 @@ def test_float_vectors(spark, small):
     found = sum(r.n_links for r in Q.embedding_duplicates(df, 0.7).collect())
     true = near.sum() - len(rows)
     assert 0.9 * true <= found <= true
+
+
+def _shared(k, prefix, n=600, words=5):
+    """Two texts of n shingles each, of which the first k are the same."""
+    one = [f"{prefix}{i}" for i in range(n + words - 1)]
+    two = one[: k + words - 1] + [f"{prefix}x{i}" for i in range(n - k)]
+    return " ".join(one), " ".join(two)
+
+
+def test_links_are_confirmed_by_shingles(spark, documents, monkeypatch):
+    """Jaccard 0.8 or more goes, less stays, also beside a repeated line."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(V, "SET_BLOCK", 2000)
+    rows, kin = [], []
+    # Of n shingles each, k shared: similarity k / (2n - k).
+    for k in (494, 514, 533, 534, 540, 570):
+        for copy in range(6):
+            one, two = _shared(k, f"p{k}c{copy}w")
+            rows += [(len(rows), one), (len(rows) + 1, two)]
+            if k / (1200 - k) >= 0.8:
+                kin.append(len(rows) - 1)
+    # Two different texts, most of whose shingles are one line's repeats.
+    line = " ".join(["all", "rights", "are", "reserved", "here"] * 400)
+    for t in "ab":
+        rows.append((len(rows), f"{line} " + " ".join(f"l{t}{i}" for i in range(60))))
+    # Different lengths of the repeated line, and otherwise the same.
+    body = " ".join(f"m{i}" for i in range(200))
+    rows += [(len(rows), f"{body} {line}"), (len(rows) + 1, f"{body} " + " ".join(["all rights are reserved here"] * 5))]
+    kin.append(rows[-1][0])
+    kept = corpus_pipeline.first_of_near_copies(spark, documents(rows), None)
+    assert {i for i, _ in rows} - {r.doc_id for r in kept.collect()} == set(kin)

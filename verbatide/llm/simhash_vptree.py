@@ -28,6 +28,8 @@ from verbatide.storage import cut_lineage
 # (bounds the tree in each task: 24 bytes a node). The sample bounds what the driver sees.
 SHARD, LEAST_SHARDS, MOST_SHARDS = 16_384, 32, 8192
 SAMPLE_PER_SHARD, LEAF = 32, 64
+# A block of sets to compare, in shingles, and what a set counts besides its own.
+SET_BLOCK, SET_COST = 1 << 20, 256
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _LANES = np.uint64(0x0101010101010101)
@@ -59,9 +61,12 @@ def simhash(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(counts.ravel() * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, wide: int = 0) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, words: int = 4, seed: int = 42, wide: int = 0, distinct: bool = False
+) -> DataFrame:
     """(doc_id, fp, more) for every row; fp is the 64-bit fingerprint as a signed long,
-    and ``more`` has ``wide`` further ones, from the same hashes mixed anew.
+    and ``more`` has ``wide`` further ones, from the same hashes mixed anew. With
+    ``distinct``, a repeated shingle counts once, and ``node`` names the set of them.
 
     A-Z are lower-cased; words are what ASCII white space divides. A text with fewer
     words than a shingle has one shingle, all of them; null and blank texts have
@@ -70,26 +75,61 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, wide: int = 0)
 
     def read(batches):
         for batch in batches:
-            prints, more = [], []
+            prints, more, named = [], [], []
             for text in batch.column(1):
                 hashes = shingle_hashes(text.as_py(), words, seed)
+                if distinct:
+                    hashes = np.unique(hashes)
+                    named.append(set_name(hashes))
                 prints.append(simhash(hashes))
                 for _ in range(wide):
                     hashes = mix(hashes + _ANEW)
                     more.append(simhash(hashes))
             ends = pa.array(np.arange(len(prints) + 1, dtype=np.int32) * wide)
             further = pa.array(np.array(more, np.uint64).view(np.int64))
-            yield pa.record_batch(
-                [
-                    batch.column(0),
-                    pa.array(np.array(prints, np.uint64).view(np.int64)),
-                    pa.ListArray.from_arrays(ends, further),
-                ],
-                names=["doc_id", "fp", "more"],
-            )
+            columns = {
+                "doc_id": batch.column(0),
+                "fp": pa.array(np.array(prints, np.uint64).view(np.int64)),
+                "more": pa.ListArray.from_arrays(ends, further),
+            }
+            if distinct:
+                columns["node"] = pa.array(np.array(named, np.uint64).view(np.int64))
+            yield pa.record_batch(list(columns.values()), names=list(columns))
 
     ids = F.col("doc_id").cast("long").alias("doc_id")
-    return docs.select(ids, "text").mapInArrow(read, "doc_id long, fp long, more array<long>")
+    types = "doc_id long, fp long, more array<long>" + (", node long" if distinct else "")
+    return docs.select(ids, "text").mapInArrow(read, types)
+
+
+def set_name(hashes: np.ndarray) -> int:
+    """One number for a sorted set of hashes."""
+    return xxhash.xxh64_intdigest(hashes.tobytes())
+
+
+def shingle_sets(docs: DataFrame, words: int, seed: int) -> DataFrame:
+    """(node, shingles): each row's distinct shingles in order, and their name."""
+
+    def read(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), words, seed)) for t in batch.column(0)]
+            # As many sets as make up a part of bounded size, and one at least.
+            at = 0
+            while at < len(sets):
+                end, held = at + 1, len(sets[at])
+                while end < len(sets) and held + len(sets[end]) <= 1 << 20:
+                    held += len(sets[end])
+                    end += 1
+                some = sets[at:end]
+                ends = pa.array(np.cumsum([0, *map(len, some)]).astype(np.int32))
+                flat = pa.array(np.concatenate(some).view(np.int64))
+                named = np.array([set_name(x) for x in some], np.uint64).view(np.int64)
+                yield pa.record_batch(
+                    [pa.array(named), pa.ListArray.from_arrays(ends, flat)],
+                    names=["node", "shingles"],
+                )
+                at = end
+
+    return docs.select("text").mapInArrow(read, "node long, shingles array<long>")
 
 
 def distance(a, b) -> np.ndarray:
@@ -240,6 +280,96 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, total: int | None = No
     )
 
 
+def similar_sets(flat, ends, prints, sides, similarity: float, total: int):
+    """(child, parent): a spanning forest of the links among sets ``flat[ends[i] :
+    ends[i + 1]]`` whose Jaccard similarity is at least ``similarity``, out of those
+    whose rows of ``prints`` differ in ``total`` bits or fewer. If ``sides`` has two
+    values, only sets of different sides are compared."""
+    n, sizes = len(ends) - 1, np.diff(ends)
+    _, code = np.unique(flat, return_inverse=True)
+    held = np.zeros(len(flat), bool)
+    forest, both = Forest(n), len(np.unique(sides)) > 1
+    for i in range(n - 1):
+        others = np.arange(i + 1, n)
+        # What is already joined needs no comparison; components are all that counts.
+        others = others[forest.parent[others] != forest.parent[i]]
+        if both:
+            others = others[sides[others] != sides[i]]
+        small, large = np.minimum(sizes[others], sizes[i]), np.maximum(sizes[others], sizes[i])
+        others = others[small >= similarity * large - 1]
+        far = distance(prints[others], prints[i]).sum(axis=1, dtype=np.int64)
+        others = others[far <= total]
+        if not len(others):
+            continue
+        own = code[ends[i] : ends[i + 1]]
+        held[own] = True
+        common = np.array([held[code[ends[j] : ends[j + 1]]].sum() for j in others])
+        held[own] = False
+        union = sizes[i] + sizes[others] - common
+        close = others[(union > 0) & (common / np.maximum(union, 1) >= similarity)]
+        if len(close):
+            forest.add(np.full(len(close), i), close)
+            while not np.array_equal(up := forest.parent[forest.parent], forest.parent):
+                forest.parent = up
+    return forest.links()
+
+
+def confirmed_links(
+    docs: DataFrame, prints: DataFrame, loose: DataFrame, words: int, seed: int,
+    similarity: float, total: int,
+) -> DataFrame:
+    """(a, b): links between nodes of one loose component (node, root) whose sets of
+    shingles have at least the wanted Jaccard similarity.
+
+    A component beyond a block's size is dealt into blocks, and each pair of blocks is
+    a group of its own, so that no group grows with its component.
+    """
+    sets = (
+        shingle_sets(docs, words, seed)
+        .join(loose, "node", "left_semi")
+        .dropDuplicates(["node"])
+        .join(prints.select("node", "fp", "more"), "node")
+        .join(loose, "node")
+    )
+    # Only sets of linked texts, once each: read for the sizes, then for the blocks.
+    sets = cut_lineage(sets.withColumn("weight", F.size("shingles") + SET_COST))
+    blocks = (
+        sets.groupBy("root")
+        .agg(F.sum("weight").alias("weight"))
+        .select("root", F.ceil(F.col("weight") / SET_BLOCK).alias("blocks"))
+    )
+    dealt = (
+        sets.drop("weight")
+        .join(blocks, "root")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .select("root", "low", "high", "own", "node", "fp", "more", "shingles")
+    )
+
+    def confirm(table):
+        table = table.sort_by("node").combine_chunks()
+        n, nodes = table.num_rows, table.column("node").to_numpy()
+        listed = table.column("shingles").combine_chunks()
+        listed = listed.combine_chunks() if isinstance(listed, pa.ChunkedArray) else listed
+        sizes = listed.value_lengths().to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        fp = table.column("fp").to_numpy().view(np.uint64).reshape(n, 1)
+        more = table.column("more").combine_chunks().flatten().to_numpy().view(np.uint64)
+        child, parent = similar_sets(
+            listed.flatten().to_numpy(),
+            ends,
+            np.concatenate([fp, more.reshape(n, -1)], axis=1),
+            table.column("own").to_numpy(),
+            similarity,
+            total,
+        )
+        return pa.table({"a": pa.array(nodes[child]), "b": pa.array(nodes[parent])})
+
+    return dealt.groupBy("root", "low", "high").applyInArrow(confirm, "a long, b long")
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 4,
@@ -247,6 +377,7 @@ def near_duplicates(
     seed: int = 42,
     wide: int = 0,
     total: int | None = None,
+    similarity: float | None = None,
 ) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs``.
 
@@ -255,14 +386,25 @@ def near_duplicates(
     ``wide`` further fingerprints, a step has ``total`` or fewer bits over all of them.
     Null and blank texts have fingerprint zero and are linked like any other.
     Repeated rows are kept. An empty table gives no rows.
+
+    With ``similarity``, fingerprints are of distinct shingles and only find candidates:
+    a step needs sets of distinct shingles whose Jaccard similarity is at least that.
+    Texts are one then if their sets are equal.
     """
-    # One fingerprint names itself; several are named by a hash of all.
-    node = F.xxhash64("fp", "more") if wide else F.col("fp")
-    rows = cut_lineage(fingerprints(docs, words, seed, wide).withColumn("node", node))
+    if similarity is not None:
+        rows = cut_lineage(fingerprints(docs, words, seed, wide, distinct=True))
+    else:
+        # One fingerprint names itself; several are named by a hash of all.
+        node = F.xxhash64("fp", "more") if wide else F.col("fp")
+        rows = cut_lineage(fingerprints(docs, words, seed, wide).withColumn("node", node))
     prints = cut_lineage(
         rows.groupBy("node", "fp", "more").agg(F.min("doc_id").alias("first"))
     )
     roots = connected_components(fingerprint_links(prints, radius, total))
+    if similarity is not None:
+        most = radius if total is None else total
+        links = confirmed_links(docs, prints, roots, words, seed, similarity, most)
+        roots = connected_components(links)
     linked = prints.join(roots, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
     )
@@ -274,19 +416,26 @@ def near_duplicates(
 
 
 def keep_first(
-    docs: DataFrame, words: int = 5, radius: int = 16, wide: int = 2, total: int = 38
+    docs: DataFrame,
+    words: int = 5,
+    radius: int = 16,
+    wide: int = 2,
+    total: int = 38,
+    similarity: float | None = None,
 ) -> DataFrame:
     """The rows of ``docs``, with their columns, less all but one of each component.
 
     By default 192 bits, linked where four fifths agree: texts whose shingles have a
     Jaccard similarity of 0.8 differ in 29 give or take 5, unrelated ones in 96 give or
     take 7. The first 64 differ in no more than 16 then, but for one pair in seventy.
+    With ``similarity``, links are confirmed by the shingles themselves; the radius and
+    total have to be wide enough then to pass every similar pair.
     The smallest doc_id of a component stays, in one row. Rows without doc_id stay if
     no row of their component has one.
     """
-    found = near_duplicates(docs, words, radius, wide=wide, total=total).select(
-        "doc_id", "component_id"
-    )
+    found = near_duplicates(
+        docs, words, radius, wide=wide, total=total, similarity=similarity
+    ).select("doc_id", "component_id")
     first = cut_lineage(
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
     )
