@@ -180,3 +180,19 @@ def test_links_are_confirmed_by_shingles(spark, documents, monkeypatch):
     kin.append(rows[-1][0])
     kept = corpus_pipeline.first_of_near_copies(spark, documents(rows), None)
     assert {i for i, _ in rows} - {r.doc_id for r in kept.collect()} == set(kin)
+
+
+def test_crowded_label_is_searched_whole(spark):
+    """Short residuals: a label of which most is one tight group, against brute force."""
+    draw = np.random.default_rng(5)
+    centre = draw.normal(size=32)
+    centre /= np.linalg.norm(centre)
+    off = draw.normal(size=(1200, 32))
+    off *= draw.choice([0.1, 0.14, 0.18], (1200, 1)) / np.linalg.norm(off, axis=1, keepdims=True)
+    vectors = np.concatenate([centre + off, draw.normal(size=(100, 32))])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    true = (unit @ unit.T >= 0.98).sum() - len(rows)
+    got = Q.embedding_duplicates(df).collect()
+    assert 0.995 * true <= sum(r.n_links for r in got) <= true

@@ -6,7 +6,9 @@ Codes are cut into substrings, one table for each; vectors that share a label an
 substring meet in a bucket, and are compared there with their original vectors.
 
 The angle at the threshold gives the chance that a bit differs, hence the number of
-tables that finds a pair with a wanted probability. Substrings get longer with the
+tables that finds a pair with a wanted probability. Less the mean, vectors that crowd
+around it stand at wider angles: tables are planned for the shortest of what is left of
+them, and where that is too short, such vectors go to tables of uncentred codes too. Substrings get longer with the
 largest label, so that buckets stay of a size; if one rotation has not enough bits,
 further ones are learned from other starts.
 
@@ -31,6 +33,8 @@ from verbatide.storage import cut_lineage
 SAMPLE, ROUNDS = 8192, 40
 # A bucket's aim, a block's size, the chance to miss a pair at the threshold, rows a task.
 BUCKET, BLOCK, MISS, TASK_ROWS = 64, 512, 1e-3, 4096
+# Vectors shorter than this, less their label's mean, are not looked for by centred codes.
+SHORT = 0.75
 
 
 def learn_rotation(sample: np.ndarray, seed: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -60,8 +64,32 @@ def table_plan(largest: int, threshold: float) -> tuple[int, int]:
     return bits, max(1, math.ceil(math.log(MISS) / math.log(1 - same)))
 
 
+def centred_plan(largest: int, threshold: float, least: float) -> tuple[int, int, float]:
+    """(bits, tables, shortest) for vectors less their mean, of ``least`` length or more.
+
+    At lengths a, b >= shortest, a pair at the threshold has a cosine of no less than
+    1 - (1 - threshold) / shortest ** 2. Shortest is ``least`` if that takes no more than
+    twice the tables of whole vectors, else SHORT, else beyond all, with no tables; what
+    is shorter has to be found by uncentred codes."""
+    bits, plain = table_plan(largest, threshold)
+    for shortest in (least, max(least, SHORT)):
+        cosine = 1 - (1 - threshold) / shortest**2 if shortest > 0 else -1.0
+        if cosine > -0.99:
+            tables = table_plan(largest, cosine)[1]
+            if tables <= 2 * plain:
+                return bits, tables, shortest
+    return bits, 0, math.inf
+
+
+def even_projection(dim: int, seed: int) -> np.ndarray:
+    """A random (dim, bits) projection with orthogonal columns."""
+    return np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, min(dim, 64))))[0]
+
+
 def substrings(vectors: np.ndarray, projections: list, bits: int, tables: int) -> np.ndarray:
     """(rows, tables) substrings of the codes, as ints."""
+    if not tables:
+        return np.zeros((len(vectors), 0), np.int64)
     signs = np.concatenate([vectors @ p >= 0 for p in projections], axis=1)[:, : bits * tables]
     weights = 1 << np.arange(bits)
     return signs.reshape(len(vectors), tables, bits) @ weights
@@ -118,7 +146,6 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
     )
     largest, dim = sizes.agg(F.max("n"), F.max("dim")).first()
     largest, dim = largest or 0, dim or 1
-    bits, tables = table_plan(largest, threshold)
 
     def scale(batches):
         for batch in batches:
@@ -141,22 +168,55 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
         .select("label", F.col("m.mean").alias("mean"))
     )
     centred = usable.join(means, "label")
+
+    def lengths(batches):
+        for batch in batches:
+            rows = _unit(_matrix(batch.column("embedding"), dim))
+            rows -= _matrix(batch.column("mean"), dim)
+            yield pa.record_batch([pa.array(np.sqrt((rows * rows).sum(axis=1)))], names=["r"])
+
+    left = centred.select("embedding", "mean").mapInArrow(lengths, "r double")
+    least, least_long = left.agg(
+        F.min("r"), F.min(F.when(F.col("r") >= SHORT, F.col("r")))
+    ).first()
+    least = 1.0 if least is None else least
+    bits, tables, shortest = centred_plan(largest, threshold, least)
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold))
+    whole = 0
+    if least < shortest:
+        # Nothing lies between SHORT and the shortest of the long ones.
+        if least_long is not None:
+            bits, tables, shortest = centred_plan(largest, threshold, least_long)
+        else:
+            tables, shortest = 0, math.inf
+        whole = table_plan(largest, threshold)[1]
     drawn = centred.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
     sample = _unit(_matrix(drawn.column("embedding"), dim)) - _matrix(drawn.column("mean"), dim)
     per_rotation = min(dim, 64)
     projections = [
         learn_rotation(sample, seed) for seed in range(math.ceil(bits * tables / per_rotation))
     ]
+    uncentred = [
+        even_projection(dim, seed) for seed in range(math.ceil(bits * whole / per_rotation))
+    ]
 
     def index(batches):
-        """A row for each vector and table, with all of the vector's substrings."""
+        """A row for each vector and table that it is in, with all of the vector's
+        substrings; -1 where it is not."""
         for batch in batches:
             rows = _unit(_matrix(batch.column("embedding"), dim))
-            rows -= _matrix(batch.column("mean"), dim)
-            codes = substrings(rows, projections, bits, tables)
+            less = rows - _matrix(batch.column("mean"), dim)
+            codes = substrings(less, projections, bits, tables)
+            if whole:
+                length = np.sqrt((less * less).sum(axis=1))
+                codes[length < shortest] = -1
+                # The other end of a short vector's link is longer by no more than reach.
+                further = substrings(rows, uncentred, bits, whole)
+                further[length >= shortest + reach] = -1
+                codes = np.concatenate([codes, further], axis=1)
             listed = pa.array(codes.astype(np.int32).tolist(), pa.list_(pa.int32()))
-            for t in range(tables):
-                yield pa.record_batch(
+            for t in range(codes.shape[1]):
+                every = pa.record_batch(
                     [
                         batch.column("label"),
                         pa.array(np.full(len(rows), t, np.int32)),
@@ -167,6 +227,7 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
                     ],
                     names=["label", "t", "key", "vec_id", "codes", "embedding"],
                 )
+                yield every.filter(pa.array(codes[:, t] >= 0)) if whole else every
 
     indexed = centred.mapInArrow(
         index,
@@ -267,7 +328,8 @@ def _links(table: pa.Table, dim: int, threshold: float) -> pa.Table:
             x, y = np.nonzero(near)
             x, y = some[x], b[y]
             at = t[x][:, None] > np.arange(codes.shape[1])
-            fresh = (x != y) & ~((codes[x] == codes[y]) & at).any(axis=1)
+            same = (codes[x] == codes[y]) & (codes[x] >= 0)
+            fresh = (x != y) & ~(same & at).any(axis=1)
             x, y = x[fresh], y[fresh]
             counts += np.bincount(x, minlength=n)
             if crossed[own[0]]:
