@@ -196,3 +196,19 @@ def test_crowded_label_is_searched_whole(spark):
     true = (unit @ unit.T >= 0.98).sum() - len(rows)
     got = Q.embedding_duplicates(df).collect()
     assert 0.995 * true <= sum(r.n_links for r in got) <= true
+
+
+def test_shards_follow_all_dealt_rows(spark, monkeypatch):
+    """Many labels, or a bucket dealt into blocks, make more shards, not larger ones."""
+    monkeypatch.setattr(Q, "BLOCK", 16)
+    monkeypatch.setattr(Q, "TASK_ROWS", 64)
+    seen, links = [], Q.shard_number
+    monkeypatch.setattr(Q, "shard_number", lambda rows, least: seen.append(rows) or links(rows, 1))
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.normal(size=8).tolist(), i % 50) for i in range(1000)]
+    rows += [(1000 + i, [1.0] * 8, 50) for i in range(160)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = Q.embedding_duplicates(df).collect()
+    # Every table deals each of 160 equal vectors to 10 blocks, and all others once.
+    assert seen and seen[0] >= 160 * 10 + 1000 and links(seen[0], 1) >= seen[0] / 64
+    assert sum(r.n_links for r in got if r.vec_id >= 1000) == 160 * 159

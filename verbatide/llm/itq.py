@@ -234,13 +234,14 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
         f"label {types['label']}, t int, key int, vec_id {types['vec_id']}, codes array<int>, "
         f"embedding {types['embedding']}",
     )
-    crowded = (
+    buckets = cut_lineage(
         indexed.groupBy("label", "t", "key")
         .count()
-        .filter(F.col("count") > BLOCK)
-        .select("label", "t", "key", F.ceil(F.col("count") / BLOCK).alias("blocks"))
+        .select("label", "t", "key", "count", F.ceil(F.col("count") / BLOCK).alias("blocks"))
     )
-    shards = max(12, math.ceil(largest * tables / TASK_ROWS) if largest else 1, _tasks(spark))
+    crowded = buckets.filter(F.col("blocks") > 1).drop("count")
+    dealt_rows = buckets.agg(F.sum(F.col("count") * F.col("blocks"))).first()[0] or 0
+    shards = shard_number(dealt_rows, _tasks(spark))
     own = F.pmod(F.xxhash64("vec_id"), F.col("blocks"))
     dealt = (
         indexed.join(crowded, ["label", "t", "key"], "left")
@@ -290,6 +291,11 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
     )
 
 
+def shard_number(dealt_rows: int, least: int) -> int:
+    """Shards of about TASK_ROWS of the rows that buckets are dealt into, all labels'."""
+    return max(12, math.ceil(dealt_rows / TASK_ROWS), least)
+
+
 def _tasks(spark) -> int:
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
