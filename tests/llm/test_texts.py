@@ -194,3 +194,17 @@ def test_pipeline(spark, small, small_docs, tmp_path):
     assert after.count() == docs.count() > 0.8 * small_docs.count()
     texts = [r.text for r in docs.select("text").collect()]
     assert len(texts) == len(set(texts))
+
+
+def test_repeated_rows_train_once(spark, documents, monkeypatch):
+    """Copies of a row neither reach the driver nor take other rows' places in the draw."""
+    rows = [(i, f"text number {i} of some words {'abc'[i % 3]}", "en") for i in range(1, 40)]
+    more = [*rows, *rows[:1] * 500, *rows[1:2] * 500]
+    seen = []
+    monkeypatch.setattr(L, "train", lambda rows, target, languages: seen.append(sorted(map(bytes, rows))))
+    monkeypatch.setattr(M.Classifier, "fit", lambda self, rows, target: seen.append(len(rows)) or self)
+    labels = spark.createDataFrame([(i, "good") for i, *_ in rows], "doc_id long, domain string")
+    for docs in (documents(rows), documents(more)):
+        L.learn(docs)
+        M.train_classifier(docs, labels, ["good", "low"])
+    assert seen[0] == seen[2] and seen[1] == seen[3] == 39

@@ -156,10 +156,10 @@ def learn(docs: DataFrame) -> Network:
         .select("lang", "text", F.xxhash64("doc_id", "text").alias("order"))
     )
     # Hashes are drawn first, texts read after; what is broadcast has a known size.
-    drawn = first_of_groups(labelled.select("lang", "order"), "lang", "order", DOCS_PER_LANGUAGE)
-    chosen = docs.sparkSession.createDataFrame(
-        drawn.distinct().toPandas(), "lang string, order long"
-    )
+    # A repeated row is drawn and read once.
+    hashes = labelled.select("lang", "order").distinct()
+    drawn = first_of_groups(hashes, "lang", "order", DOCS_PER_LANGUAGE)
+    chosen = docs.sparkSession.createDataFrame(drawn.toPandas(), "lang string, order long")
 
     def pick(batches):
         for batch in batches:
@@ -181,6 +181,7 @@ def learn(docs: DataFrame) -> Network:
             )
 
     picked = labelled.join(F.broadcast(chosen), ["lang", "order"])
+    picked = picked.groupBy("lang", "order").agg(F.min("text").alias("text"))
     drawn = picked.mapInArrow(pick, "lang string, classes binary").toPandas()
     drawn = drawn.sort_values(["lang", "classes"], ignore_index=True)
     languages = sorted(drawn["lang"].unique())

@@ -103,7 +103,9 @@ def train_classifier(docs: DataFrame, labels: DataFrame, domains) -> Classifier:
     examples = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(few), "doc_id")
-        .select("doc_id", "domain", "text")
+        # Repeated rows of a document are one example: the least text that is not null.
+        .groupBy("doc_id", "domain")
+        .agg(F.min("text").alias("text"))
         .mapInArrow(read, "doc_id long, domain string, ids array<long>, weights array<double>")
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("domain", "ascending")])
