@@ -208,3 +208,20 @@ def test_repeated_rows_train_once(spark, documents, monkeypatch):
         L.learn(docs)
         M.train_classifier(docs, labels, ["good", "low"])
     assert seen[0] == seen[2] and seen[1] == seen[3] == 39
+
+
+def test_rates_go_on_until_targets_are_met(spark, caplog):
+    """A fit that needs more than 60 rounds, and one that cannot be met, which says so."""
+    draw = np.random.default_rng(0)
+    posterior, tokens = draw.dirichlet([1] * 3, 40), draw.integers(1, 500, 40)
+    df = spark.createDataFrame(
+        [(i, int(n), p.tolist()) for i, (n, p) in enumerate(zip(tokens, posterior))],
+        "doc_id long, n_tokens long, posterior array<double>",
+    ).coalesce(1)
+    wanted = np.array([0.6, 0.3, 0.1]) * tokens.sum()
+    rates = np.array([r.rate for r in M.fit_rates(df, list(wanted)).orderBy("doc_id").collect()])
+    assert np.abs((rates * tokens) @ posterior - wanted).max() <= 2e-6 * tokens.sum()
+    assert not caplog.records
+    two = df.selectExpr("n_tokens", "array(0.25, 0.75, 0.0) posterior")
+    M.fit_rates(two, [100.0, 300.0, 50.0])
+    assert "targets [100.0, 300.0, 50.0]" in caplog.text

@@ -15,6 +15,8 @@ correlated domains do not slow the rounds down.
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,11 +26,13 @@ from verbatide.llm.decontaminate import token_symbols
 from verbatide.llm.sampling import first_of_groups
 from verbatide.storage import cut_lineage
 
+LOG = logging.getLogger(__name__)
 FEATURES = 1 << 15
 # At most so many labelled documents of a domain train the classifier.
 TRAIN_PER_DOMAIN = 1500
 STEPS, BATCH, RATE, DECAY, SEED = 1000, 64, 0.05, 1e-5, 11
-ROUNDS, STORED_EVERY, TOLERANCE = 60, 10, 1e-6
+# Rounds go on while a domain's largest gap in so many rounds shrinks by a hundredth.
+STALLED, STORED_EVERY, TOLERANCE = 30, 10, 1e-6
 
 
 def _features(symbols: np.ndarray):
@@ -146,12 +150,12 @@ def domain_posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
     ).mapInArrow(read, "place long, doc_id long, n_tokens long, posterior array<double>")
 
 
-def fit_rates(members: DataFrame, targets: list[float], rounds: int = ROUNDS) -> DataFrame:
+def fit_rates(members: DataFrame, targets: list[float]) -> DataFrame:
     """``members`` (n_tokens, posterior, ...) with the column ``rate``.
 
     ``targets`` are the wanted tokens per domain. Rates start alike, with the wanted
-    total, and stop when the totals are within TOLERANCE of the targets or as near as
-    nonnegative rates get. A domain no document belongs to stays short of its target.
+    total, and stop when the totals are within TOLERANCE of the targets or come no nearer.
+    The totals reached are logged beside the targets, as a warning if they differ. A domain no document belongs to stays short of its target.
     A table without tokens, or without rows, has rate 0 for all rows.
     """
     k = len(targets)
@@ -175,9 +179,12 @@ def fit_rates(members: DataFrame, targets: list[float], rounds: int = ROUNDS) ->
     inverse = np.linalg.pinv(metric, rcond=1e-10, hermitian=True)
     # Accelerated: gradients are taken at ``_ahead``, where the last step points.
     state, pace = state.withColumn("_ahead", start), 1.0
-    for turn in range(1, rounds + 1):
+    allowed, gaps, turn = TOLERANCE * wanted.sum(), [], 0
+    while True:
+        turn += 1
         reached, ahead = totals(state, "rate", "_ahead")
-        if np.abs(reached - wanted).max() <= TOLERANCE * wanted.sum():
+        gaps.append(np.abs(reached - wanted))
+        if gaps[-1].max() <= allowed or _stalled(gaps, allowed):
             break
         step = inverse @ (ahead - wanted)
         move = sum((p * float(s) for p, s in zip(share, step)), F.lit(0.0))
@@ -192,9 +199,22 @@ def fit_rates(members: DataFrame, targets: list[float], rounds: int = ROUNDS) ->
         pace = faster
         if turn % STORED_EVERY == 0:
             state = cut_lineage(state)
+    level = logging.INFO if gaps[-1].max() <= allowed else logging.WARNING
+    LOG.log(
+        level, "rates after %d rounds: totals %s, targets %s", turn, reached.tolist(), wanted.tolist()
+    )
     return state.drop("_ahead")
 
 
+def _stalled(gaps: list, allowed: float) -> bool:
+    """Whether no domain beyond what is allowed came nearer in the last STALLED rounds."""
+    if len(gaps) % STALLED or len(gaps) < 2 * STALLED:
+        return False
+    before = np.max(gaps[-2 * STALLED : -STALLED], axis=0)
+    last = np.max(gaps[-STALLED:], axis=0)
+    return not ((last > allowed) & (last < 0.99 * before)).any()
+
+
 def mix(
     docs: DataFrame, labels: DataFrame, weights: dict[str, float], budget: float = 1.0
 ) -> DataFrame:
