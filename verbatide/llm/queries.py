@@ -7,6 +7,7 @@ from verbatide.llm import decontaminate as D
 from verbatide.llm import itq as Q
 from verbatide.llm import langid_cnn as L
 from verbatide.llm import mixing as M
+from verbatide.llm import packing as P
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm import suffix_dedup as S
 from verbatide.llm import token_counts as T
@@ -212,3 +213,12 @@ def op4(spark, sf_dir):
     labels = label_domains(table(spark, sf_dir, "labels"))
     mixed = M.mix(table(spark, sf_dir, "documents"), labels, MIX_WEIGHTS)
     return mixed.drop("place")
+
+@query("op12_packing")
+def op12(spark, sf_dir):
+    import public_tokenizers
+
+    packed = P.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=2048
+    )
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
