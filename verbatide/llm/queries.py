@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from verbatide.llm import automaton_dedup as A
 from verbatide.llm import decontaminate as D
+from verbatide.llm import dual_tree as C
 from verbatide.llm import itq as Q
 from verbatide.llm import langid_cnn as L
 from verbatide.llm import mixing as M
@@ -222,3 +223,43 @@ def op12(spark, sf_dir):
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), size=2048
     )
     return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def _nearest_sql(name, book):
+    """Each part's nearest entry of ``book``, ties to the lower index."""
+    return f"""{name} as (select vec_id, label, k, x, min({{'d': far, 'j': j}}) as hit from (
+        select p.vec_id, p.label, p.k, p.x, b.j, list_inner_product(p.x, p.x)
+        - 2 * list_inner_product(p.x, b.c) + list_inner_product(b.c, b.c) as far
+        from p join {book} b on p.k = b.k) group by all)"""
+
+
+def _renewed_sql(name, hits, book):
+    """The entries of ``book`` as floored means of their parts; unused ones stay."""
+    return f"""{name}_s as (select k, hit.j as j, i, floor(sum(x[i]) / count(*)) as m
+        from {hits}, range(1, (select max(len(x)) + 1 from p)) t(i) group by all),
+    {name}_l as (select k, j, list(m order by i) as c from {name}_s group by all),
+    {name} as (select b.k, b.j, coalesce(l.c, b.c) as c from {book} b
+        left join {name}_l l on b.k = l.k and b.j = l.j)"""
+
+
+CODES_SQL = f"""with v as (select vec_id, label, [floor(256 * x::double) for x in embedding] as z
+        from embeddings where embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+    p as (select vec_id, label, k, z[(k * len(z) // 16 + 1)::bigint : ((k + 1) * len(z) // 16)::bigint] as x
+        from v, range(16) t(k)),
+    b0 as (select k, row_number() over (partition by k order by vec_id) - 1 as j, x as c
+        from p where vec_id in (select vec_id from v order by vec_id limit 64)),
+    {_nearest_sql("h0", "b0")}, {_renewed_sql("b1", "h0", "b0")},
+    {_nearest_sql("h1", "b1")}, {_renewed_sql("b2", "h1", "b1")},
+    {_nearest_sql("h2", "b2")},
+    r as (select vec_id, label, string_agg(printf('%02x', hit.j), '' order by k) as code,
+        sum(hit.d)::bigint as error from h2 group by all),
+    digest as (select sha256(string_agg(array_to_string([y::bigint for y in c], ','), ',' order by k, j))
+        as h from b2)
+    select vec_id, label, code, error, sum(error) over (partition by label)::bigint as label_error,
+    (select h from digest) as codebooks_sha256 from r"""
+
+
+@query("op13_dual_tree_codes", CODES_SQL)
+def op13(spark, sf_dir):
+    return C.vector_codes(table(spark, sf_dir, "embeddings"), parts=16, size=64, scale=256, rounds=2)
