@@ -9,6 +9,7 @@ from verbatide.llm import itq as Q
 from verbatide.llm import langid_cnn as L
 from verbatide.llm import mixing as M
 from verbatide.llm import packing as P
+from verbatide.llm import periodic_runs as R
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm import suffix_dedup as S
 from verbatide.llm import token_counts as T
@@ -263,3 +264,71 @@ CODES_SQL = f"""with v as (select vec_id, label, [floor(256 * x::double) for x i
 @query("op13_dual_tree_codes", CODES_SQL)
 def op13(spark, sf_dir):
     return C.vector_codes(table(spark, sf_dir, "embeddings"), parts=16, size=64, scale=256, rounds=2)
+
+
+RUNS_SQL = r"""with t as (select list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+        from range(256) r(i)),
+    h as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws,
+        xor(list_reduce(list_prepend(4294967295::bigint,
+            [ascii(x)::bigint for x in string_split(doc_id::varchar, '')]),
+            lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) as h from documents, t),
+    g as (select doc_id, ws, h % 10 = 0 and len(ws) > 0 as planted, len(ws) as n,
+        (h // 10) % greatest(len(ws), 1) as a, 3 + (h // 10) % 8 as c from h),
+    w as (select doc_id, p, ws[case when planted and p >= a
+        then a + (p - a) % (1 + (n - a) // c) else p end + 1] as w from g, range(0, n) t(p)),
+    e as (select x.doc_id, x.p, y.p - x.p as q from w x join w y
+        on x.doc_id = y.doc_id and x.w = y.w and y.p > x.p),
+    i as (select *, p - row_number() over (partition by doc_id, q order by p) as i from e),
+    s as (select doc_id, q, min(p) as start, count(*) + q as length from i group by doc_id, q, i),
+    r as (select doc_id, start, length, min(q) as period from s
+        where length >= 12 and length >= 2 * q group by all),
+    k as (select w.doc_id, w.p, w.w, count(r.start) = 0 as kept from w left join r
+        on w.doc_id = r.doc_id and w.p >= r.start + r.period and w.p < r.start + r.length group by all),
+    c as (select doc_id, string_agg(w, ' ' order by p) filter (kept) as text from k group by 1),
+    b as (select doc_id, count(*) as n, max({'l': length, 's': -start, 'p': -period}) as top,
+        string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as runs
+        from r group by 1)
+    select g.doc_id, coalesce(b.n, 0)::bigint as n_runs, (-top.s)::bigint as start,
+    top.l::bigint as length, (-top.p)::bigint as period,
+    (1000 * top.l // -top.p)::bigint as exponent_milli, sha256(coalesce(runs, '')) as runs_sha256,
+    sha256(coalesce(c.text, '')) as collapsed_sha256
+    from g left join b using (doc_id) left join c using (doc_id)"""
+
+
+def with_planted_runs(docs):
+    """(doc_id, text): of one document in ten, by its number's CRC-32, the words from a
+    place on repeat those that follow it. Null doc_id: as it is."""
+    h = F.crc32(F.col("doc_id").cast("long").cast("string").cast("binary"))
+    words = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words",
+        F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))),
+    )
+    sized = words.withColumn("g", F.expr("h div 10")).withColumn("n", F.expr("nullif(size(words), 0)"))
+    placed = sized.withColumn("a", F.expr("cast(g % n as int)")).withColumn(
+        "p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)")
+    )
+    planted = F.expr(
+        "concat_ws(' ', slice(words, 1, a),"
+        " slice(flatten(array_repeat(slice(words, a + 1, p), cast((n - a) div p + 1 as int))), 1, n - a))"
+    )
+    return placed.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", RUNS_SQL)
+def op11(spark, sf_dir):
+    found = R.collapse_runs(with_planted_runs(table(spark, sf_dir, "documents")), least=12)
+    best = F.expr(
+        "array_max(transform(runs, r -> struct(r.length as l, -r.start as s, -r.period as p)))"
+    )
+    lines = F.expr(r"concat_ws('', transform(runs, r -> concat_ws(',', r.start, r.length, concat(r.period, '\n'))))")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.l div -best.p").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
