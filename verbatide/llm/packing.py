@@ -14,6 +14,8 @@ So whatever a task emits is full, and memory holds the open windows and a block
 from __future__ import annotations
 
 import json
+import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +28,49 @@ from verbatide.llm.token_counts import PRE_TOKEN
 from verbatide.storage import scratch_path
 
 # Characters encoded at once, ids that a batch of rows holds, and pre-tokens remembered.
-TEXT_BLOCK, ID_BLOCK, REMEMBERED = 1 << 21, 1 << 21, 1 << 19
+TEXT_BLOCK, ID_BLOCK, REMEMBERED = 1 << 21, 1 << 21, 1 << 18
 # Tasks whose open windows are merged together.
-MERGED_TASKS = 64
+MERGED_TASKS = 16
 # Merged sequences are numbered from here, a task's own from its number times 2 ** 32.
 MERGED = 1 << 62
 
 # Beyond these characters, notions of letters and white space may differ between libraries.
 _UNSURE = regex.compile("[^\t\n\r -~\xa0-ſ‐-‟…€]").search
 _split = regex.compile(PRE_TOKEN).findall
+# The same for texts of ASCII alone.
+_split_ascii = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+).findall
+# Fixed value: byte-level vocabularies spell visible Latin-1 bytes as themselves and the
+# others, in order, as the characters from U+0100 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SPELLED = {b: chr(256 + i) for i, b in enumerate(sorted(set(range(256)) - _VISIBLE))}
+# Texts by which a tokenizer is tried before its pre-tokens are taken apart here.
+_TRIAL = "It's they'll  12 o'clock,\n\n a\tb \x7f  \xe9\xfc\u017f \xa0\xbd? \u201cend\u201d\u2026 \u20ac5 "
 _loaded: dict = {}
 
 
+class Pieces(dict):
+    """Pre-tokens to ids, learned when first asked for; ``older`` are those of before."""
+
+    def __init__(self, tokenizer, older=()):
+        super().__init__()
+        self.tokenize, self.older = tokenizer.model.tokenize, older
+
+    def __missing__(self, token):
+        if token in self.older:
+            ids = self.older.pop(token)
+        else:
+            if token.isascii() and token.isprintable():
+                spelled = token.replace(" ", _SPELLED[32])
+            else:
+                spelled = token.encode().decode("latin-1").translate(_SPELLED)
+            found = [piece.id for piece in self.tokenize(spelled)]
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self[token] = ids
+        return ids
+
+
 class Encoder:
     """Texts to ids, as bytes of little-endian unsigned 32-bit numbers.
 
@@ -64,40 +97,26 @@ class Encoder:
         )
         marks = [t["content"] for t in kind["added_tokens"]]
         self.marked = regex.compile("|".join(map(regex.escape, marks))).search if marks else None
-        self.known: dict = {}
+        self.known = Pieces(self.tokenizer)
+        if self.divides:
+            own = b"".join(map(self.known.__getitem__, _split(_TRIAL)))
+            self.divides = own == self._whole(_TRIAL)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list = []
-        for text in texts:
-            whole = not self.divides or _UNSURE(text) or (self.marked and self.marked(text))
-            parts.append(None if whole else _split(text))
-        self._learn([p for p in parts if p is not None])
-        known = self.known.__getitem__
-        return [
-            self._whole(text) if part is None else b"".join(map(known, part))
-            for text, part in zip(texts, parts)
-        ]
+        if len(self.known) > REMEMBERED:
+            self.known.older = {}
+            self.known = Pieces(self.tokenizer, self.known)
+        return [self._one(text) for text in texts]
+
+    def _one(self, text):
+        if not self.divides or _UNSURE(text) or (self.marked and self.marked(text)):
+            return self._whole(text)
+        split = _split_ascii if text.isascii() else _split
+        return b"".join(map(self.known.__getitem__, split(text)))
 
     def _whole(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, parts):
-        new = list({token for part in parts for token in part if token not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            # What the block at hand needs is learned anew.
-            self.known.clear()
-            new = list({token for part in parts for token in part})
-        for at in range(0, len(new), 512):
-            some = new[at : at + 512]
-            found = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(some)), side="right")
-            start = 0
-            for token, end in zip(some, ends.tolist()):
-                self.known[token] = ids[start:end].tobytes()
-                start = end
-
-
 def encoder(path: str) -> Encoder:
     if path not in _loaded:
         _loaded[path] = Encoder(path)
