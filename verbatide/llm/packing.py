@@ -19,12 +19,10 @@ import struct
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from verbatide.llm.token_counts import PRE_TOKEN
 from verbatide.storage import scratch_path
 
 # Characters encoded at once, ids that a batch of rows holds, and pre-tokens remembered.
@@ -35,11 +33,12 @@ MERGED_TASKS = 16
 MERGED = 1 << 62
 
 # Beyond these characters, notions of letters and white space may differ between libraries.
-_UNSURE = regex.compile("[^\t\n\r -~\xa0-ſ‐-‟…€]").search
-_split = regex.compile(PRE_TOKEN).findall
-# The same for texts of ASCII alone.
-_split_ascii = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
+_UNSURE = re.compile("[^\t\n\r -~\xa0-ſ‐-‟…€]").search
+# How byte-level BPE of this family divides a text, with the letters and
+# numbers among the characters above.
+_LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾"
+_split = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTERS}]+| ?[{_NUMBERS}]+| ?[^\s{_LETTERS}{_NUMBERS}]+|\s+(?!\S)|\s+"
 ).findall
 # Fixed value: byte-level vocabularies spell visible Latin-1 bytes as themselves and the
 # others, in order, as the characters from U+0100 on.
@@ -96,7 +95,7 @@ class Encoder:
             and not model.get("dropout")
         )
         marks = [t["content"] for t in kind["added_tokens"]]
-        self.marked = regex.compile("|".join(map(regex.escape, marks))).search if marks else None
+        self.marked = re.compile("|".join(map(re.escape, marks))).search if marks else None
         self.known = Pieces(self.tokenizer)
         if self.divides:
             own = b"".join(map(self.known.__getitem__, _split(_TRIAL)))
@@ -111,8 +110,7 @@ class Encoder:
     def _one(self, text):
         if not self.divides or _UNSURE(text) or (self.marked and self.marked(text)):
             return self._whole(text)
-        split = _split_ascii if text.isascii() else _split
-        return b"".join(map(self.known.__getitem__, split(text)))
+        return b"".join(map(self.known.__getitem__, _split(text)))
 
     def _whole(self, text):
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
