@@ -1,11 +1,14 @@
 """Clustering and the text classifier (M, A10, U4). What an iterative fit gives differs
 between engines; its properties, which SQL can state, do not."""
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from verbatide.operators import classifier as C
 from verbatide.operators import clustering as L
+from verbatide.operators import epochs as T
 from verbatide.operators import evaluation as V
+from verbatide.operators.subwords import SubwordEncoder
 from verbatide.storage import cut_lineage, scratch_path
 from workload import fixtures as X
 from workload.oracle import using
@@ -138,6 +141,64 @@ def m3(spark, sf_dir):
     )
 
 
+@query(
+    "m3_epoch_training",
+    LABELLED + """select 2::bigint as epochs, count(label) filter (doc_id % 5 <> 0) as rows,
+    count(label) filter (doc_id % 5 = 0) as judged, true as kept_by_rule,
+    true as no_worse_than_majority from labelled""",
+)
+def m3_epochs(spark, sf_dir):
+    """Each epoch sees every row, the model that lies at the path is that of T4's epoch,
+    and its plain accuracy is not below the larger class's share."""
+    train, held_out = split(spark, sf_dir)
+    path = scratch_path(spark, "epochs")
+    runs = T.train_by_epochs(
+        train, held_out, path, epochs=2, rate=0.02, exchanges=1, maxlen_train=128,
+        maxlen_validation=256, words=5000,
+    )
+    logits = cut_lineage(
+        C.load_model(path).transform(held_out.filter("label is not null")).select("doc_id", "logit", "label")
+    )
+    again = V.batched_evaluation(logits, "doc_id").select(F.col("accuracy").alias("again"))
+    judged = logits.agg(
+        F.count("*").alias("judged"),
+        F.avg(((F.col("logit") > 0) == (F.col("label") == 1)).cast("int")).alias("plain"),
+        F.avg("label").alias("share"),
+    )
+    seen = runs.agg(F.count("*").alias("epochs"), F.min("rows").alias("rows"), F.max("rows").alias("most"))
+    last = runs.filter("saved").agg(F.max("epoch").alias("last"))
+    chosen = T.saved_epoch(runs).select(F.col("epoch").alias("chosen"), "accuracy")
+    # Each of these has one row.
+    return seen.crossJoin(last).crossJoin(chosen).crossJoin(again).crossJoin(judged).select(
+        "epochs",
+        F.when(F.col("rows") == F.col("most"), F.col("rows")).alias("rows"),
+        "judged",
+        ((F.col("last") == F.col("chosen")) & (F.col("accuracy") == F.col("again"))).alias("kept_by_rule"),
+        (F.col("plain") >= F.greatest("share", 1 - F.col("share"))).alias("no_worse_than_majority"),
+    )
+
+
+@query(
+    "m4_save_load_encoder",
+    LABELLED + "select count(*) as rows, 0::bigint as mismatches, 4 as first_id from labelled",
+)
+def m4_encoder(spark, sf_dir):
+    """Pieces and settings are saved with the model: another session encodes alike."""
+    rows = X.labelled(spark, sf_dir)
+    model = Pipeline(stages=[SubwordEncoder(inputCol="sentence", maxlen=64, words=2000)]).fit(rows)
+    before, path = scratch_path(spark, "ids"), scratch_path(spark, "encoder")
+    C.save_model(model, path)
+    model.transform(rows).write.parquet(before)
+    loaded = PipelineModel.read().session(spark.newSession()).load(path)
+    kept = spark.read.parquet(before).withColumnsRenamed({"input_ids": "ids", "attention_mask": "mask"})
+    same = F.col("ids").eqNullSafe(F.col("input_ids")) & F.col("mask").eqNullSafe(F.col("attention_mask"))
+    return loaded.transform(kept).agg(
+        F.count("*").alias("rows"),
+        F.count_if(~same).alias("mismatches"),
+        F.min(F.array_min(F.filter("input_ids", lambda i: i > 3))).alias("first_id"),
+    )
+
+
 @query(
     "m4_save_load_model",
     LABELLED + "select count(*) as rows, 0::bigint as mismatches from labelled",

@@ -6,6 +6,7 @@ from verbatide.functions import measures as M
 from verbatide.functions import scoring as S
 from verbatide.functions import text as T
 from verbatide.operators import encoding as E
+from verbatide.operators.subwords import SubwordEncoder
 from verbatide.operators import ingest as I
 from verbatide.operators import preprocess as P
 from verbatide.operators import sentiment as U
@@ -346,6 +347,58 @@ def p23(spark, sf_dir):
     )
 
 
+PIECE_WORDS = 500
+
+
+@query(
+    "p23_subword_encode",
+    rf"""with recursive words as (
+      select doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}\s\x{{B}}]') as t
+      from documents),
+    counted as (select token, count(*) as n from (select unnest(t) as token from words)
+      group by token),
+    ranked as (select token, row_number() over (order by n desc, token) as r from counted),
+    head as (select token, row_number() over (order by r) - 1 as i from ranked
+      where r <= {PIECE_WORDS} and length(token) <= 64),
+    rare as (select c, row_number() over (order by c) - 1 as i from (
+      select distinct unnest(string_split(token, '')) as c from counted
+      except select token from head)),
+    sizes as (select (select count(*) from head) as h, (select count(*) from rare) as k),
+    pieces as (
+      select token as piece, 4 + i as id, true as starts from head
+      union all select token, 4 + h + i, false from head, sizes
+      union all select c, 4 + 2 * h + i, true from rare, sizes
+      union all select c, 4 + 2 * h + k + i, false from rare, sizes),
+    used as (select distinct unnest(t[1:48]) as token from words),
+    spans as (select token, p, l, substring(token, p, l) as piece, p = 1 as starts from used,
+      range(1, length(token) + 1) a(p), range(1, least(66, length(token) - p + 1) + 1) b(l)),
+    best as (select token, p, max(l) as l, arg_max(id, l) as id
+      from spans join pieces using (piece, starts) group by token, p),
+    walk as (
+      select token, 1::bigint as p, []::bigint[] as ids from used
+      union all
+      select w.token, w.p + b.l, list_append(w.ids, b.id) from walk w join best b
+      on w.token = b.token and w.p = b.p),
+    encoded as (select token, ids from walk where p > length(token)),
+    placed as (select doc_id, unnest(t[1:48]) as token,
+      generate_subscripts(t[1:48], 1) as pos from words),
+    bodies as (select doc_id, flatten(list(ids order by pos))[1:48] as ids
+      from placed join encoded using (token) group by doc_id),
+    listed as (select doc_id, [2] || coalesce(ids, []) || [3] as ids
+      from words left join bodies using (doc_id))
+    select doc_id, array_to_string(ids || list_resize([]::bigint[], 50 - len(ids), 0), ',')
+      as input_ids, len(ids)::bigint as attended from listed""",
+)
+def p23_subwords(spark, sf_dir):
+    documents = X.texts(spark, sf_dir, "documents", "doc_id")
+    encoder = SubwordEncoder(inputCol="text", maxlen=50, words=PIECE_WORDS).fit(documents)
+    return encoder.transform(documents).select(
+        "doc_id",
+        F.array_join("input_ids", ",").alias("input_ids"),
+        F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("attended"),
+    )
+
+
 LONG_LENGTH = 5000
 
 
