@@ -31,8 +31,10 @@ FEATURES = 1 << 15
 # At most so many labelled documents of a domain train the classifier.
 TRAIN_PER_DOMAIN = 1500
 STEPS, BATCH, RATE, DECAY, SEED = 1000, 64, 0.05, 1e-5, 11
-# Rounds go on while a domain's largest gap in so many rounds shrinks by a hundredth.
-STALLED, STORED_EVERY, TOLERANCE = 30, 10, 1e-6
+# Of the wanted tokens; and the rounds after which a fit that creeps is ended, with a warning.
+TOLERANCE, MOST_ROUNDS = 1e-6, 60
+# Lengths of step that a round tries.
+LENGTHS = tuple(4.0**i for i in range(-3, 9))
 
 
 def _features(symbols: np.ndarray):
@@ -150,69 +152,125 @@ def domain_posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
     ).mapInArrow(read, "place long, doc_id long, n_tokens long, posterior array<double>")
 
 
+def _replayed(start: float, steps: list):
+    """A function from posteriors (rows, domains) to the rates after all steps."""
+
+    def rates(posterior: np.ndarray):
+        rate = np.full(len(posterior), start)
+        for step in steps:
+            rate = np.maximum(rate - posterior @ step, 0.0)
+        return rate
+
+    return rates
+
+
+def _blocks(batch, k):
+    """(tokens, posteriors) of a batch's rows."""
+    return (
+        batch.column("n_tokens").to_numpy().astype(float),
+        batch.column("posterior").flatten().to_numpy().reshape(-1, k),
+    )
+
+
 def fit_rates(members: DataFrame, targets: list[float]) -> DataFrame:
     """``members`` (n_tokens, posterior, ...) with the column ``rate``.
 
-    ``targets`` are the wanted tokens per domain. Rates start alike, with the wanted
-    total, and stop when the totals are within TOLERANCE of the targets or come no nearer.
-    The totals reached are logged beside the targets, as a warning if they differ. A domain no document belongs to stays short of its target.
+    ``targets`` are the wanted tokens per domain. The rates are nonnegative and minimise
+    the squared distance of the domains' expected totals from the targets: these are met
+    if they can be, to TOLERANCE of all tokens. Rates start alike, with the wanted total.
+
+    Each round is a projected step along the rows' gradients, which all follow from one
+    vector of the domains: as it is, or scaled by the moments of all rows or of those
+    whose rate is above zero. One pass adds up totals and moments for several lengths of
+    each, and the best is taken; rows replay the steps so far, so no state is stored
+    between rounds. Among the steps is one that is short enough to bring a gain wherever
+    there is one, so a round that brings next to none ends the fit at the optimum; as a
+    last resort MOST_ROUNDS does. What was reached is logged, as a warning if it differs.
     A table without tokens, or without rows, has rate 0 for all rows.
     """
     k = len(targets)
     wanted = np.array(targets, float)
-    share = [F.element_at("posterior", i + 1) for i in range(k)]
-    tokens = F.col("n_tokens").cast("double")
+    members = members.withColumn("posterior", F.col("posterior").cast("array<double>"))
 
-    def totals(df, *names):
-        row = df.agg(*[F.sum(F.col(n) * tokens * p) for n in names for p in share]).first()
-        return np.array([x or 0.0 for x in row]).reshape(len(names), k)
+    def survey(start, steps, trials):
+        """(totals, moments of rows above zero, moments of all) after each trial step."""
+        rates, width = _replayed(start, steps), k + k * k
 
-    moments = members.agg(
-        F.sum(tokens), *[F.sum(tokens * a * b) for a in share for b in share]
-    ).first()
-    whole = moments[0] or 0.0
-    start = F.lit(wanted.sum() / whole if whole else 0.0)
-    state = members.withColumn("rate", start)
+        def add_up(batches):
+            sums, both = np.zeros((len(trials), width)), np.zeros((k, k))
+            for batch in batches:
+                tokens, posterior = _blocks(batch, k)
+                weighted = posterior * tokens[:, None]
+                both += weighted.T @ posterior
+                now = rates(posterior)
+                for own, trial in zip(sums, trials):
+                    rate = np.maximum(now - posterior @ trial, 0.0)
+                    above = rate > 0
+                    own[:k] += rate @ weighted
+                    own[k:] += (weighted[above].T @ posterior[above]).ravel()
+            flat = np.append(sums.ravel(), both.ravel()).tolist()
+            yield pa.record_batch([pa.array([flat], pa.list_(pa.float64()))], names=["sums"])
+
+        parts = members.select("n_tokens", "posterior").mapInArrow(add_up, "sums array<double>")
+        # Few rows: one for each task, of a size that the domains alone fix.
+        listed = parts.select(F.posexplode("sums").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
+        found = np.zeros(len(trials) * width + k * k)
+        for row in listed.collect():
+            found[row.i] = row.x
+        shaped = found[: -k * k].reshape(len(trials), width)
+        return shaped[:, :k], shaped[:, k:].reshape(-1, k, k), found[-k * k :].reshape(k, k)
+
+    whole = members.agg(F.sum(F.col("n_tokens").cast("double"))).first()[0] or 0.0
     if not whole:
-        return state
-    metric = np.array([x or 0.0 for x in moments[1:]]).reshape(k, k)
-    inverse = np.linalg.pinv(metric, rcond=1e-10, hermitian=True)
-    # Accelerated: gradients are taken at ``_ahead``, where the last step points.
-    state, pace = state.withColumn("_ahead", start), 1.0
-    allowed, gaps, turn = TOLERANCE * wanted.sum(), [], 0
-    while True:
-        turn += 1
-        reached, ahead = totals(state, "rate", "_ahead")
-        gaps.append(np.abs(reached - wanted))
-        if gaps[-1].max() <= allowed or _stalled(gaps, allowed):
+        return members.withColumn("rate", F.lit(0.0))
+    start, steps, rounds = wanted.sum() / whole, [], 0
+    allowed = TOLERANCE * wanted.sum()
+    (reached,), (active,), moments = survey(start, steps, [np.zeros(k)])
+    safe = 1 / max(np.linalg.eigvalsh(moments).max(), 1e-300)
+    invert = lambda m: np.linalg.pinv(m, rcond=1e-10, hermitian=True)
+    while np.abs(reached - wanted).max() > allowed and rounds < MOST_ROUNDS:
+        rounds += 1
+        gap = reached - wanted
+        ways = (gap * safe, invert(moments) @ gap, invert(active) @ gap)
+        trials = [way * length for way in ways for length in LENGTHS]
+        totals, actives, _ = survey(start, steps, trials)
+        best = int(((totals - wanted) ** 2).sum(axis=1).argmin())
+        nearer = np.sqrt((gap**2).sum()) - np.sqrt(((totals[best] - wanted) ** 2).sum())
+        if nearer <= 0.01 * allowed:
             break
-        step = inverse @ (ahead - wanted)
-        move = sum((p * float(s) for p, s in zip(share, step)), F.lit(0.0))
-        faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        beyond = F.col("_new") + float((pace - 1) / faster) * (F.col("_new") - F.col("rate"))
-        state = (
-            state.withColumn("_new", F.greatest(F.col("_ahead") - move, F.lit(0.0)))
-            .withColumn("_ahead", beyond)
-            .withColumn("rate", F.col("_new"))
-            .drop("_new")
-        )
-        pace = faster
-        if turn % STORED_EVERY == 0:
-            state = cut_lineage(state)
-    level = logging.INFO if gaps[-1].max() <= allowed else logging.WARNING
+        steps, reached, active = [*steps, trials[best]], totals[best], actives[best]
+    level = logging.INFO if np.abs(reached - wanted).max() <= allowed else logging.WARNING
     LOG.log(
-        level, "rates after %d rounds: totals %s, targets %s", turn, reached.tolist(), wanted.tolist()
+        level, "rates after %d rounds: totals %s, targets %s", rounds, reached.tolist(), wanted.tolist()
     )
-    return state.drop("_ahead")
+    rates = _replayed(start, steps)
+    names = members.columns
+
+    def rated(batches):
+        for batch in batches:
+            rate = rates(_blocks(batch, k)[1])
+            yield pa.record_batch([*batch.columns, pa.array(rate)], names=[*names, "rate"])
 
+    kinds = ", ".join(f"`{name}` {kind}" for name, kind in members.dtypes)
+    return members.mapInArrow(rated, f"{kinds}, rate double")
 
-def _stalled(gaps: list, allowed: float) -> bool:
-    """Whether no domain beyond what is allowed came nearer in the last STALLED rounds."""
-    if len(gaps) % STALLED or len(gaps) < 2 * STALLED:
-        return False
-    before = np.max(gaps[-2 * STALLED : -STALLED], axis=0)
-    last = np.max(gaps[-STALLED:], axis=0)
-    return not ((last > allowed) & (last < 0.99 * before)).any()
+
+def domain_totals(mixed: DataFrame, weights: dict[str, float], budget: float = 1.0) -> DataFrame:
+    """(domain, target, reached): expected tokens of each domain in what ``mix`` returns,
+    beside those that were asked for. One row for each domain, also of an empty table."""
+    domains = sorted(weights)
+    tokens = F.col("n_tokens").cast("double")
+    share = [F.sum(tokens * F.col("rate") * F.col("posterior")[i]) for i in range(len(domains))]
+    total = mixed.agg(F.sum(tokens).alias("tokens"), F.array(*share).alias("reached"))
+    parts = [weights[d] / sum(weights.values()) * budget for d in domains]
+    return total.select(
+        "tokens",
+        F.posexplode("reached").alias("i", "reached"),
+    ).select(
+        F.array(*map(F.lit, domains))[F.col("i")].alias("domain"),
+        (F.coalesce("tokens", F.lit(0.0)) * F.array(*map(F.lit, parts))[F.col("i")]).alias("target"),
+        F.coalesce("reached", F.lit(0.0)).alias("reached"),
+    )
 
 
 def mix(
