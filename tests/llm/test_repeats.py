@@ -124,3 +124,23 @@ def test_automaton_knows_smallest_documents():
             tail = "".join(words[end - 4 : end])
             want = end >= 4 and any(tail in "".join(texts[d]) for d in range(doc))
             assert hit == want
+
+
+def thue_morse(letters: bytes) -> str:
+    word = "".join(letters[bin(i).count("1") % 2 : bin(i).count("1") % 2 + 1].decode() for i in range(1024))
+    return word
+
+
+def test_long_words_of_one_polynomial(documents):
+    """Words that a polynomial modulo 2 ** 64 cannot tell apart, whatever its base."""
+    from verbatide.llm.automaton_dedup import remove_repeated_passages
+    from verbatide.llm.decontaminate import contaminated
+
+    same = " ".join(f"w{i}" for i in range(49))
+    docs = documents([(1, f"{same} {thue_morse(b'ab')}"), (2, f"{same} {thue_morse(b'ba')}")])
+    for parts in (1, 2):
+        found = remove_repeated_passages(docs.coalesce(parts) if parts == 1 else docs, window=50)
+        assert {r.doc_id: r.n_removed for r in found.collect()} == {1: 0, 2: 0}
+    items = docs.filter("doc_id = 1").selectExpr("doc_id as item_id", f"'{thue_morse(b'ba')} ' || repeat('{thue_morse(b'ab')} ', 4) as text")
+    texts = documents([(5, f"{thue_morse(b'ab')} " + f"{thue_morse(b'ba')} " * 4)])
+    assert contaminated(texts, items, least=5, coverage=0.5).collect() == []

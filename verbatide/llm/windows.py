@@ -15,6 +15,7 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,7 +139,7 @@ def words_of(data: np.ndarray, starts: np.ndarray, inner: np.ndarray | None = No
     """(symbols, each text's first word, first bytes, last bytes + 1) of all words.
 
     Words are what ASCII white space divides, or runs of the bytes in ``inner``, a
-    table of 256 booleans. They end with their text.
+    table of 256 booleans. They end with their text. A symbol is the word's XXH3.
     """
     solid = (data != 32) & ((data < 9) | (data > 13)) if inner is None else inner[data]
     border = np.zeros(len(data) + 1, bool)
@@ -149,15 +150,16 @@ def words_of(data: np.ndarray, starts: np.ndarray, inner: np.ndarray | None = No
     after = np.zeros(len(data), bool)
     after[:-1] = solid[1:]
     ends = np.flatnonzero(solid & (~after | border[1:])) + 1
-    symbols = np.zeros(len(begins), np.uint64)
-    done = 0
-    while done < len(begins):
-        # As many words as fit into a piece, and one at least.
-        base = begins[done]
-        upto = max(done + 1, int(np.searchsorted(ends, base + PIECE, side="right")))
-        names = Names(BYTE_SYMBOLS[data[base : ends[upto - 1]]])
-        symbols[done:upto] = names.at(begins[done:upto] - base, ends[done:upto] - base)
-        done = upto
+    # Polynomials modulo 2 ** 64 would give one name to some pairs of long words.
+    whole, digest = data.tobytes(), xxhash.xxh3_64_intdigest
+    known: dict = {}
+    symbols = np.empty(len(begins), np.uint64)
+    for i, (begin, end) in enumerate(zip(begins.tolist(), ends.tolist())):
+        word = whole[begin:end]
+        name = known.get(word)
+        if name is None:
+            name = known[word] = digest(word)
+        symbols[i] = name
     return symbols, np.searchsorted(begins, starts), begins, ends
 
 
