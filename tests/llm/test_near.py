@@ -6,6 +6,8 @@ import re
 import numpy as np
 import xxhash
 
+from pyspark.sql import functions as F
+
 from verbatide.llm import itq as Q
 from verbatide.llm import simhash_vptree as V
 from verbatide.llm.components import connected_components
@@ -212,3 +214,27 @@ def test_shards_follow_all_dealt_rows(spark, monkeypatch):
     # Every table deals each of 160 equal vectors to 10 blocks, and all others once.
     assert seen and seen[0] >= 160 * 10 + 1000 and links(seen[0], 1) >= seen[0] / 64
     assert sum(r.n_links for r in got if r.vec_id >= 1000) == 160 * 159
+
+
+def test_recall_at_the_threshold(documents):
+    """Pairs of similarity 89 / 111, a little above 0.8, among texts without a twin."""
+    rows = []
+    for i in range(300):
+        words = [f"w{i}x{j}" for j in range(104)]
+        rows.append((2 * i, " ".join(words)))
+        words[40:47] = [f"v{i}x{j}" for j in range(7)]
+        rows.append((2 * i + 1, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"u{i}x{j}" for j in range(60))) for i in range(100)]
+    kept = {r.doc_id for r in V.keep_first(documents(rows), words=5, wide=2, total=54, similarity=0.8).collect()}
+    assert {2 * i for i in range(300)} <= kept and set(range(1000, 1100)) <= kept
+    found = sum(2 * i + 1 not in kept for i in range(300)) / 300
+    assert found >= 0.97
+    print("recall", found)
+
+
+def test_columns_named_like_marks(documents):
+    docs = documents([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")])
+    for name in ("_kept", "kept", "Kept_", "_wanted", "bands", "node"):
+        docs = docs.withColumn(name, F.lit("clash"))
+    kept = V.keep_first(docs, words=5, wide=2, total=54, similarity=0.8)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]

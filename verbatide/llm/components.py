@@ -23,15 +23,20 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
         edges.select(F.col(left).alias("a"), F.col(right).alias("b"))
         .filter(F.col("a") != F.col("b"))
     )
-    moves = []
+    turn, roots = 0, None
     while not live.isEmpty():
-        turn = len(moves)
         order = lambda c, t=turn: F.xxhash64(F.lit(t), c) if t % 2 else c
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy("a").agg(F.min(F.struct(order(F.col("b")).alias("o"), "b")).alias("m"))
         to = F.when(F.struct(order(F.col("a")).alias("o"), F.col("a").alias("b")) < F.col("m"), F.col("a"))
         move = cut_lineage(first.select("a", F.coalesce(to, F.col("m.b")).alias("to")))
-        moves.append(move)
+        # Each move is folded into the roots at once: two tables, however many rounds.
+        if roots is None:
+            roots = move.select(F.col("a").alias("node"), F.col("to").alias("root"))
+        else:
+            step = move.select(F.col("a").alias("root"), "to")
+            moved = roots.join(step, "root", "left")
+            roots = cut_lineage(moved.select("node", F.coalesce("to", "root").alias("root")))
         live = cut_lineage(
             live.join(move, "a")
             .select(F.col("to").alias("x"), F.col("b").alias("a"))
@@ -39,12 +44,7 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
             .filter(F.col("x") != F.col("to"))
             .select(F.col("x").alias("a"), F.col("to").alias("b"))
         )
-    if not moves:
+        turn += 1
+    if roots is None:
         return live.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    roots = moves[0].select(F.col("a").alias("node"), F.col("to").alias("root"))
-    for move in moves[1:]:
-        step = move.select(F.col("a").alias("root"), "to")
-        roots = roots.join(step, "root", "left").select(
-            "node", F.coalesce("to", "root").alias("root")
-        )
-    return cut_lineage(roots)
+    return roots

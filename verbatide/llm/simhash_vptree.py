@@ -30,6 +30,9 @@ SHARD, LEAST_SHARDS, MOST_SHARDS = 16_384, 32, 8192
 SAMPLE_PER_SHARD, LEAF = 32, 64
 # A block of sets to compare, in shingles, and what a set counts besides its own.
 SET_BLOCK, SET_COST = 1 << 20, 256
+# Candidates for similar sets share one of BANDS groups of ROWS least hashes: a pair whose
+# similarity is 0.8 does with a chance of 1 - (1 - 0.8 ** 6) ** 18 = 0.996.
+BANDS, ROWS = 18, 6
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _LANES = np.uint64(0x0101010101010101)
@@ -66,7 +69,8 @@ def fingerprints(
 ) -> DataFrame:
     """(doc_id, fp, more) for every row; fp is the 64-bit fingerprint as a signed long,
     and ``more`` has ``wide`` further ones, from the same hashes mixed anew. With
-    ``distinct``, a repeated shingle counts once, and ``node`` names the set of them.
+    ``distinct``, a repeated shingle counts once, ``node`` names the set of them, and
+    ``bands`` has its keys of least hashes (none for the empty set).
 
     A-Z are lower-cased; words are what ASCII white space divides. A text with fewer
     words than a shingle has one shingle, all of them; null and blank texts have
@@ -74,13 +78,15 @@ def fingerprints(
     """
 
     def read(batches):
+        mixers = _mixers()
         for batch in batches:
-            prints, more, named = [], [], []
+            prints, more, named, bands = [], [], [], []
             for text in batch.column(1):
                 hashes = shingle_hashes(text.as_py(), words, seed)
                 if distinct:
                     hashes = np.unique(hashes)
                     named.append(set_name(hashes))
+                    bands.append(band_keys(hashes, mixers) if len(hashes) else [])
                 prints.append(simhash(hashes))
                 for _ in range(wide):
                     hashes = mix(hashes + _ANEW)
@@ -94,13 +100,29 @@ def fingerprints(
             }
             if distinct:
                 columns["node"] = pa.array(np.array(named, np.uint64).view(np.int64))
+                keys = pa.array(np.array([k for own in bands for k in own], np.uint64).view(np.int64))
+                ends = np.cumsum([0, *map(len, bands)]).astype(np.int32)
+                columns["bands"] = pa.ListArray.from_arrays(pa.array(ends), keys)
             yield pa.record_batch(list(columns.values()), names=list(columns))
 
     ids = F.col("doc_id").cast("long").alias("doc_id")
-    types = "doc_id long, fp long, more array<long>" + (", node long" if distinct else "")
+    types = "doc_id long, fp long, more array<long>" + (", node long, bands array<long>" if distinct else "")
     return docs.select(ids, "text").mapInArrow(read, types)
 
 
+def _mixers():
+    """An odd factor and an offset for each least hash."""
+    draw = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64) * _ANEW)
+    return [(a | np.uint64(1), b) for a, b in draw.reshape(-1, 2)]
+
+
+def band_keys(hashes: np.ndarray, mixers) -> list[int]:
+    """A key for each band of least hashes of a set, which is not empty."""
+    least = np.array([((hashes ^ b) * a).min() for a, b in mixers], np.uint64)
+    digest = xxhash.xxh3_64_intdigest
+    return [digest(part.tobytes(), i) for i, part in enumerate(least.reshape(BANDS, ROWS))]
+
+
 def set_name(hashes: np.ndarray) -> int:
     """One number for a sorted set of hashes."""
     return xxhash.xxh64_intdigest(hashes.tobytes())
@@ -314,22 +336,43 @@ def similar_sets(flat, ends, prints, sides, similarity: float, total: int):
     return forest.links()
 
 
+def candidate_links(prints: DataFrame) -> DataFrame:
+    """(a, b): every node (node, bands) with the least node that shares a band with it.
+
+    Components of these links hold whatever shares a band. A crowded band is one link
+    a node, and adaptive execution divides its rows in the join.
+    """
+    keyed = prints.select("node", F.explode("bands").alias("band"))
+    first = (
+        keyed.groupBy("band")
+        .agg(F.min("node").alias("a"), F.max("node").alias("last"))
+        .filter(F.col("a") < F.col("last"))
+        .select("band", "a")
+    )
+    linked = keyed.join(first, "band").filter(F.col("node") != F.col("a"))
+    return linked.select("a", F.col("node").alias("b")).distinct()
+
+
 def confirmed_links(
     docs: DataFrame, prints: DataFrame, loose: DataFrame, words: int, seed: int,
     similarity: float, total: int,
 ) -> DataFrame:
     """(a, b): links between nodes of one loose component (node, root) whose sets of
-    shingles have at least the wanted Jaccard similarity.
+    shingles have at least the wanted Jaccard similarity. ``prints`` (node, fp, more,
+    first) has a doc_id of each node.
 
     A component beyond a block's size is dealt into blocks, and each pair of blocks is
     a group of its own, so that no group grows with its component.
     """
+    candidates = prints.join(loose, "node")
+    # Only texts that may be linked are read again; which one of a node's is all the same.
+    wanted = candidates.select(F.col("first").alias("_wanted")).distinct()
+    docs = docs.select("doc_id", "text")
+    some = docs.join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("_wanted")), "left_semi")
     sets = (
-        shingle_sets(docs, words, seed)
-        .join(loose, "node", "left_semi")
+        shingle_sets(some, words, seed)
         .dropDuplicates(["node"])
-        .join(prints.select("node", "fp", "more"), "node")
-        .join(loose, "node")
+        .join(candidates.select("node", "fp", "more", "root"), "node")
     )
     # Only sets of linked texts, once each: read for the sizes, then for the blocks.
     sets = cut_lineage(sets.withColumn("weight", F.size("shingles") + SET_COST))
@@ -387,10 +430,13 @@ def near_duplicates(
     Null and blank texts have fingerprint zero and are linked like any other.
     Repeated rows are kept. An empty table gives no rows.
 
-    With ``similarity``, fingerprints are of distinct shingles and only find candidates:
-    a step needs sets of distinct shingles whose Jaccard similarity is at least that.
-    Texts are one then if their sets are equal.
+    With ``similarity``, a step needs sets of distinct shingles whose Jaccard similarity
+    is at least that, and ``total`` or fewer bits over all fingerprints, which are of
+    distinct shingles then; the radius is not used. A vantage-point tree prunes nothing
+    at the radius that 0.8 takes, so candidates share a band of least hashes instead.
+    Texts are one if their sets are equal; texts without words are one another's only.
     """
+    extra = ["bands"] if similarity is not None else []
     if similarity is not None:
         rows = cut_lineage(fingerprints(docs, words, seed, wide, distinct=True))
     else:
@@ -398,13 +444,16 @@ def near_duplicates(
         node = F.xxhash64("fp", "more") if wide else F.col("fp")
         rows = cut_lineage(fingerprints(docs, words, seed, wide).withColumn("node", node))
     prints = cut_lineage(
-        rows.groupBy("node", "fp", "more").agg(F.min("doc_id").alias("first"))
+        rows.groupBy("node", "fp", "more", *extra).agg(F.min("doc_id").alias("first"))
     )
-    roots = connected_components(fingerprint_links(prints, radius, total))
     if similarity is not None:
-        most = radius if total is None else total
-        links = confirmed_links(docs, prints, roots, words, seed, similarity, most)
-        roots = connected_components(links)
+        loose = connected_components(candidate_links(prints))
+        most = 64 * (1 + wide) if total is None else total
+        roots = connected_components(
+            confirmed_links(docs, prints, loose, words, seed, similarity, most)
+        )
+    else:
+        roots = connected_components(fingerprint_links(prints, radius, total))
     linked = prints.join(roots, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root")
     )
@@ -415,6 +464,14 @@ def near_duplicates(
     )
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_first(
     docs: DataFrame,
     words: int = 5,
@@ -428,8 +485,8 @@ def keep_first(
     By default 192 bits, linked where four fifths agree: texts whose shingles have a
     Jaccard similarity of 0.8 differ in 29 give or take 5, unrelated ones in 96 give or
     take 7. The first 64 differ in no more than 16 then, but for one pair in seventy.
-    With ``similarity``, links are confirmed by the shingles themselves; the radius and
-    total have to be wide enough then to pass every similar pair.
+    With ``similarity``, links are confirmed by the shingles themselves; ``total`` has to
+    be wide enough then to pass every similar pair.
     The smallest doc_id of a component stays, in one row. Rows without doc_id stay if
     no row of their component has one.
     """
@@ -439,9 +496,10 @@ def keep_first(
     first = cut_lineage(
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").count()
     )
+    mark = unused("kept", docs)
     kept = docs.join(
-        first.select(F.col("doc_id").alias("_kept")),
-        F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")),
+        first.select(F.col("doc_id").alias(mark)),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(mark)),
         "left_semi",
     )
     if first.filter("count > 1 and doc_id is not null").isEmpty():
