@@ -25,6 +25,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 PIECE = 1 << 18
+LONG_WORD = 256
 _powers: dict = {}
 
 
@@ -135,11 +136,35 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def _word_names(padded: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word: its length, then eight bytes after another, are mixed in.
+
+    Mixing is not linear: polynomials modulo 2 ** 64 give one name to some pairs of long
+    words. ``padded`` has eight bytes more. Words over LONG_WORD bytes have their XXH3.
+    """
+    size = ends - begins
+    names = mix(size.astype(np.uint64) * np.uint64(_BASE))
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        names[i] = xxhash.xxh3_64_intdigest(padded[begins[i] : ends[i]].tobytes())
+    eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    live = np.flatnonzero(size <= LONG_WORD)
+    done = 0
+    while len(live):
+        block = np.ascontiguousarray(eights[begins[live] + done]).view("<u8").ravel()
+        rest = size[live] - done
+        short = rest < 8
+        block[short] &= (np.uint64(1) << (8 * rest[short]).astype(np.uint64)) - np.uint64(1)
+        names[live] = mix(names[live] ^ block)
+        done += 8
+        live = live[rest > 8]
+    return names
+
+
 def words_of(data: np.ndarray, starts: np.ndarray, inner: np.ndarray | None = None):
     """(symbols, each text's first word, first bytes, last bytes + 1) of all words.
 
     Words are what ASCII white space divides, or runs of the bytes in ``inner``, a
-    table of 256 booleans. They end with their text. A symbol is the word's XXH3.
+    table of 256 booleans. They end with their text. A symbol is a hash of the word.
     """
     solid = (data != 32) & ((data < 9) | (data > 13)) if inner is None else inner[data]
     border = np.zeros(len(data) + 1, bool)
@@ -150,16 +175,11 @@ def words_of(data: np.ndarray, starts: np.ndarray, inner: np.ndarray | None = No
     after = np.zeros(len(data), bool)
     after[:-1] = solid[1:]
     ends = np.flatnonzero(solid & (~after | border[1:])) + 1
-    # Polynomials modulo 2 ** 64 would give one name to some pairs of long words.
-    whole, digest = data.tobytes(), xxhash.xxh3_64_intdigest
-    known: dict = {}
     symbols = np.empty(len(begins), np.uint64)
-    for i, (begin, end) in enumerate(zip(begins.tolist(), ends.tolist())):
-        word = whole[begin:end]
-        name = known.get(word)
-        if name is None:
-            name = known[word] = digest(word)
-        symbols[i] = name
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    for at in range(0, len(begins), PIECE):
+        some = slice(at, at + PIECE)
+        symbols[some] = _word_names(padded, begins[some], ends[some])
     return symbols, np.searchsorted(begins, starts), begins, ends
 
 
