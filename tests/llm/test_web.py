@@ -109,7 +109,7 @@ def test_urls(spark):
             (9, "m.com", "/fr/1", "com/fr/", "allow"),
             (9, "m.com", "/fr/1", "com/fr/", "allow"),
             (None, "bad.net", "/x", None, "block"),
-            (10, "new.bad.net", "/", None, "allow"),
+            (10, "new.bad.net", "/", None, "block"),
             (11, "good.net", "/", None, "allow"),
         ],
         key=str,
@@ -120,7 +120,7 @@ def test_urls(spark):
 
 def test_reputation_shrinks(spark):
     seen = [("a.x.net", 1)] * 3 + [("b.x.net", 1)] * 50 + [("c.x.net", 1)] * 50 + [("g.y.net", 0)] * 300 + [("n.z.net", 1)]
-    rows = {r.host: r for r in U.host_reputation(spark.createDataFrame(seen, "host string, bad int")).collect()}
+    rows = {r.host: r for r in U.reputations(spark.createDataFrame(seen, "host string, bad int"))["host"].collect()}
     # Few pages on a bad domain weigh more than as few on an unknown one.
     assert rows["a.x.net"]["mean"] > rows["n.z.net"]["mean"] > rows["g.y.net"]["mean"]
     assert rows["b.x.net"]["bound"] > rows["a.x.net"]["bound"]

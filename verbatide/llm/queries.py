@@ -93,6 +93,21 @@ def _level_sql(name, rows, parent):
         from {name}_in i, {name}_s)"""
 
 
+_TWO_SQL = ", ".join(f"'{s}'" for s in U.TWO_LABEL_SUFFIXES)
+
+
+def _parts_sql(source):
+    """``source`` (..., host) with its registered domain and its suffix."""
+    return f"""(select *, array_to_string(labels[-least(kept + 1, len(labels)):], '.') as domain,
+        array_to_string(labels[-kept:], '.') as suffix from (select *, case when len(labels) > 1
+        and array_to_string(labels[-2:], '.') in ({_TWO_SQL}) then 2 else 1 end as kept
+        from (select *, string_split(host, '.') as labels from {source})))"""
+
+
+def _bound_sql(level):
+    return f"{level}.mean - 1.645 * sqrt({level}.mean * (1 - {level}.mean) / ({level}.total + 1))"
+
+
 URL_SQL = rf"""with l as (select doc_id, max((coalesce(toxic, 0) = 1 or coalesce(quality, 1) = 0)::int) bad
         from labels group by 1),
     u as (select page_id, url,
@@ -100,20 +115,20 @@ URL_SQL = rf"""with l as (select doc_id, max((coalesce(toxic, 0) = 1 or coalesce
         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') as path from pages),
     o as (select host, l.bad from u join l on l.doc_id =
         try_cast(regexp_extract(path, '/([0-9]{{1,18}})[^0-9/]*/?$', 1) as bigint) where host <> ''),
-    hosts as (select host, count(*)::double n, sum(bad)::double bad,
-        regexp_extract(host, '[^.]*\.?[^.]*$') as domain, regexp_extract(host, '[^.]*$') as suffix
-        from o group by host),
+    hosts as (select host, domain, suffix, count(*)::double n, sum(bad)::double bad
+        from {_parts_sql("o")} group by all),
     domains as (select domain, suffix, sum(n) n, sum(bad) bad from hosts group by all),
     suffixes as (select suffix, sum(n) n, sum(bad) bad from domains group by all),
     {_level_sql("a", "select *, (select sum(bad) / sum(n) from suffixes) as parent from suffixes", "")},
     {_level_sql("b", "select d.*, a.mean as parent from domains d join a using (suffix)", "")},
     {_level_sql("c", "select h.*, b.mean as parent from hosts h join b using (domain)", "")},
-    j as (select page_id, u.host, path,
-        c.mean - 1.645 * sqrt(c.mean * (1 - c.mean) / (c.total + 1)) as bound,
+    j as (select page_id, p.host, path,
+        coalesce({_bound_sql("c")}, {_bound_sql("b")}, {_bound_sql("a")}) as bound,
         [r for r in [{", ".join(f"{{'v': '{v}', 'r': '{r}'}}" for v, r in sorted(URL_RULES, key=lambda r: -len(r[1])))}]
-            if ('.' || u.host) like '%.' || regexp_extract(r.r, '^[^/]*')
+            if ('.' || p.host) like '%.' || regexp_extract(r.r, '^[^/]*')
             and starts_with(path, regexp_extract(r.r, '/.*$'))][1] as hit
-        from u left join c on u.host = c.host)
+        from {_parts_sql("u")} p left join c on p.host = c.host left join b on p.domain = b.domain
+        left join a on p.suffix = a.suffix)
     select page_id, host, path, hit.r as rule,
     coalesce(hit.v, case when bound > 0.5 then 'block' else 'allow' end) as verdict from j"""
 

@@ -98,13 +98,15 @@ def _strength(counts: DataFrame, parent: str, options: Reputation) -> DataFrame:
     return moments.select(bounded.alias("strength"))
 
 
-def host_reputation(outcomes: DataFrame, options: Reputation = Reputation()) -> DataFrame:
-    """(host, n, bad, mean, bound) for every host with labelled pages, (host, bad) in.
+def reputations(outcomes: DataFrame, options: Reputation = Reputation()) -> dict[str, DataFrame]:
+    """By level (suffix, domain, host) a table (<level>, n, bad, mean, bound) of every one
+    with labelled pages, from (host, bad).
 
-    Rows with a null host or outcome count nowhere. ``bound`` is the posterior
-    mean less z deviations. An empty table gives no rows.
+    Each level's rates are shrunk towards those of the level above. ``bound`` is the
+    posterior mean less z deviations. Rows with a null host or outcome count nowhere. An
+    empty table gives empty tables.
     """
-    # One row per host, stored: every level and every strength below is derived from it.
+    # One row per host, stored: every level is derived from it.
     hosts = cut_lineage(
         outcomes.filter(F.col("host").isNotNull() & F.col("bad").isNotNull())
         .groupBy("host")
@@ -112,25 +114,27 @@ def host_reputation(outcomes: DataFrame, options: Reputation = Reputation()) ->
         .withColumn("domain", host_domain(F.col("host")))
         .withColumn("suffix", host_suffix(F.col("host")))
     )
-    domains = hosts.groupBy("domain", "suffix").agg(
-        F.sum("n").alias("n"), F.sum("bad").alias("bad")
+    domains = cut_lineage(
+        hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     )
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    whole = suffixes.agg((F.sum("bad") / F.sum("n")).alias("parent"))
-    # Single rows, hence safe to cross: a rate or a strength.
-    level = suffixes.withColumn("parent", whole.scalar())
-    for narrower, key in ((domains, "suffix"), (hosts, "domain"), (None, None)):
-        strength = _strength(level, "parent", options).scalar()
-        a = strength * F.col("parent") + F.col("bad")
+    # Single numbers reach the driver: the overall rate and each level's strength.
+    whole = hosts.agg(F.sum("bad") / F.sum("n")).first()[0] or 0.0
+    level = cut_lineage(suffixes.withColumn("parent", F.lit(whole)))
+    found = {}
+    for name, narrower, key in (
+        ("suffix", domains, "suffix"), ("domain", hosts, "domain"), ("host", None, None)
+    ):
+        strength = F.lit(_strength(level, "parent", options).first()[0])
         total = strength + F.col("n")
-        level = level.withColumn("mean", a / total).withColumn("total", total)
+        level = level.withColumn("mean", (strength * F.col("parent") + F.col("bad")) / total)
+        deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (total + 1))
+        bound = F.col("mean") - options.z * deviation
+        found[name] = level.select(name, "n", "bad", "mean", bound.alias("bound"))
         if narrower is not None:
             above = level.select(key, F.col("mean").alias("parent"))
-            level = narrower.join(above, key)
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("total") + 1))
-    return level.select(
-        "host", "n", "bad", "mean", (F.col("mean") - options.z * deviation).alias("bound")
-    )
+            level = cut_lineage(narrower.join(above, key))
+    return found
 
 
 def judge_urls(
@@ -144,17 +148,25 @@ def judge_urls(
     """(key, host, path, rule, verdict, bound) for every page, repeated rows included.
 
     Rules come first; where none fits, the verdict is ``block`` if the bound of the
-    host's posterior bad rate is above the limit. A null url, or one without a
-    host, has the empty host, which no outcome speaks for: it is allowed unless a
-    rule fits. ``outcomes`` holds (host, bad).
+    posterior bad rate is above the limit: the host's, or that of its registered domain
+    if the host has no labelled pages, or else its suffix's. What no outcome speaks for
+    is allowed, as are a null url and one without a host, unless a rule fits.
+    ``outcomes`` holds (host, bad).
     """
     located = pages.select(
         F.col(key).alias(key), url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path")
     )
-    reputation = host_reputation(outcomes.filter(F.col("host") != ""), options)
+    known = reputations(outcomes.filter(F.col("host") != ""), options)
+    # Bounds are found once for each host; a hot one is one row.
+    hosts = located.select("host").distinct().select(
+        "host", host_domain(F.col("host")).alias("domain"), host_suffix(F.col("host")).alias("suffix")
+    )
+    for name, table in known.items():
+        hosts = hosts.join(table.select(name, F.col("bound").alias(f"of_{name}")), name, "left")
+    bounds = hosts.select("host", F.coalesce("of_host", "of_domain", "of_suffix").alias("bound"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     learned = F.when(F.col("bound") > options.limit, "block").otherwise("allow")
-    return located.join(reputation.select("host", "bound"), "host", "left").select(
+    return located.join(bounds, "host", "left").select(
         key,
         "host",
         "path",
