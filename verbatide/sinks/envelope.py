@@ -5,13 +5,19 @@ from pyspark.sql import functions as F
 
 from verbatide.operators.ingest import run_timestamp
 from verbatide.operators.ordering import with_row_index
+from verbatide.storage import cut_lineage
 
 
 def envelope_details(df: DataFrame, order_by="id", run_ts=None) -> DataFrame:
-    """Comments numbered from 1 in the order of a unique key."""
-    # Only keys are sorted and stored; texts are scored once, and joined to the numbers.
-    numbers = with_row_index(df.select(order_by), [order_by], "comment_id", start=1)
-    return df.select(order_by, "text", "sentiment", "confidence").join(numbers, order_by).select(
+    """All comments numbered from 1 in the order of a key: nulls first, ties by a hash.
+
+    Rows are stored before they are sorted, as sorting by ranges samples its input and
+    would score texts for that as well. Whatever ids are missing or repeated, there is
+    one row for each that came in.
+    """
+    columns = dict.fromkeys([order_by, "text", "sentiment", "confidence"])
+    stored = cut_lineage(df.select(*columns))
+    return with_row_index(stored, [order_by], "comment_id", start=1).select(
         "comment_id",
         F.col("text").alias("comment"),
         "sentiment",

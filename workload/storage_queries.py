@@ -414,6 +414,35 @@ def k8(spark, sf_dir):
     return details.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@query(
+    "k8_repeated_ids",
+    using(
+        "scored",
+        """select count(*) as rows, count(*) as numbers, 1::bigint as first, count(*) as last,
+        count(text) as comments, count(distinct text) as texts, 0::bigint as misplaced from scored""",
+    ),
+)
+def k8_repeated(spark, sf_dir):
+    """A third of the rows has one id, another none: each is numbered once, in order."""
+    number = F.regexp_extract(F.col("id").cast("string"), "([0-9]+)$", 1).cast("long") % 3
+    torn = F.when(number == 0, "same").when(number == 1, F.lit(None)).otherwise(F.col("id").cast("string"))
+    rows = X.scored(spark, sf_dir).withColumn("id", torn)
+    details = N.envelope_details(rows, run_ts=X.RUN_TS)
+    missing = rows.filter("id is null").count()
+    # Rows without id come first, so no later number can belong to one.
+    early = rows.filter("id is null").select("text").distinct().withColumn("early", F.lit(True))
+    judged = details.join(early, details["comment"].eqNullSafe(early["text"]), "left")
+    return judged.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("comment_id").alias("numbers"),
+        F.min("comment_id").alias("first"),
+        F.max("comment_id").alias("last"),
+        F.count("comment").alias("comments"),
+        F.count_distinct("comment").alias("texts"),
+        F.count_if((F.col("comment_id") <= missing) & F.col("early").isNull()).alias("misplaced"),
+    )
+
+
 @query(
     "k8_envelope_summary",
     using(
