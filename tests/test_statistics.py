@@ -1,5 +1,8 @@
 """Aggregates, row numbers and reports against pandas and against each other."""
 
+import math
+import random
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +10,9 @@ from pyspark.sql import functions as F
 from tests.conftest import plan
 from verbatide.operators import encoding as E
 from verbatide.operators import evaluation as V
+from verbatide.operators import quantiles
 from verbatide.operators import statistics as A
+from verbatide.operators.quantiles import discrete_quantiles
 from verbatide.operators.ordering import with_row_index
 from verbatide.plans import report as R
 from workload import fixtures as X
@@ -82,10 +87,72 @@ def test_report_keeps_going_without_columns(spark, scored):
     assert any(row.section == "confidence_statistics" for row in rows)
 
 
-def test_report_reads_its_input_once(spark, small):
-    text = plan(R.comprehensive_report(X.keyword_scored(spark, small)))
-    # One scan of the documents, two of the events (join partner and comments).
-    assert text.count("FileScan") == 3
+def counted(df, seen):
+    """The rows as they are; each one read adds one to the accumulator."""
+
+    def pass_on(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(pass_on, df.schema)
+
+
+def test_report_reads_its_input_once(spark, scored):
+    seen = spark.sparkContext.accumulator(0)
+    report = R.comprehensive_report(counted(scored, seen))
+    report.collect()
+    assert seen.value == scored.count()
+    # A profile may be long: the only windows are those of a few bounded values a share.
+    windows = [line for line in plan(report).splitlines() if "- Window [" in line]
+    assert windows and all("[_share" in line for line in windows)
+
+
+def test_report_sections_fail_alone(spark, scored):
+    whole = {tuple(r) for r in R.comprehensive_report(scored).collect()}
+    broken = {
+        "text_analysis": scored.withColumn("word_count", F.lit("many")),
+        "temporal_analysis": scored.withColumn("created_utc", F.lit("yesterday")),
+        "cluster_sentiment": scored.withColumn("positive_prob", F.lit("some")),
+    }
+    for group, rows in broken.items():
+        report = R.comprehensive_report(rows).collect()
+        assert {r.section for r in report if r.metric == "error"} == {group}
+        kept = {tuple(r) for r in report if r.metric != "error"}
+        lost = {r[0] for r in whole - kept}
+        assert kept <= whole and lost and not any(name.startswith("sentiment_dist") for name in lost)
+    arrays = R.comprehensive_report(scored.withColumn("created_utc", F.array(F.lit(1)))).collect()
+    assert {r.section for r in arrays if r.metric == "error"} == {"temporal_analysis"}
+    few = R.comprehensive_report(scored, clusters=0).filter("section = 'cluster_sentiment'")
+    assert few.isEmpty()
+
+
+def test_quantiles_narrow_to_the_same_values(spark, monkeypatch):
+    generator = random.Random(3)
+    values = [generator.choice((-1, 1)) * 10 ** generator.uniform(-6, 12) for _ in range(4000)]
+    values += [5e-324, -1e308, 1.7e308, float("inf"), 0.0, -0.0, 250.0] + [7.25] * 900
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    histogram = rows.groupBy("v").agg(F.count("*").alias("n"))
+    shares = {f"q{i}": i / 20 for i in range(1, 21)}
+    ordered = sorted(values)
+    expected = {name: ordered[max(0, math.ceil(share * len(values) - 1e-9) - 1)] for name, share in shares.items()}
+    assert discrete_quantiles(histogram, shares, "v", "n").first().asDict() == expected
+    monkeypatch.setattr(quantiles, "FEW", 10)
+    assert discrete_quantiles(histogram, shares, "v", "n").first().asDict() == expected
+    assert discrete_quantiles(histogram.filter("v is null"), shares, "v", "n").first().q1 is None
+    only = histogram.filter("isnan(v) or v = 250.0")
+    assert discrete_quantiles(only, {"m": 0.5}, "v", "n").first().m == 250.0
+
+
+def test_batches_merge_to_the_whole(spark, small):
+    rows = X.ingested(spark, small)
+    whole = A.ingestion_stats(rows).first().asDict()
+    batches = A.batch_ingestion_stats(rows, "depth").unionByName(A.batch_ingestion_stats(rows.limit(0), "depth"))
+    merged = A.merged_ingestion_stats(batches).first().asDict()
+    assert abs(merged.pop("unique_authors") - whole.pop("unique_authors")) <= 2
+    assert merged == pytest.approx(whole)
+    nothing = A.merged_ingestion_stats(A.batch_ingestion_stats(rows.limit(0), "depth")).first()
+    assert (nothing.total_records, nothing.length_stddev, nothing.unique_authors) == (0, None, 0)
 
 
 def test_top_examples_limit_before_the_shuffle(spark, small):

@@ -4,7 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.storage import cut_lineage
@@ -37,15 +37,15 @@ def feature_deviations(df: DataFrame, features) -> DataFrame:
 
 
 def profile_deviations(profile: DataFrame, features) -> DataFrame:
-    """As feature_deviations, from a profile: distances from the means, by weight."""
-    total = F.sum("rows").over(Window.partitionBy())
-    means = {
-        f"_{name}": F.sum(F.col("rows") * F.col(name)).over(Window.partitionBy()) / total
-        for name in features
-    }
-    spread = {name: F.sum(F.col("rows") * F.pow(F.col(name) - F.col(f"_{name}"), 2)) for name in features}
+    """As feature_deviations, from a stored profile: distances from the means, by weight."""
+    weight = F.col("rows")
+    # One row.
+    means = profile.agg(
+        *[(F.sum(weight * F.col(name)) / F.sum("rows")).alias(f"_{name}") for name in features]
+    )
+    spread = {name: F.sum(weight * F.pow(F.col(name) - F.col(f"_{name}"), 2)) for name in features}
     free = F.nullif(F.greatest(F.sum("rows") - 1, F.lit(0)), F.lit(0))
-    return profile.withColumns(means).agg(
+    return profile.crossJoin(F.broadcast(means)).agg(
         *[F.coalesce(F.sqrt(spread[name] / free), F.lit(0.0)).alias(name) for name in features]
     )
 
@@ -100,7 +100,13 @@ def fit_clusters(
     same optimum as over the rows, which are read once. Fewer vectors than k give as
     many clusters as there are vectors."""
     used = available_features(df, features)
-    profile = feature_profile(df, used)
+    return fit_profile(feature_profile(df, used), used, k, seed, max_iter)
+
+
+def fit_profile(
+    profile: DataFrame, used, k: int = 3, seed: int = 42, max_iter: int = 20
+) -> Clustering:
+    """fit_clusters from a stored feature_profile."""
     if profile.isEmpty():
         raise ValueError("no row knows all score columns")
     # Four numbers come to the driver, as they must for the model itself.

@@ -9,17 +9,21 @@ all sections.
 Fixed values: the names of sections and metrics.
 
 A report is a long table (section, key1, key2, metric, value, note). Sections
-whose columns the input lacks have one row with metric ``error``.
+whose columns the input lacks, or holds in a form that cannot be read, have one row with
+metric ``error``; the others are not affected.
 """
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.functions import measures as M
-from verbatide.operators.clustering import fit_clusters
-from verbatide.operators.statistics import quantile_of, top_examples
+from verbatide.operators.clustering import FEATURES, available_features, fit_profile
+from verbatide.operators.quantiles import discrete_quantiles
+from verbatide.operators.statistics import QUARTILES, top_examples
+from verbatide.storage import cut_lineage
 
 NOTE_SCHEMA = (
     "section string, key1 string, key2 string, metric string, value double, note string"
@@ -62,17 +66,27 @@ def _summed(additive: dict) -> list:
     return [n.removesuffix("_mean") for n in additive if n.endswith("_mean")]
 
 
-def _centred(profile: DataFrame, additive: dict) -> DataFrame:
+def _centres(additive: dict) -> dict:
+    """SQL of the whole table's means, over a profile's rows."""
+    return {
+        f"{n}_centre": f"sum({n}_n * {n}_mean) {{over}} / nullif(sum({n}_n) {{over}}, 0)"
+        for n in _summed(additive)
+    }
+
+
+def _centred(profile: DataFrame, additive: dict, centres: DataFrame | None = None) -> DataFrame:
     """Turn means and spreads into sums that can be added up over any rows.
 
-    Distances are taken from the table's mean, which the profile's few rows tell, and
-    not from zero: raw sums of squares lose the digits a small deviation needs.
+    Distances are taken from the table's mean, which the profile's few rows tell (or
+    ``centres``, one row), and not from zero: raw sums of squares lose the digits a small
+    deviation needs.
     """
     names = _summed(additive)
-    centre = {
-        n: f"sum({n}_n * {n}_mean) over () / nullif(sum({n}_n) over (), 0)" for n in names
-    }
-    profile = profile.withColumns({f"{n}_centre": F.expr(sql) for n, sql in centre.items()})
+    if centres is None:
+        sqls = _centres(additive).items()
+        profile = profile.withColumns({n: F.expr(sql.format(over="over ()")) for n, sql in sqls})
+    else:
+        profile = profile.crossJoin(F.broadcast(centres))
     off = {n: f"({n}_mean - {n}_centre)" for n in names}
     made = {f"{n}_sum": f"{n}_n * {off[n]}" for n in names}
     made |= {f"{n}_square": f"{n}_spread + {n}_n * {off[n]} * {off[n]}" for n in names}
@@ -159,54 +173,112 @@ def _set_number(keys, kept) -> int:
     return reduce(lambda bits, name: bits * 2 + (name not in kept), keys, 0)
 
 
-def _report_rows(grouped: DataFrame, keys, sections) -> DataFrame:
+def _entry(section, key1="null", key2="null", metric="error", value="null", note="null") -> str:
+    return (
+        f"named_struct('section', '{section}', 'key1', cast({key1} as string), "
+        f"'key2', cast({key2} as string), 'metric', '{metric}', "
+        f"'value', cast({value} as double), 'note', cast({note} as string))"
+    )
+
+
+def _report_rows(grouped: DataFrame, keys, sections, failures=()) -> DataFrame:
     """Rows of a grouping set (numbered in ``_set``) to the sections that use the set.
 
-    ``sections`` holds (section, kept keys, {metric: SQL}).
+    ``sections`` holds (section, kept keys, {metric: SQL}[, group]), ``failures`` (group,
+    SQL of a condition, note): where it holds, an error row stands for the group's sections.
     """
+    failing = {group: condition for group, condition, _ in failures}
     arrays = []
-    for section, kept, metrics in sections:
+    for section, kept, metrics, *group in sections:
         key1, key2 = [*kept, "null", "null"][:2]
-        rows = [
-            f"named_struct('section', '{section}', 'key1', cast({key1} as string), "
-            f"'key2', cast({key2} as string), 'metric', '{metric}', "
-            f"'value', cast({value} as double), 'note', cast(null as string))"
-            for metric, value in metrics.items()
-        ]
-        arrays.append(
-            f"case when _set = {_set_number(keys, kept)} then array({', '.join(rows)}) end"
-        )
+        rows = [_entry(section, key1, key2, metric, value) for metric, value in metrics.items()]
+        shown = f"_set = {_set_number(keys, kept)}"
+        if group and group[0] in failing:
+            shown += f" and not ({failing[group[0]]})"
+        arrays.append(f"case when {shown} then array({', '.join(rows)}) end")
+    for group, condition, note in failures:
+        shown = f"_set = {_set_number(keys, ())} and ({condition})"
+        entry = _entry(group, note=f"'{note}'")
+        arrays.append(f"case when {shown} then array({entry}) end")
     filled = f"flatten(array_compact(array({', '.join(arrays)})))"
     return grouped.select(F.inline(F.expr(filled)))
 
 
+def _readable(df: DataFrame, name: str, kind: str):
+    """The column as a number or timestamp, null where it cannot be read; None where the
+    input has no such column, or one of a type that has no such values."""
+    if name not in df.columns:
+        return None
+    value = F.col(name).try_cast(kind)
+    try:
+        df.select(value)
+    except PySparkException:
+        return None
+    return value
+
+
 def comprehensive_report(
-    df: DataFrame, time_col: str = "created_utc", bands=M.CONFIDENCE_BANDS
+    df: DataFrame, time_col: str = "created_utc", bands=M.CONFIDENCE_BANDS, clusters: int = 3
 ) -> DataFrame:
     """Distribution, confidence, lengths, correlations, times, models and clusters of
-    scored comments."""
-    has_length = "text_length" in df.columns
-    has_words = has_length and "word_count" in df.columns
-    has_time = time_col in df.columns
+    scored comments.
+
+    The input is read once, when this is called: to a stored profile, from which all else
+    comes, the fit of the clusters included (none with ``clusters=0``). Numbers and times
+    that cannot be read make the sections that need them fail, and no others.
+    """
+    wanted = {
+        "conf": ("confidence", "double"),
+        "length": ("text_length", "double"),
+        "words": ("word_count", "double"),
+        "time": (time_col, "timestamp"),
+    }
+    found = {name: _readable(df, *spec) for name, spec in wanted.items()}
+    has_conf, has_length, has_time = (found[n] is not None for n in ("conf", "length", "time"))
+    has_words = has_length and found["words"] is not None
     has_model = "model_version" in df.columns
-    parts = M.time_parts(time_col) if has_time else {}
-    absent = F.lit(None)
+    scores = {name: _readable(df, name, "double") for name in FEATURES}
+    scores = {name: value for name, value in scores.items() if value is not None and clusters}
+    if len(scores) < 2:
+        scores = {}
+    time_bad = F.col(time_col).isNotNull() & found["time"].isNull() if has_time else F.lit(False)
+
+    def number(name):
+        value = found[name]
+        return F.lit(None).cast("double") if value is None else value
+
+    def unread(name):
+        value = found[name]
+        return F.lit(False) if value is None else F.col(wanted[name][0]).isNotNull() & value.isNull()
+
+    def part(name):
+        return M.time_parts(found["time"])[name] if has_time else F.lit(None).cast("int")
+
     keys = ("sentiment", "confidence_range", "model_version", "hour", "day_of_week")
     narrow = df.select(
         "sentiment",
-        M.confidence_range("confidence", bands).alias("confidence_range"),
-        (F.col("model_version") if has_model else absent.cast("string")).alias("model_version"),
-        parts.get("hour", absent.cast("int")).alias("hour"),
-        parts.get("day_of_week", absent.cast("int")).alias("day_of_week"),
-        F.round("confidence", FINE).alias("_value"),
-        F.col("confidence").alias("conf"),
-        (F.col("text_length") if has_length else absent.cast("int")).alias("length"),
-        (F.col("word_count") if has_words else absent.cast("int")).alias("words"),
+        M.confidence_range(number("conf"), bands).alias("confidence_range"),
+        (F.col("model_version") if has_model else F.lit(None)).cast("string").alias("model_version"),
+        part("hour").alias("hour"),
+        part("day_of_week").alias("day_of_week"),
+        F.round(number("conf"), FINE).alias("_value"),
+        number("conf").alias("conf"),
+        number("length").alias("length"),
+        (number("words") if has_words else F.lit(None).cast("double")).alias("words"),
+        *[value.alias(f"_score_{name}") for name, value in scores.items()],
+        unread("conf").alias("_conf_unread"),
+        (unread("length") | (unread("words") if has_words else F.lit(False))).alias("_text_unread"),
+        time_bad.alias("_time_unread"),
+        reduce(
+            lambda some, name: some | (F.col(name).isNotNull() & scores[name].isNull()),
+            scores,
+            F.lit(False),
+        ).alias("_scores_unread"),
     )
 
-    # The profile: per combination of keys, and per confidence value (for the
-    # quartiles). Two short rows leave each input row, and they are combined
-    # before the only shuffle that grows with the input at all.
+    # The profile: per combination of keys, per confidence value (for the quartiles), and
+    # per combination of scores (for the clusters). Three short rows leave each input
+    # row, and they are combined before the only shuffle that grows with the input at all.
     additive = {
         "rows": "count(1)",
         **_sums("conf"),
@@ -219,24 +291,26 @@ def comprehensive_report(
     extremes = {
         f"{name}_{end}": f"{end}({name})" for name in ("conf", "length") for end in ("min", "max")
     }
-    profile = _group_by_sets(narrow, (*keys, "_value"), [keys, ("_value",)]).agg(
-        F.expr("grouping(_value) = 0").alias("_by_value"), *_aggregates({**additive, **extremes})
+    unreads = [f"_{name}_unread" for name in ("conf", "text", "time", "scores")]
+    score_keys = [f"_score_{name}" for name in scores]
+    all_keys = (*keys, "_value", *score_keys)
+    sets = [keys, ("_value",), *([("sentiment", *score_keys)] if scores else [])]
+    stored = cut_lineage(
+        _group_by_sets(narrow, all_keys, sets).agg(
+            F.grouping_id().alias("_kind"),
+            *_aggregates({**additive, **extremes}),
+            *_aggregates({name: f"count_if({name})" for name in unreads}),
+        )
     )
 
-    # From here on all rows are those of the profile. Its rows per confidence
-    # value serve the quartiles only.
-    by_value = Window.partitionBy("_by_value")
-    running = by_value.orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
-    profile = profile.select(
-        *keys,
-        "_value",
-        F.when(F.col("_by_value"), F.sum("conf_n").over(running)).alias("_reached"),
-        F.sum("conf_n").over(by_value).alias("_total"),
-        *[
-            F.expr(f"case when not _by_value then {name} end").alias(name)
-            for name in (*additive, *extremes)
-        ],
+    # From here on all rows are those of the profile.
+    by_keys, by_value = (
+        stored.filter(F.col("_kind") == _set_number(all_keys, kept)) for kept in sets[:2]
     )
+    # One row each: they are broadcast.
+    centres = by_keys.agg(*_aggregates({n: q.format(over="") for n, q in _centres(additive).items()}))
+    totals = by_keys.agg(F.sum("rows").alias("_everything"), *_merged(unreads))
+    quartiles = discrete_quantiles(by_value, QUARTILES, count="conf_n")
     sets = [
         (),
         ("sentiment",),
@@ -246,19 +320,16 @@ def comprehensive_report(
         ("model_version",),
         ("sentiment", "model_version"),
     ]
-    whole = _set_number(keys, ())
     grouped = (
-        _group_by_sets(_never_empty(_centred(profile, additive)), keys, sets)
+        _group_by_sets(_never_empty(_centred(by_keys, additive, centres)), keys, sets)
         .agg(
             F.grouping_id().alias("_set"),
             *_merges(additive),
             *_aggregates({name: f"{name[-3:]}({name})" for name in extremes}),
-            quantile_of(0.5).alias("median"),
-            quantile_of(0.25).alias("q1"),
-            quantile_of(0.75).alias("q3"),
         )
         .transform(_known_groups, keys)
-        .withColumn("_everything", F.expr(f"max(case when _set = {whole} then rows end) over ()"))
+        .crossJoin(F.broadcast(totals))
+        .crossJoin(F.broadcast(quartiles))
     )
 
     mean_confidence = _round(_mean("conf"))
@@ -271,27 +342,27 @@ def comprehensive_report(
             ("sentiment",),
             {**count, "percentage": _round("rows * 100.0D / _everything", COARSE)},
         ),
-        (
-            "confidence_statistics",
-            (),
-            {
-                "average": mean_confidence,
-                "minimum": _round("conf_min"),
-                "maximum": _round("conf_max"),
-                "std_deviation": _round(_stddev("conf")),
-                "median": "median",
-                "q1": "q1",
-                "q3": "q3",
-            },
-        ),
-        ("confidence_range_distribution", ("sentiment", "confidence_range"), count),
-        (
-            "average_confidence_by_sentiment",
-            ("sentiment",),
-            {"average_confidence": mean_confidence, "sample_size": "rows"},
-        ),
     ]
     missing = []
+    if has_conf:
+        described = {
+            "average": mean_confidence,
+            "minimum": _round("conf_min"),
+            "maximum": _round("conf_max"),
+            "std_deviation": _round(_stddev("conf")),
+            "median": "median",
+            "q1": "q1",
+            "q3": "q3",
+        }
+        by_label = {"average_confidence": mean_confidence, "sample_size": "rows"}
+        group = "confidence_analysis"
+        sections.append(("confidence_statistics", (), described, group))
+        sections.append(
+            ("confidence_range_distribution", ("sentiment", "confidence_range"), count, group)
+        )
+        sections.append(("average_confidence_by_sentiment", ("sentiment",), by_label, group))
+    else:
+        missing.append(("confidence_analysis", "no numbers in confidence"))
     if has_length:
         lengths = {
             "average": mean_length,
@@ -299,7 +370,7 @@ def comprehensive_report(
             "maximum": "length_max",
             "std_deviation": length_stddev,
         }
-        sections.append(("text_length_statistics", (), lengths))
+        sections.append(("text_length_statistics", (), lengths, "text_analysis"))
     if has_words:
         by_label = {
             "avg_text_length": mean_length,
@@ -312,13 +383,14 @@ def comprehensive_report(
             "text_length_confidence": _round(_correlation("lc_conf", "lc_length", "lc_cross")),
             "word_count_confidence": _round(_correlation("wc_conf", "wc_words", "wc_cross")),
         }
-        sections.append(("length_by_sentiment", ("sentiment",), by_label))
-        sections.append(("correlations", (), correlations))
+        sections.append(("length_by_sentiment", ("sentiment",), by_label, "text_analysis"))
+        sections.append(("correlations", (), correlations, "text_analysis"))
     else:
         missing.append(("text_analysis", "text_length or word_count not found"))
     if has_time:
-        sections.append(("hourly_sentiment_distribution", ("sentiment", "hour"), count))
-        sections.append(("daily_sentiment_distribution", ("sentiment", "day_of_week"), count))
+        hourly, daily = ("sentiment", "hour"), ("sentiment", "day_of_week")
+        sections.append(("hourly_sentiment_distribution", hourly, count, "temporal_analysis"))
+        sections.append(("daily_sentiment_distribution", daily, count, "temporal_analysis"))
     else:
         missing.append(("temporal_analysis", f"{time_col} not found"))
     if has_model:
@@ -328,32 +400,54 @@ def comprehensive_report(
             "confidence_stddev": _round(_or_zero(_stddev("conf"))),
         }
         performance = {**count, "avg_confidence": mean_confidence}
-        sections.append(("model_usage_statistics", ("model_version",), usage))
-        sections.append(
-            ("model_sentiment_performance", ("sentiment", "model_version"), performance)
-        )
+        by_model = ("sentiment", "model_version")
+        sections.append(("model_usage_statistics", ("model_version",), usage, "model_performance"))
+        sections.append(("model_sentiment_performance", by_model, performance, "model_performance"))
     else:
         missing.append(("model_performance", "model_version not found"))
+    lost = {section for section, _ in missing}
+    failures = [
+        (group, condition, note)
+        for group, condition, note in (
+            ("confidence_analysis", "_conf_unread > 0", "confidence holds no number in some rows"),
+            (
+                "text_analysis",
+                "_text_unread + _conf_unread > 0",
+                "text_length, word_count or confidence holds no number in some rows",
+            ),
+            ("temporal_analysis", "_time_unread > 0", "the time holds no timestamp in some rows"),
+            ("model_performance", "_conf_unread > 0", "confidence holds no number in some rows"),
+        )
+        if group not in lost
+    ]
 
     known = [
         ("metadata", name, None, "data_column", float(i), None)
         for i, name in enumerate(df.columns)
     ] + [(section, None, None, "error", None, note) for section, note in missing]
-    return (
-        _report_rows(grouped, keys, sections)
-        .unionByName(df.sparkSession.createDataFrame(known, NOTE_SCHEMA))
-        .unionByName(cluster_section(df))
+    report = _report_rows(grouped, keys, sections, failures).unionByName(
+        df.sparkSession.createDataFrame(known, NOTE_SCHEMA)
     )
+    if not clusters:
+        return report
+    by_scores = stored.filter(F.col("_kind") == _set_number(all_keys, ("sentiment", *score_keys)))
+    return report.unionByName(_cluster_section(by_scores, list(scores), clusters))
 
 
-def cluster_section(df: DataFrame, k: int = 3) -> DataFrame:
-    """Rows by cluster of the scores and sentiment; an error row where nothing can be
-    clustered. A pass of its own: the profile above does not hold the scores together."""
+def _cluster_section(by_scores: DataFrame, features, k: int) -> DataFrame:
+    """Rows by cluster of the scores and sentiment, from the profile's rows by scores; an
+    error row where nothing can be clustered, whatever the cause."""
     try:
-        counts = fit_clusters(df, k).counts()
-    except ValueError as error:
+        available_features(by_scores.withColumnsRenamed({f"_score_{n}": n for n in features}), features)
+        profile = by_scores.select(
+            "sentiment", "rows", *[F.col(f"_score_{name}").alias(name) for name in features]
+        )
+        if not by_scores.filter("_scores_unread > 0").isEmpty():
+            raise ValueError("some scores are no numbers")
+        counts = fit_profile(profile.dropna(subset=features), features, k).counts()
+    except (ValueError, PySparkException) as error:
         rows = [("cluster_sentiment", None, None, "error", None, str(error))]
-        return df.sparkSession.createDataFrame(rows, NOTE_SCHEMA)
+        return by_scores.sparkSession.createDataFrame(rows, NOTE_SCHEMA)
     return counts.select(
         F.lit("cluster_sentiment").alias("section"),
         F.col("cluster").cast("string").alias("key1"),

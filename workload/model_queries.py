@@ -40,31 +40,49 @@ def m1_scaled(spark, sf_dir):
 CLUSTERS = 3
 
 
-def nearest_violations(fitted):
-    """Rows that lie nearer to another centre than to that of their cluster."""
-    centres = fitted.model.clusterCenters()
+def squared_distances(fitted):
+    """Of a row from each centre, in scaled units."""
     scaled = [
         F.col(name) / fitted.deviations[name] if fitted.deviations[name] else F.lit(0.0)
         for name in fitted.features
     ]
-    apart = [
+    return [
         sum((F.pow(x - F.lit(float(c)), 2) for x, c in zip(scaled, centre)), F.lit(0.0))
-        for centre in centres
+        for centre in fitted.model.clusterCenters()
     ]
-    own = F.element_at(F.array(*apart), F.col("cluster") + 1)
-    return F.count_if(own > F.least(*apart) + 1e-9) if len(apart) > 1 else F.lit(0)
+
+
+def own_distance(fitted):
+    return F.element_at(F.array(*squared_distances(fitted)), F.col("cluster") + 1)
+
+
+def nearest_violations(fitted):
+    """Rows that lie nearer to another centre than to that of their cluster."""
+    apart = squared_distances(fitted)
+    return F.count_if(own_distance(fitted) > F.least(*apart) + 1e-9) if len(apart) > 1 else F.lit(0)
 
 
 @query(
     "m1_cluster_sentiment_features",
-    using("scored", "select count(*) as rows, count(distinct id) as ids, 0::bigint as violations from scored"),
+    using(
+        "scored",
+        f"""select count(*) as rows, count(distinct id) as ids, 0::bigint as violations,
+        {CLUSTERS}::bigint as clusters, true as halves_spread from scored""",
+    ),
 )
 def m1(spark, sf_dir):
+    """Every row is in the cluster of its nearest centre, and distances within clusters add
+    up to less than half of those from the mean of all."""
     fitted = L.fit_clusters(X.scored(spark, sf_dir), CLUSTERS)
+    varying = sum(1 for value in fitted.deviations.values() if value)
+    # Scaled columns have a sample variance of one.
+    whole = F.lit(varying) * (F.count("*") - 1)
     return fitted.assign(X.scored(spark, sf_dir)).agg(
         F.count("*").alias("rows"),
         F.count_distinct("id").alias("ids"),
         nearest_violations(fitted).alias("violations"),
+        F.count_distinct("cluster").alias("clusters"),
+        (F.sum(own_distance(fitted)) < whole / 2).alias("halves_spread"),
     )
 
 
@@ -102,12 +120,17 @@ def m2(spark, sf_dir):
 
 @query(
     "a10_cluster_sentiment",
-    using("scored", "select sentiment, count(*) as count from scored group by sentiment"),
+    using(
+        "scored",
+        f"""select sentiment, count(*) as count, {CLUSTERS}::bigint as clusters
+        from scored group by sentiment""",
+    ),
 )
 def a10(spark, sf_dir):
     # Over all clusters; which cluster is which depends on the fit.
     counts = L.fit_clusters(X.scored(spark, sf_dir), CLUSTERS).counts()
-    return counts.groupBy("sentiment").agg(F.sum("count").alias("count"))
+    clusters = counts.agg(F.count_distinct("cluster").alias("clusters"))
+    return counts.groupBy("sentiment").agg(F.sum("count").alias("count")).crossJoin(clusters)
 
 
 def split(spark, sf_dir):

@@ -7,6 +7,7 @@ from verbatide.operators import evaluation as V
 from verbatide.operators import preprocess as P
 from verbatide.operators import statistics as A
 from verbatide.plans import report as R
+from verbatide.storage import scratch_path
 from workload import fixtures as X
 from workload import reports_sql as sql
 from workload.oracle import using
@@ -41,6 +42,17 @@ def a2(spark, sf_dir):
     return A.confidence_stats(X.scored(spark, sf_dir))
 
 
+@query(
+    "a2_wide_values",
+    """select round(avg(v), 4) as average, round(min(v), 4) as minimum, round(max(v), 4) as maximum,
+    round(stddev_samp(v), 4) as std_deviation, quantile_disc(r, 0.5) as median,
+    quantile_disc(r, 0.25) as q1, quantile_disc(r, 0.75) as q3
+    from (select value as v, round(value, 4) as r from events)""",
+)
+def a2_wide(spark, sf_dir):
+    return A.confidence_stats(X.table(spark, sf_dir, "events"), "value")
+
+
 @query(
     "a3_length_stats",
     using(
@@ -223,6 +235,45 @@ def a17(spark, sf_dir):
     return stats.withColumns({name: F.round(name, 4) for name in means})
 
 
+@query(
+    "a17_batches",
+    using(
+        "ingested",
+        """select 7::bigint as batches, count(*) as total_records,
+        count(*) filter (is_valid = 'valid') as valid_records,
+        count(comment_length) as length_count, round(avg(comment_length), 4) as length_mean,
+        round(stddev_samp(comment_length), 4) as length_stddev, min(comment_length) as length_min,
+        max(comment_length) as length_max, count(score) as score_count,
+        round(avg(score), 4) as score_mean, round(stddev_samp(score), 4) as score_stddev,
+        min(score) as score_min, max(score) as score_max, true as authors_within_3_percent
+        from ingested""",
+    ),
+)
+def a17_batches(spark, sf_dir):
+    """Seven batches are stored as statistics and merged; no comment is read for that."""
+    rows = X.ingested(spark, sf_dir)
+    path = scratch_path(spark, "batches")
+    batch = (F.pmod(F.xxhash64("id"), F.lit(7))).alias("batch")
+    A.batch_ingestion_stats(rows, batch).write.parquet(path)
+    stored = spark.read.parquet(path)
+    exact = rows.agg(
+        (F.count_distinct("author") + F.max(F.col("author").isNull().cast("int"))).alias("exact")
+    )
+    means = ("length_mean", "length_stddev", "score_mean", "score_stddev")
+    # One row each.
+    return (
+        A.merged_ingestion_stats(stored)
+        .crossJoin(exact)
+        .crossJoin(stored.agg(F.count("*").alias("batches")))
+        .withColumns({name: F.round(name, 4) for name in means})
+        .withColumn(
+            "authors_within_3_percent",
+            F.abs(F.col("unique_authors") - F.col("exact")) <= 0.03 * F.col("exact"),
+        )
+        .drop("unique_authors", "exact")
+    )
+
+
 def exact_values(report):
     """Extremes come unrounded; both sides are rounded for comparison."""
     return report.withColumn("value", F.round("value", 6))
@@ -318,6 +369,21 @@ def a23(spark, sf_dir):
     return over_clusters(R.comprehensive_report(X.scored(spark, sf_dir)))
 
 
+@query(
+    "a23_failing_section",
+    using(
+        "scored",
+        "select * from (" + sql.comprehensive("scored", REPORT_COLUMNS) + """)
+        where section not in ('text_length_statistics', 'length_by_sentiment', 'correlations')
+        union all select 'text_analysis', null, null, 'error', null,
+        'text_length, word_count or confidence holds no number in some rows'""",
+    ),
+)
+def a23_failing(spark, sf_dir):
+    words = F.when(F.col("word_count") % 2 == 0, F.lit("many")).otherwise(F.col("word_count").cast("string"))
+    return over_clusters(R.comprehensive_report(X.scored(spark, sf_dir).withColumn("word_count", words)))
+
+
 @query("a24_dashboard", using("scored", sql.dashboard("scored")))
 def a24(spark, sf_dir):
     return R.dashboard(X.scored(spark, sf_dir))
