@@ -10,7 +10,12 @@ from verbatide.plans import stages as G
 from verbatide.sinks import tables as K
 from verbatide.sources import files as S
 from verbatide.sources import threads as H
-from verbatide.streaming.sentiment import score_raw_comments, stream_sentiment
+from verbatide.streaming.sentiment import (
+    log_batches,
+    logged_batches,
+    score_raw_comments,
+    stream_sentiment,
+)
 from workload import fixtures as X
 
 
@@ -148,6 +153,49 @@ def test_stream_equals_batch(spark, small, tmp_path):
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
 
 
+def test_stream_log(spark, small, tmp_path):
+    source, log = tmp_path / "in", str(tmp_path / "log")
+    X.comment_lines(spark, small).repartition(5).write.text(str(source))
+    options = dict(trigger_interval=None, max_files_per_trigger=2, run_ts=X.RUN_TS)
+    paths = [str(tmp_path / name) for name in ("out", "state")]
+    log_batches(stream_sentiment(spark, str(source), *paths, **options), log)
+    stored = spark.read.parquet(paths[0])
+    batches = logged_batches(spark, log).orderBy("batch_id").collect()
+    assert [b.batch_id for b in batches] == [0, 1, 2]
+    assert sum(b.scored_rows for b in batches) == stored.count()
+    assert sum(b.positive for b in batches) == stored.filter("sentiment = 'positive'").count()
+    assert sum(b.input_rows for b in batches) > sum(b.scored_rows for b in batches)
+    # A restart goes on where the log ends; a batch that is done again counts once.
+    (source / "more.txt").write_text('{"id": "n", "text": "good great love and more"}\n')
+    log_batches(stream_sentiment(spark, str(source), *paths, **options), log)
+    again = spark.read.json(log).filter("batch_id = 1").withColumn("started", F.lit("2999"))
+    again.write.mode("append").json(log)
+    assert [(b.batch_id, b.started == "2999") for b in logged_batches(spark, log).orderBy("batch_id").collect()] == [
+        (0, False), (1, True), (2, False), (3, False)
+    ]
+    # A query that fails has what it did in the log.
+    def broken(rows):
+        return rows.withColumn("sentiment", F.raise_error(F.lit("no score"))).withColumn("confidence", F.lit(0.0))
+
+    failing = stream_sentiment(
+        spark, str(source), str(tmp_path / "o2"), str(tmp_path / "s2"), scorer=broken, **options
+    )
+    with pytest.raises(Exception, match="no score"):
+        log_batches(failing, str(tmp_path / "log2"))
+
+
+def test_stages_count_while_writing(spark, small, tmp_path):
+    source = str(tmp_path / "comments")
+    X.comment_lines(spark, small).write.text(source)
+    settings = G.RunSettings(source, str(tmp_path / "run"), create_partitions=False)
+    counts = G.ingest_stage(spark, settings, "r", X.RUN_TS)
+    stored = spark.read.parquet(settings.path("processed"))
+    assert counts["records"] == stored.count()
+    assert counts["valid"] == stored.filter("is_valid = 'valid'").count()
+    scored = G.score_stage(spark, settings, X.RUN_TS)
+    assert scored["records"] == spark.read.parquet(settings.path("sentiment")).count() > 0
+
+
 def test_staged_run(spark, small, tmp_path):
     source = str(tmp_path / "comments")
     X.comment_lines(spark, small).write.text(source)

@@ -4,10 +4,10 @@ import time
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from verbatide.operators.ingest import filter_valid, ingest, retention_counts
+from verbatide.operators.ingest import filter_valid, ingest
 from verbatide.operators.preprocess import preprocess_text
 from verbatide.operators.sentiment import score_comments
 from verbatide.operators.statistics import ingestion_stats
@@ -65,19 +65,23 @@ def ingest_stage(spark: SparkSession, settings: RunSettings, run_id: str, run_ts
     """Stage 1: parse the raw files once and keep every row, by validity.
 
     Later stages read the valid folder only. The statistics cover all rows;
-    they come from the few columns they need of the stored table.
+    they come from the few columns they need of the stored table. Rows are counted while
+    they are written.
     """
     if settings.batch_mode:
         raw = scan_batch(spark, settings.comments, run_id, settings.file_pattern)
     else:
         raw = scan_comments(spark, settings.comments, text_fallback=True)
-    save_partitioned(ingest(raw, run_ts), settings.path("processed"), ["is_valid"])
+    counts = Observation("ingested")
+    rows = ingest(raw, run_ts).observe(
+        counts, F.count("*").alias("records"), F.count_if(F.col("is_valid") == "valid").alias("valid")
+    )
+    save_partitioned(rows, settings.path("processed"), ["is_valid"])
     stored = _processed(spark, settings)
     save_json(ingestion_stats(stored), settings.path("ingestion_statistics"), single_file=True)
     if settings.create_partitions:
         save_partitioned(filter_valid(stored), settings.path("processed_partitioned"))
-    counts = retention_counts(stored).first()
-    return {"records": counts["total"], "valid": counts["retained"]}
+    return {name: counts.get[name] for name in ("records", "valid")}
 
 
 def _processed(spark: SparkSession, settings: RunSettings) -> DataFrame:
@@ -107,10 +111,11 @@ def _stored_scores(spark: SparkSession, settings: RunSettings, scorer) -> DataFr
 def score_stage(spark: SparkSession, settings: RunSettings, run_ts=None, scorer=None) -> dict:
     """Stage 2: the scored table, and a summary of it."""
     scored = _scored(_processed(spark, settings), settings, scorer, run_ts)
-    save_sentiment(scored, settings.path("sentiment"), settings.include_original_text)
+    counts = Observation("scored")
+    save_sentiment(scored, settings.path("sentiment"), settings.include_original_text, counts)
     stored = _stored_scores(spark, settings, scorer)
     save_report(sentiment_summary(stored), settings.path("summary_report"))
-    return {"records": stored.count(), "valid": None}
+    return {"records": counts.get["records"], "valid": None}
 
 
 def analytics_stage(spark: SparkSession, settings: RunSettings, scorer=None) -> dict:

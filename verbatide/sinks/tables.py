@@ -1,6 +1,6 @@
 """Writers. All of them write from the tasks; nothing passes through the driver."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from verbatide.functions.text import date_key
@@ -57,11 +57,15 @@ def result_columns(df: DataFrame, include_original: bool = True) -> DataFrame:
     return project_available(df, wanted)
 
 
-def save_sentiment(df: DataFrame, path: str, include_original: bool = True) -> None:
-    """Scored comments as Parquet by sentiment, with or without their texts."""
-    result_columns(df, include_original).write.mode("overwrite").partitionBy(
-        "sentiment"
-    ).parquet(path)
+def save_sentiment(
+    df: DataFrame, path: str, include_original: bool = True, counts: Observation | None = None
+) -> None:
+    """Scored comments as Parquet by sentiment, with or without their texts. ``counts``
+    tells the ``records`` as they were written."""
+    rows = result_columns(df, include_original)
+    if counts is not None:
+        rows = rows.observe(counts, F.count("*").alias("records"))
+    rows.write.mode("overwrite").partitionBy("sentiment").parquet(path)
 
 
 def save_json(df: DataFrame, path: str, single_file: bool = False) -> None:

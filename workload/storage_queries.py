@@ -14,7 +14,7 @@ from verbatide.sinks import tables as K
 from verbatide.sources import files as S
 from verbatide.sources import threads as H
 from verbatide.storage import scratch_path
-from verbatide.streaming.sentiment import stream_sentiment
+from verbatide.streaming.sentiment import log_batches, logged_batches, stream_sentiment
 from workload import fixtures as X
 from workload import reports_sql as sql
 from workload.oracle import using
@@ -487,6 +487,32 @@ def k9(spark, sf_dir):
     )
 
 
+@query(
+    "k9_stream_log",
+    using(
+        "keyword_scored",
+        f"""select count(*) as scored_rows, count(*) filter (sentiment = 'positive') as positive,
+        count(*) filter (sentiment = 'negative') as negative,
+        count(*) filter (sentiment = 'neutral') as neutral,
+        count(*) filter (sentiment not in ('positive', 'negative', 'neutral')) as other,
+        true as without_gaps from ({STREAMED})""",
+    ),
+)
+def k9_stream(spark, sf_dir):
+    """What the batches' log entries, read as a whole, say of the stream."""
+    source = written_lines(spark, sf_dir, "stream_in")
+    output, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
+    log = scratch_path(spark, "stream-log")
+    running = stream_sentiment(
+        spark, source, output, checkpoint, trigger_interval=None, max_files_per_trigger=3, run_ts=X.RUN_TS
+    )
+    log_batches(running, log)
+    counts = ("scored_rows", "positive", "negative", "neutral", "other")
+    return logged_batches(spark, log).agg(
+        *[F.sum(name).alias(name) for name in counts],
+        (F.count("*") == F.max("batch_id") + 1).alias("without_gaps"),
+    )
+
 
 @query(
     "k10_export_text",
