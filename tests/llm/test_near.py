@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from verbatide.llm import itq as Q
 from verbatide.llm import simhash_vptree as V
+from tests.conftest import plan
 from verbatide.llm.components import connected_components
+from verbatide.llm.sampling import share_by_hash
 
 
 def classes(n, pairs):
@@ -90,6 +92,38 @@ def test_shards_find_all_pairs(spark, monkeypatch):
     assert classes(len(at), [(at[a], at[b]) for a, b in edges]) == classes(len(at), zip(i, j))
 
 
+def test_blocks_find_all_pairs(spark, monkeypatch):
+    """Shards dealt into blocks of members and of queries: no group beyond their sizes."""
+    monkeypatch.setattr(V, "MEMBER_BLOCK", 40)
+    monkeypatch.setattr(V, "QUERY_BLOCK", 60)
+    monkeypatch.setattr(V, "LEAST_SHARDS", 4)
+    monkeypatch.setattr(V, "CELLS", 50)
+    draw = np.random.default_rng(3)
+    points = draw.integers(0, 1 << 63, 500, dtype=np.uint64)
+    near = points[:200].copy()
+    for _ in range(4):
+        near ^= np.uint64(1) << draw.integers(0, 64, 200, dtype=np.uint64)
+    # A crowd within the radius of one point.
+    crowd = points[0] ^ (np.uint64(1) << np.arange(63, dtype=np.uint64))
+    every = np.unique(np.concatenate([points, near, crowd]))
+    rows = [(int(x), int(x), []) for x in every.view(np.int64)]
+    df = spark.createDataFrame(rows, "node long, fp long, more array<long>")
+    edges = [(r.a, r.b) for r in V.fingerprint_links(df, 4).collect()]
+    at = {int(x): i for i, x in enumerate(every.view(np.int64))}
+    i, j = np.nonzero(V.distance(every[:, None], every[None]) <= 4)
+    assert classes(len(at), [(at[a], at[b]) for a, b in edges]) == classes(len(at), zip(i, j))
+
+
+def test_share_by_hash(spark):
+    df = spark.range(40000)
+    some = share_by_hash(df, "id", 4000, 40000)
+    assert 3600 <= some.count() <= 4400
+    assert share_by_hash(df, "id", 40000, 40000).count() == 40000
+    assert share_by_hash(df.limit(0), "id", 5, 0).count() == 0
+    text = plan(some)
+    assert "Sort" not in text and "TakeOrdered" not in text and "Exchange" not in text
+
+
 def test_near_copies_go_and_others_stay(documents):
     """Five-word shingles: a similarity of 0.8 or more is found, 0.5 is left alone."""
     draw = random.Random(8)

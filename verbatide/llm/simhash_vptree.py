@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.llm.components import connected_components
+from verbatide.llm.sampling import share_by_hash
 from verbatide.llm.windows import mix
 from verbatide.storage import cut_lineage
 
@@ -28,6 +29,8 @@ from verbatide.storage import cut_lineage
 # (bounds the tree in each task: 24 bytes a node). The sample bounds what the driver sees.
 SHARD, LEAST_SHARDS, MOST_SHARDS = 16_384, 32, 8192
 SAMPLE_PER_SHARD, LEAF = 32, 64
+# Members and queries of a shard that meet in one group, and cells of a matrix of distances.
+MEMBER_BLOCK, QUERY_BLOCK, CELLS = 2 * SHARD, 8 * SHARD, 1 << 20
 # A block of sets to compare, in shingles, and what a set counts besides its own.
 SET_BLOCK, SET_COST = 1 << 20, 256
 # Candidates for similar sets share one of BANDS groups of ROWS least hashes: a pair whose
@@ -225,10 +228,12 @@ class Forest:
         return child, self.parent[child]
 
 
-def search_shard(points: np.ndarray, member: np.ndarray, radius: int, more=None, total=None):
-    """Links among a shard's members and to its guests, as a spanning forest of stars
-    around the points that come first. With ``total``, the distance over the points and
-    their rows of ``more`` has to keep to that as well."""
+def search_shard(
+    points: np.ndarray, member: np.ndarray, radius: int, more=None, total=None, asks=None
+):
+    """Links from the points that ask (by default all) to a shard's members, as a
+    spanning forest of stars around the points that come first. With ``total``, the
+    distance over the points and their rows of ``more`` has to keep to that as well."""
     members, at = points[member], np.flatnonzero(member)
     forest = Forest(len(points))
     leaves = 1
@@ -236,10 +241,12 @@ def search_shard(points: np.ndarray, member: np.ndarray, radius: int, more=None,
         leaves *= 2
     nodes = build_tree(members, leaves)
     inside = dict(reached(nodes, members, 0))
-    for leaf, own in reached(nodes, points, radius):
-        held = inside[leaf]
-        for start in range(0, len(own), 1 << 14):
-            some = own[start : start + (1 << 14)]
+    asking = np.arange(len(points)) if asks is None else np.flatnonzero(asks)
+    for leaf, own in reached(nodes, points[asking], radius):
+        held, own = inside[leaf], asking[own]
+        step = max(1, CELLS // max(1, len(held)))
+        for start in range(0, len(own), step):
+            some = own[start : start + step]
             q, m = np.nonzero(distance(points[some][:, None], members[held][None, :]) <= radius)
             q, m = some[q], at[held[m]]
             if total is not None:
@@ -254,14 +261,16 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, total: int | None = No
     """(a, b): links that connect what is within the radius, from distinct fingerprints
     (node, fp, more). With ``total``, distances over fp and more keep to that as well.
 
-    The pairs form a spanning forest per shard: their components are exactly those of
-    all pairs of distinct fingerprints at ``radius`` or fewer differing bits.
+    The pairs form a spanning forest per group: their components are exactly those of
+    all pairs of distinct fingerprints at ``radius`` or fewer differing bits. A group is
+    a block of a shard's members and a block of what asks there, so that none grows with
+    the table, whatever the number of shards.
     """
     number = prints.count()
     shards = LEAST_SHARDS
     while shards * SHARD < number and shards < MOST_SHARDS:
         shards *= 2
-    drawn = prints.orderBy(F.xxhash64("node"), "node").limit(shards * SAMPLE_PER_SHARD)
+    drawn = share_by_hash(prints, "node", shards * SAMPLE_PER_SHARD, number)
     sample = drawn.select("fp").toArrow().column(0).to_numpy().view(np.uint64)
     nodes = build_tree(sample, shards)
 
@@ -272,8 +281,12 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, total: int | None = No
             for leaf, own in reached(nodes, points, 0):
                 home[own] = leaf
             for leaf, own in reached(nodes, points, radius):
-                # Two fingerprints within the radius reach each other's shards; one way is enough.
-                own = own[home[own] >= leaf]
+                # Two fingerprints within the radius reach each other's shards; one way is
+                # enough, which a hash of both leaves chooses.
+                at = home[own]
+                pair = np.minimum(at, leaf) * MOST_SHARDS + np.maximum(at, leaf)
+                down = (mix(pair.astype(np.uint64) + _ANEW) & np.uint64(1)).astype(bool)
+                own = own[(at == leaf) | ((at > leaf) == down)]
                 if len(own):
                     sent = batch.take(pa.array(own))
                     yield pa.record_batch(
@@ -290,16 +303,44 @@ def fingerprint_links(prints: DataFrame, radius: int = 4, total: int | None = No
         nodes = table.column("node").to_numpy()
         points = table.column("fp").to_numpy().view(np.uint64)
         member = table.column("member").to_numpy(zero_copy_only=False)
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
         more = table.column("more").combine_chunks().flatten().to_numpy().view(np.uint64)
-        child, parent = search_shard(points, member, radius, more.reshape(len(points), -1), total)
+        child, parent = search_shard(
+            points, member, radius, more.reshape(len(points), -1), total, asks
+        )
         return pa.table({"a": pa.array(nodes[child]), "b": pa.array(nodes[parent])})
 
-    return (
-        prints.select("node", "fp", "more")
-        .mapInArrow(route, "shard int, node long, fp long, more array<long>, member boolean")
-        .groupBy("shard")
-        .applyInArrow(search, "a long, b long")
+    routed = prints.select("node", "fp", "more").mapInArrow(
+        route, "shard int, node long, fp long, more array<long>, member boolean"
+    )
+    # One row per shard, MOST_SHARDS at the most.
+    blocks = cut_lineage(
+        routed.groupBy("shard")
+        .agg(F.count_if("member").alias("members"), F.count("*").alias("rows"))
+        .select(
+            "shard",
+            F.greatest(F.lit(1), F.ceil(F.col("members") / MEMBER_BLOCK)).alias("m_blocks"),
+            F.ceil(F.col("rows") / QUERY_BLOCK).alias("q_blocks"),
+        )
+    )
+    m, q = F.pmod(F.xxhash64("node"), "m_blocks"), F.pmod(F.xxhash64(F.lit(1), "node"), "q_blocks")
+    asked = F.transform(
+        F.sequence(F.lit(0), F.col("m_blocks") - 1), lambda i: F.struct(i.alias("m"), F.col("q").alias("q"))
+    )
+    answers = F.transform(
+        F.sequence(F.lit(0), F.col("q_blocks") - 1), lambda i: F.struct(F.col("m").alias("m"), i.alias("q"))
+    )
+    dealt = (
+        routed.join(F.broadcast(blocks), "shard")
+        .withColumns({"m": m, "q": q})
+        .withColumn("cell", F.explode(F.when(F.col("member"), F.array_union(asked, answers)).otherwise(asked)))
+        .select(
+            "shard", "cell.m", "cell.q", "node", "fp", "more",
+            (F.col("member") & (F.col("cell.m") == F.col("m"))).alias("member"),
+            (F.col("cell.q") == F.col("q")).alias("asks"),
+        )
     )
+    return dealt.groupBy("shard", "m", "q").applyInArrow(search, "a long, b long")
 
 
 def similar_sets(flat, ends, prints, sides, similarity: float, total: int):
