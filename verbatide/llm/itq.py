@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.llm.components import connected_components
+from verbatide.llm.sampling import share_by_hash
 from verbatide.llm.simhash_vptree import Forest
 from verbatide.storage import cut_lineage
 
@@ -144,8 +145,8 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
     sizes = usable.groupBy("label").agg(
         F.count("*").alias("n"), F.max(F.size("embedding")).alias("dim")
     )
-    largest, dim = sizes.agg(F.max("n"), F.max("dim")).first()
-    largest, dim = largest or 0, dim or 1
+    largest, dim, number = sizes.agg(F.max("n"), F.max("dim"), F.sum("n")).first()
+    largest, dim, number = largest or 0, dim or 1, number or 0
 
     def scale(batches):
         for batch in batches:
@@ -190,7 +191,8 @@ def embedding_duplicates(embeddings: DataFrame, threshold: float = 0.98) -> Data
         else:
             tables, shortest = 0, math.inf
         whole = table_plan(largest, threshold)[1]
-    drawn = centred.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).toArrow()
+    drawn = share_by_hash(usable, "vec_id", SAMPLE, number).join(means, "label")
+    drawn = drawn.select("embedding", "mean").toArrow()
     sample = _unit(_matrix(drawn.column("embedding"), dim)) - _matrix(drawn.column("mean"), dim)
     per_rotation = min(dim, 64)
     projections = [
