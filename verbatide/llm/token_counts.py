@@ -27,6 +27,8 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # Both bound the broadcast: at most HEAD_SIZE keys of at most HEAD_BYTES bytes.
 HEAD_SIZE = 1 << 18
 HEAD_BYTES = 24
+# Steps of frequency to a doubling, at one of which the head ends.
+HEAD_STEPS = 16
 
 # Beyond these characters, Unicode tables and notions of white space may differ
 # between libraries; such texts are divided by the tokenizer itself.
@@ -139,13 +141,17 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512) -> Data
         .write.parquet(vocabulary)
     )
     counted = spark.read.schema("token string, n long, pieces long").parquet(vocabulary)
-    frequent = (
-        counted.filter(F.octet_length("token") <= HEAD_BYTES)
-        .orderBy(F.desc("n"), "token")
-        .limit(HEAD_SIZE)
-        .select("token", "pieces")
-        .toArrow()
-    )
+    short = counted.filter(F.octet_length("token") <= HEAD_BYTES)
+    step = F.floor(F.log2("n") * HEAD_STEPS)
+    # At most 63 * HEAD_STEPS rows. The head ends where the next step would pass its size.
+    least, held = None, 0
+    for at, size in sorted(short.groupBy(step.alias("step")).count().collect(), reverse=True):
+        held += size
+        if held > HEAD_SIZE:
+            break
+        least = at
+    head_rows = short.filter(step >= least) if least is not None else short.limit(0)
+    frequent = head_rows.select("token", "pieces").toArrow()
     head = spark.sparkContext.broadcast(
         dict(zip(frequent.column(0).to_pylist(), frequent.column(1).to_pylist()))
     )
