@@ -2,10 +2,12 @@
 
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan
+from verbatide.operators.sentiment import attach_predictions
 from verbatide.plans import stages as G
 from verbatide.sinks import tables as K
 from verbatide.sources import files as S
@@ -73,6 +75,35 @@ def test_stored_sentiment_is_pruned_by_label(spark, small, tmp_path):
     assert "ReadSchema: struct<confidence:double,text_length:int>" in text
 
 
+def test_bucketed_tables_are_joined_as_they_lie(spark, tmp_path):
+    comments = spark.createDataFrame(
+        [(None, "n", "x"), *((str(i % 50), f"t{i}", "x") for i in range(120))],
+        "id string, text string, sentiment_label string",
+    )
+    predictions = spark.createDataFrame(
+        [(str(i), label, 50.0 + i) for i in range(10, 70) for label in ("Negative", "Positive")],
+        "id string, sentiment_label string, confidence_score double",
+    )
+    K.save_bucketed(comments, "test_comments", str(tmp_path / "c"), 8)
+    K.save_bucketed(predictions, "test_predictions", str(tmp_path / "p"), 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = attach_predictions(spark.table("test_comments"), spark.table("test_predictions"))
+        text = plan(joined)
+        assert "Exchange" not in text and "SortMergeJoin" in text
+        assert text.count("Bucketed: true") == 2
+        want = attach_predictions(comments, predictions)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, want.collect()))
+        assert joined.count() == 121
+        K.save_bucketed(comments.limit(0), "test_comments", str(tmp_path / "c"), 8)
+        assert spark.table("test_comments").count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in ("test_comments", "test_predictions"):
+            spark.sql(f"drop table {name}")
+
+
 def entry(name, replies="", kind="t1", **fields):
     return {"kind": kind, "data": {"id": name, "body": name.upper(), "replies": replies, **fields}}
 
@@ -113,6 +144,16 @@ def test_threads_in_reading_order(spark):
         H.flatten_threads(df.filter("thread = 'bad'"), strict=True).collect()
 
 
+def test_batches_count_what_is_kept_of_threads(spark):
+    """A thread's long columns come again with each comment, so fewer go at a time."""
+    flatten = H._comments_of(1, False)
+    document = json.dumps(listing(*(entry(str(i), author="a" * 100) for i in range(300))))
+    batch = pa.record_batch({"thread": ["t" * 100_000], "document": [document]})
+    rows = list(flatten([batch]))
+    sizes = [b.num_rows for b in rows]
+    assert sum(sizes) == 300 and max(b.nbytes for b in rows) <= H.BATCH_BYTES + 200_000
+
+
 def test_permalinks(spark):
     urls = ["https://h/r/cats/comments/1ab/title/?x=1", "# https://h/r/a/b/c", " ", "https://h/r", "::"]
     rows = H.parse_permalinks(spark.createDataFrame([(u,) for u in urls], "url string")).collect()

@@ -216,7 +216,8 @@ def attach_predictions(
     Predictions are reduced to one row per key (the largest confidence, then
     the largest label), with partial aggregation, so that repeated keys cannot
     multiply comments. What remains skewed is the comments' side, which
-    adaptive execution splits in a left join.
+    adaptive execution splits in a left join. If ``save_bucketed`` stored both sides by
+    the key, neither is shuffled.
     """
     label, confidence = placeholders
     best = (

@@ -8,7 +8,7 @@ from verbatide.functions.text import as_column
 from verbatide.schemas import THREAD_COMMENT
 
 
-# Comments that a task gathers before it hands them on.
+# Bytes of comments, with what is kept of their threads, that a task hands on at a time.
 BATCH_BYTES = 4 << 20
 
 
@@ -137,12 +137,17 @@ def _comments_of(document_at: int, strict: bool):
 
         for batch in batches:
             rows, found, size = [], [], 0
+            kept = [c for i, c in enumerate(batch.columns) if i != document_at]
             for row in range(batch.num_rows):
                 document = batch.column(document_at)[row].as_py()
-                for position, comment in enumerate(comments(document) if document is not None else ()):
+                if document is None:
+                    continue
+                # Every comment of the thread repeats these.
+                repeated = 64 + sum(c.slice(row, 1).nbytes for c in kept)
+                for position, comment in enumerate(comments(document)):
                     rows.append(row)
                     found.append((position, *comment))
-                    size += 64 + len(comment[2])
+                    size += repeated + sum(map(len, comment[:3]))
                     if size >= batch_bytes:
                         yield batch_of(batch, rows, found)
                         rows, found, size = [], [], 0

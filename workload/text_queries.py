@@ -1,5 +1,7 @@
 """Projections, filters and scorers (P, F, U, J, O2)."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from verbatide.functions import measures as M
@@ -11,6 +13,8 @@ from verbatide.operators import ingest as I
 from verbatide.operators import preprocess as P
 from verbatide.operators import sentiment as U
 from verbatide.operators import statistics as A
+from verbatide.sinks.tables import save_bucketed
+from verbatide.storage import scratch_path
 from workload import fixtures as X
 from workload.oracle import using, words
 from workload.registry import query
@@ -650,6 +654,27 @@ def j1(spark, sf_dir):
     )
 
 
+@query(
+    "j1_bucketed",
+    using(
+        "rule_scored",
+        """select c.id, c.text, p.sentiment_label, p.confidence_score from comments c
+        left join rule_scored p on c.id = p.id""",
+    ),
+)
+def j1_bucketed(spark, sf_dir):
+    """Both sides stored in buckets of the id, then joined as they lie."""
+    made = X.rule_scored(spark, sf_dir).select("id", "sentiment_label", "confidence_score")
+    stored = []
+    for name, rows in (("comments", X.comments(spark, sf_dir)), ("predictions", made)):
+        table = f"{name}_{uuid.uuid4().hex}"
+        save_bucketed(rows, table, scratch_path(spark, "bucketed"), 16)
+        stored.append(spark.table(table))
+    return U.attach_predictions(*stored).select(
+        "id", "text", "sentiment_label", "confidence_score"
+    )
+
+
 @query(
     "o2_preprocess_v2",
     using(
