@@ -451,7 +451,9 @@ def confirmed_links(
         )
         return pa.table({"a": pa.array(nodes[child]), "b": pa.array(nodes[parent])})
 
-    return dealt.groupBy("root", "low", "high").applyInArrow(confirm, "a long, b long")
+    # What is dealt by root alone would satisfy the grouping, and keep a component in one task.
+    apart = dealt.repartition("root", "low", "high")
+    return apart.groupBy("root", "low", "high").applyInArrow(confirm, "a long, b long")
 
 
 def near_duplicates(
