@@ -1,6 +1,7 @@
 """Clusters and the trained classifier: bounds and invariants."""
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from verbatide.operators import classifier as C
@@ -51,3 +52,14 @@ def test_training_with_gaps(spark):
     model = C.train_text_classifier(train, epochs=3)
     assert C.unlabelled_count(train) == 3
     assert C.add_logits(train, model).filter("logit is null").count() == 0
+
+
+def test_model_serves_a_session_that_observes(spark):
+    """Neither order of training and observing keeps the model from the tasks."""
+    train = spark.createDataFrame([("good", 1), ("bad", 0)] * 5, "sentence string, label int")
+    model = C.train_text_classifier(train, epochs=3)
+    counts = Observation()
+    train.observe(counts, F.count("*").alias("rows")).collect()
+    assert counts.get["rows"] == 10
+    for usable in (model, C.train_text_classifier(train, epochs=3)):
+        assert C.add_logits(train, usable).filter("(logit > 0) = (label = 1)").count() == 10

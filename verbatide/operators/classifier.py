@@ -1,7 +1,7 @@
 """A text classifier trained with Spark ML."""
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verbatide.functions import lexicons
 from verbatide.functions import scoring as S
-from verbatide.storage import cut_lineage
+from verbatide.storage import cut_lineage, scratch_path
 
 
 def train_text_classifier(
@@ -40,6 +40,11 @@ def train_text_classifier(
         maxIter=epochs, regParam=regularization, aggregationDepth=tree_depth,
         featuresCol="features", labelCol="label",
     ).fit(rarity.transform(counts))
+    # A fitted model's summary holds its session, which does not travel to the tasks once
+    # it has observed a query; what is stored and read again has the weights and settings.
+    path = scratch_path(counts.sparkSession, "regression")
+    regression.write().save(path)
+    regression = LogisticRegressionModel.read().session(counts.sparkSession).load(path)
     return PipelineModel([tokenizer, hashing, rarity, regression])
 
 
