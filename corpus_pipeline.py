@@ -19,11 +19,12 @@ def known_languages(spark, docs, sf_dir):
 
 def first_of_near_copies(spark, docs, sf_dir):
     """One document of each group of near copies: those linked by a Jaccard similarity
-    of 0.8 or more of their distinct five-word shingles. SimHash screens the candidates.
+    of 0.8 or more of their distinct five-word shingles. Vantage-point trees over SimHash
+    fingerprints find candidates within 4 bits, bands of least hashes those further off.
 
     Null and blank texts are one group. Of repeated rows, one stays; rows without doc_id
     stay if no row of their group has one. An empty table stays empty."""
-    return keep_first(docs, words=5, wide=2, total=54, similarity=0.8)
+    return keep_first(docs, words=5, radius=4, wide=2, total=54, similarity=0.8)
 
 
 def without_repeats(spark, docs, sf_dir):

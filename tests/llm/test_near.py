@@ -218,6 +218,22 @@ def test_links_are_confirmed_by_shingles(spark, documents, monkeypatch):
     assert {i for i, _ in rows} - {r.doc_id for r in kept.collect()} == set(kin)
 
 
+def test_trees_find_near_copies_of_the_pipeline(spark, documents, monkeypatch):
+    """Without any band in common, the fingerprints' trees find what lies within 4 bits."""
+    import corpus_pipeline
+
+    monkeypatch.setattr(V, "candidate_links", lambda prints: prints.selectExpr("node a", "node b").limit(0))
+    rows, near = [], set()
+    for copy in range(20):
+        one, two = _shared(590, f"t{copy}w")
+        rows += [(2 * copy, one), (2 * copy + 1, two)]
+        prints = [V.simhash(np.unique(V.shingle_hashes(t, 5, 42))) for t in (one, two)]
+        if (prints[0] ^ prints[1]).bit_count() <= 4:
+            near.add(2 * copy + 1)
+    kept = {r.doc_id for r in corpus_pipeline.first_of_near_copies(spark, documents(rows), None).collect()}
+    assert len(near) > 5 and {i for i, _ in rows} - kept == near
+
+
 def test_crowded_label_is_searched_whole(spark):
     """Short residuals: a label of which most is one tight group, against brute force."""
     draw = np.random.default_rng(5)

@@ -33,7 +33,7 @@ SAMPLE_PER_SHARD, LEAF = 32, 64
 MEMBER_BLOCK, QUERY_BLOCK, CELLS = 2 * SHARD, 8 * SHARD, 1 << 20
 # A block of sets to compare, in shingles, and what a set counts besides its own.
 SET_BLOCK, SET_COST = 1 << 20, 256
-# Candidates for similar sets share one of BANDS groups of ROWS least hashes: a pair whose
+# Candidates for similar sets beyond the radius share one of BANDS groups of ROWS least hashes: a pair whose
 # similarity is 0.8 does with a chance of 1 - (1 - 0.8 ** 6) ** 18 = 0.996.
 BANDS, ROWS = 18, 6
 
@@ -475,8 +475,9 @@ def near_duplicates(
 
     With ``similarity``, a step needs sets of distinct shingles whose Jaccard similarity
     is at least that, and ``total`` or fewer bits over all fingerprints, which are of
-    distinct shingles then; the radius is not used. A vantage-point tree prunes nothing
-    at the radius that 0.8 takes, so candidates share a band of least hashes instead.
+    distinct shingles then. Candidates are what the vantage-point trees find within the
+    radius; they prune nothing at the one that 0.8 takes, so what shares a band of least
+    hashes is a candidate too.
     Texts are one if their sets are equal; texts without words are one another's only.
     """
     extra = ["bands"] if similarity is not None else []
@@ -490,7 +491,8 @@ def near_duplicates(
         rows.groupBy("node", "fp", "more", *extra).agg(F.min("doc_id").alias("first"))
     )
     if similarity is not None:
-        loose = connected_components(candidate_links(prints))
+        searched = fingerprint_links(prints, radius)
+        loose = connected_components(searched.unionByName(candidate_links(prints)))
         most = 64 * (1 + wide) if total is None else total
         roots = connected_components(
             confirmed_links(docs, prints, loose, words, seed, similarity, most)
@@ -529,7 +531,7 @@ def keep_first(
     Jaccard similarity of 0.8 differ in 29 give or take 5, unrelated ones in 96 give or
     take 7. The first 64 differ in no more than 16 then, but for one pair in seventy.
     With ``similarity``, links are confirmed by the shingles themselves; ``total`` has to
-    be wide enough then to pass every similar pair.
+    be wide enough then to pass every similar pair, and a small radius saves work.
     The smallest doc_id of a component stays, in one row. Rows without doc_id stay if
     no row of their component has one.
     """
