@@ -7,7 +7,7 @@ from verbatide.operators.sentiment import attach_predictions, score_rules
 from verbatide.plans.report import results_analysis
 from verbatide.sinks.tables import save_json, save_records
 from verbatide.sources.files import scan_enriched
-from verbatide.storage import cut_lineage
+from verbatide.storage import cut_lineage, scratch_path
 
 
 def run_integrated(
@@ -17,7 +17,8 @@ def run_integrated(
 
     ``scorer`` takes prepared comments and adds ``sentiment_label`` and
     ``confidence_score``; both are joined by id, as predictions made elsewhere would be.
-    Predictions are stored, so that no comment is scored twice.
+    Predictions are stored, so that no comment is scored twice, and so are the joined
+    comments, so that texts are shuffled once for all that is made of them.
     """
     prepared = scan_enriched(spark, comments).transform(preprocess_enriched)
     predictions = cut_lineage(
@@ -25,8 +26,11 @@ def run_integrated(
             "id", "sentiment_label", "confidence_score"
         )
     )
-    scored = attach_predictions(prepared, predictions)
-    analysis = results_analysis(scored)
+    path = scratch_path(spark, "scored")
+    joined = attach_predictions(prepared, predictions)
+    joined.write.parquet(path)
+    scored = spark.read.schema(joined.schema).parquet(path)
+    analysis = cut_lineage(results_analysis(scored))
     save_records(scored, analysis, output.rstrip("/"))
     if report:
         save_json(analysis, f"{output.rstrip('/')}/report", single_file=True)
