@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan
+from verbatide.operators.ingest import default_columns
 from verbatide.operators.sentiment import attach_predictions
 from verbatide.plans import stages as G
+from verbatide.plans.integrated import run_integrated
 from verbatide.sinks import tables as K
 from verbatide.sources import files as S
 from verbatide.sources import threads as H
@@ -19,6 +21,8 @@ from verbatide.streaming.sentiment import (
     stream_sentiment,
 )
 from workload import fixtures as X
+from workload import storage_queries  # noqa: F401
+from workload.registry import QUERIES
 
 
 def lines(tmp_path, *rows, name="comments.json"):
@@ -46,6 +50,54 @@ def test_bare_texts_are_numbered_by_line(spark, tmp_path):
     assert rows["comment_3"].contains_url and rows["comment_3"].is_question
 
 
+def test_bare_texts_are_numbered_without_a_sort(spark, tmp_path, monkeypatch):
+    """Blocks of several files, some of them in one partition, and no line is moved."""
+    folder = tmp_path / "bare"
+    folder.mkdir()
+    want = []
+    for name in "abc":
+        texts = [f"{name}{i} " + "x" * (i % 90) for i in range(400)]
+        lines(folder, *[json.dumps({"text": t}) if i % 7 else " " for i, t in enumerate(texts)], name=f"{name}.json")
+        want += [t for i, t in enumerate(texts) if i % 7]
+    monkeypatch.setattr(type(spark.range(1)), "orderBy", None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        rows = S.scan_bare_texts(spark, str(folder), run_ts="2024-01-01").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r.id: r.text for r in rows} == {f"comment_{i}": t for i, t in enumerate(want)}
+
+
+def test_bare_lines_are_sorted_in_small_ranges(spark, small, monkeypatch):
+    monkeypatch.setattr(X, "RANGE_ROWS", 100)
+    monkeypatch.setattr(X, "comments", lambda *_: spark.range(900).selectExpr("'d' || id as id", "'' || id as text"))
+    found = X.bare_lines(spark, small)
+    assert found.rdd.getNumPartitions() >= 10
+    texts = [json.loads(r.value)["text"] for r in found.collect() if r.value.startswith('{"text":"')]
+    assert [f"d{t}" for t in texts] == sorted(f"d{i}" for i in range(900))
+
+
+def test_integrated_run_joins_texts_once(spark, small, tmp_path):
+    """What is analysed, saved and returned is read from the joined comments as stored."""
+    path = str(tmp_path / "enriched")
+    X.comments(spark, small).transform(default_columns, run_ts=X.RUN_TS).write.json(path)
+    scored = run_integrated(spark, path, str(tmp_path / "out"))
+    assert "Join" not in plan(scored) and "Exchange" not in plan(scored)
+    assert scored.count() == X.rule_scored(spark, small).count()
+
+
+def test_records_are_made_from_stored_rows(spark, small, monkeypatch):
+    seen = []
+    save = K.save_records
+    monkeypatch.setattr(K, "save_records", lambda df, *rest: seen.append(df) or save(df, *rest))
+    QUERIES["k7_save_records_csv_json"](spark, small)
+    assert "fantastic" not in plan(seen[0])
+
+
+def test_repeated_ids_are_judged_on_stored_rows(spark, small):
+    assert "fantastic" not in plan(QUERIES["k8_repeated_ids"](spark, small))
+
+
 def test_labelled_round_trip(spark, tmp_path):
     sentences = [('say "hi"', 1), (" spaces ", 0), ("plain", 1), ("tab\tinside", 0)]
     rows = spark.createDataFrame(sentences, "sentence string, label int")

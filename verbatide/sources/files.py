@@ -2,14 +2,14 @@
 data except in :func:`read_results`, if it is given no schema for JSON."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatide.functions.text import is_blank
 from verbatide.operators.ingest import default_columns
-from verbatide.operators.ordering import with_row_index
 from verbatide.operators.statistics import scan_counts
 from verbatide.schemas import ENRICHED_COMMENT, LABELLED_SENTENCE, RAW_COMMENT
+from verbatide.storage import cut_lineage
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -78,20 +78,37 @@ def decodable_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def _numbered_lines(lines: DataFrame) -> DataFrame:
+    """Lines (text, _file, _block) as they were read, numbered from 0 as ``_index``."""
+    # Stored: partitions and the places in them must not change between the two uses below.
+    placed = cut_lineage(lines).withColumn("_place", F.monotonically_increasing_id())
+    # One row per block, which lies in one partition as a whole: a window in one task is fine.
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        placed.groupBy("_file", "_block")
+        .agg(F.count("*").alias("_rows"), F.min("_place").alias("_first"))
+        .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first"))
+        .select("_file", "_block", "_offset")
+    )
+    return placed.join(F.broadcast(blocks), ["_file", "_block"]).select(
+        "text", (F.col("_place") + F.col("_offset")).alias("_index")
+    )
+
+
 def scan_bare_texts(spark: SparkSession, path: str, run_ts=None, **defaults) -> DataFrame:
     """Lines of ``{"text": ...}`` in the enriched schema, ids ``comment_0``, ...
 
     The number is the line's place among the kept lines, files in name order.
     Within one block of a file, Spark numbers rows in the order of the lines;
-    so (file, block, number) restores the order of the whole input.
+    so each line's place in its block is shifted by the lines of all earlier blocks, and
+    no line is sorted.
     """
     lines = _load(path, spark.read.text).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
     )
-    numbered = with_row_index(decodable_lines(lines), ["_file", "_block", "_line"], "_index")
+    numbered = _numbered_lines(decodable_lines(lines))
     return numbered.select(
         F.concat(F.lit("comment_"), F.col("_index")).alias("id"), "text"
     ).transform(default_columns, run_ts=run_ts, **defaults)
