@@ -13,7 +13,7 @@ from verbatide.sinks import envelope as N
 from verbatide.sinks import tables as K
 from verbatide.sources import files as S
 from verbatide.sources import threads as H
-from verbatide.storage import scratch_path
+from verbatide.storage import cut_lineage, scratch_path
 from verbatide.streaming.sentiment import log_batches, logged_batches, stream_sentiment
 from workload import fixtures as X
 from workload import reports_sql as sql
@@ -386,8 +386,9 @@ def k6(spark, sf_dir):
 )
 def k7(spark, sf_dir):
     path = scratch_path(spark, "records")
-    df = X.rule_scored(spark, sf_dir).select(
-        "id", "sentiment_label", "confidence_score", "word_count"
+    # Stored: three files are made of it.
+    df = cut_lineage(
+        X.rule_scored(spark, sf_dir).select("id", "sentiment_label", "confidence_score", "word_count")
     )
     summary = df.groupBy("sentiment_label").agg(F.count("*").alias("word_count"))
     K.save_records(df, summary, path)
