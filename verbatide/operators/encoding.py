@@ -14,6 +14,9 @@ FIRST_WORD_ID = 4
 # A word (letters and digits) or one sign.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
 
+# Ids are ints, so place and id of a token share a long.
+_ID_BITS = 32
+
 # The vocabulary's head is broadcast. These two bounds make its size certain:
 # at most 50,000 keys of at most 65 characters.
 HEAD_TOKENS = 50_000
@@ -84,11 +87,10 @@ def encode_tokens(
     every = every.filter("_settled").select(key, "_pos", "token", "token_id").unionByName(rare)
     every = every.withColumn("token_id", F.coalesce("token_id", F.lit(UNKNOWN)))
 
-    # At most maxlen - 2 entries per key.
-    in_order = F.sort_array(
-        F.collect_list(F.when(F.col("token").isNotNull(), F.struct("_pos", "token_id")))
-    )
-    body = F.transform(in_order, lambda entry: entry["token_id"].cast("int"))
+    # At most maxlen - 2 entries per key, each one long: the place above, the id below.
+    entry = F.shiftleft(F.col("_pos").cast("long"), _ID_BITS).bitwiseOR(F.col("token_id").cast("long"))
+    in_order = F.sort_array(F.collect_list(F.when(F.col("token").isNotNull(), entry)))
+    body = F.transform(in_order, lambda e: e.bitwiseAND((1 << _ID_BITS) - 1).cast("int"))
     unpadded = F.concat(F.array(F.lit(CLASSIFY)), F.col("_body"), F.array(F.lit(SEPARATOR)))
     return (
         every.groupBy(key)
