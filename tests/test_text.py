@@ -5,7 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan
 from verbatide.functions import text as T
+from verbatide.operators import encoding as E
 from verbatide.operators import ingest as I
 from verbatide.operators import preprocess as P
 
@@ -52,6 +54,17 @@ def test_clean(spark):
     assert cleaned[0].text_cleaned == "Hi its "
 
 
+def test_characters_are_looked_up_before_the_class_is_tried(spark):
+    """What the table lets by is just what the class drops, and both are in the plan."""
+    texts = [f"a{chr(i)}z" for i in range(1, 1500)] + ["\u3000\u200b\U0001F600 k", None]
+    assert column_of(spark, texts, T.only_alphanumeric) == [
+        t and re.sub(r"\s+", " ", re.sub(r"[^a-zA-Z0-9\s]", "", t, flags=re.ASCII), flags=re.ASCII)
+        for t in texts
+    ]
+    rows = spark.createDataFrame([("a",)], "text string").select(T.only_alphanumeric("text"))
+    assert "(?=[^abcdefghij" in plan(rows)
+
+
 def test_space_separated_count(spark):
     texts = ["Hi its ", "", " ", "a b", None]
     counts = column_of(spark, texts, T.space_separated_count)
@@ -117,3 +130,14 @@ def test_default_columns_fill_only_gaps(spark):
     first, second = rows.transform(I.default_columns, run_ts="2024-01-01").orderBy("id").collect()
     assert (first.text, first.score, first.author, first.word_count) == ("", 5, "unknown", 0)
     assert (second.score, second.is_question, second.sentiment_label) == (1, True, None)
+
+
+def test_places_and_ids_travel_as_one_number(spark):
+    """Gathered by key, a token is a long, not a row of its own; order and ids stay."""
+    rows = spark.createDataFrame([(1, "b a b c"), (2, None), (3, "zz b")], "id int, text string")
+    known = spark.createDataFrame([("b", 4), ("a", 5), ("c", 50_010)], "token string, token_id int")
+    encoded = E.encode_tokens(rows, known, 6)
+    assert "_pos, _pos" not in plan(encoded) and "named_struct" not in plan(encoded)
+    assert {r.id: r.input_ids for r in encoded.collect()} == {
+        1: [2, 4, 5, 4, 50_010, 3], 2: [2, 3, 0, 0, 0, 0], 3: [2, 1, 4, 3, 0, 0],
+    }
