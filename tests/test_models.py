@@ -4,10 +4,13 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tests.conftest import plan
 from verbatide.operators import classifier as C
 from verbatide.operators import clustering as L
 from verbatide.operators import evaluation as V
 from workload import fixtures as X
+from workload import model_queries  # noqa: F401
+from workload.registry import QUERIES
 
 
 def test_clusters(spark, small):
@@ -29,6 +32,11 @@ def test_clusters_need_two_features(spark):
         L.cluster_sentiment_features(spark.createDataFrame([(0.5,)], "confidence double"))
 
 
+@pytest.mark.parametrize("name", ["m1_scaled_features", "m1_cluster_sentiment_features"])
+def test_rows_are_scored_once(spark, small, name):
+    assert "fantastic" not in plan(QUERIES[name](spark, small))
+
+
 def test_classifier_learns_and_survives_storage(spark, tmp_path):
     words = {1: "good great lovely", 0: "bad awful broken"}
     rows = [(i, f"{words[i % 2]} filler{i % 7} text", i % 2) for i in range(200)]

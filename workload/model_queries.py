@@ -29,7 +29,7 @@ from workload.storage_queries import LABELLED
     ),
 )
 def m1_scaled(spark, sf_dir):
-    df = X.scored(spark, sf_dir).select("id", *L.FEATURES)
+    df = cut_lineage(X.scored(spark, sf_dir).select("id", *L.FEATURES))
     deviations = L.feature_deviations(df, L.FEATURES).first().asDict()
     return L.scale_features(df, L.FEATURES, deviations).select(
         "id",
@@ -73,11 +73,12 @@ def nearest_violations(fitted):
 def m1(spark, sf_dir):
     """Every row is in the cluster of its nearest centre, and distances within clusters add
     up to less than half of those from the mean of all."""
-    fitted = L.fit_clusters(X.scored(spark, sf_dir), CLUSTERS)
+    rows = cut_lineage(X.scored(spark, sf_dir).select("id", "sentiment", *L.FEATURES))
+    fitted = L.fit_clusters(rows, CLUSTERS)
     varying = sum(1 for value in fitted.deviations.values() if value)
     # Scaled columns have a sample variance of one.
     whole = F.lit(varying) * (F.count("*") - 1)
-    return fitted.assign(X.scored(spark, sf_dir)).agg(
+    return fitted.assign(rows).agg(
         F.count("*").alias("rows"),
         F.count_distinct("id").alias("ids"),
         nearest_violations(fitted).alias("violations"),
