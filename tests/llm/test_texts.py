@@ -1,15 +1,19 @@
 """Tiling, language ID, token counts, mixing (op1, op8, op6, op4), and the pipeline."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from verbatide.llm import decontaminate as D
 from verbatide.llm import langid_cnn as L
 from verbatide.llm import mixing as M
 from verbatide.llm import token_counts as T
+from verbatide.llm.decontaminate import token_parts
 from verbatide.llm.queries import MIX_WEIGHTS, label_domains
+from verbatide.llm.windows import parts_of
 
 
 def plain_tiles(doc, item, least):
@@ -225,3 +229,22 @@ def test_rates_go_on_until_targets_are_met(spark, caplog):
     two = df.selectExpr("n_tokens", "array(0.25, 0.75, 0.0) posterior")
     M.fit_rates(two, [100.0, 300.0, 50.0])
     assert "targets [100.0, 300.0, 50.0]" in caplog.text
+
+
+def test_symbols_of_a_large_batch_take_bounded_memory():
+    # The symbols of a whole batch's texts used to be held at once.
+    texts = [None, "", "ein Wort"] + [f"w{i} " * 4000 for i in range(1000)] + ["long " * 300_000, "end"]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    ids, counts = [], []
+    for part, symbols, at in token_parts(batch):
+        ids += part.column("doc_id").to_pylist()
+        counts += np.diff(at).tolist()
+        assert len(symbols) == at[-1] and (part.num_rows == 1 or part.column("text").nbytes < 2 << 20)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids == list(range(len(texts)))
+    assert counts == [0, 0, 2] + [4000] * 1000 + [300_000, 1]
+    assert most < 100e6
+    assert [p.num_rows for p in parts_of(batch.slice(1, 0))] == []
+    assert [p.num_rows for p in parts_of(batch.slice(1002, 2))] == [1, 1]

@@ -15,13 +15,14 @@ tiles cover a given share of the item, in whatever order they stand.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.windows import Names, words_of
+from verbatide.llm.windows import Names, parts_of, words_of
 from verbatide.storage import cut_lineage
 
 BLOOM_BITS = 1 << 26
@@ -49,6 +50,13 @@ def token_symbols(column: pa.Array):
     return symbols, at
 
 
+def token_parts(batch: pa.RecordBatch, column: str = "text"):
+    """(rows, symbols, where each text starts) of a batch, part by part: the symbols of
+    a text take many times its bytes, so that no whole batch's are held at once."""
+    for part in parts_of(batch, column):
+        yield part, *token_symbols(part.column(column))
+
+
 def _probes(seeds: np.ndarray):
     for k in range(_HASHES):
         yield (seeds >> np.uint64(20 * k)) % np.uint64(BLOOM_BITS)
@@ -149,14 +157,13 @@ def contaminated(
     """
 
     def seeds(batches):
-        for batch in batches:
-            symbols, at = token_symbols(batch.column(1))
-            for i in range(batch.num_rows):
+        for part, symbols, at in chain.from_iterable(map(token_parts, batches)):
+            for i in range(part.num_rows):
                 own = symbols[at[i] : at[i + 1]]
                 names = Names(own).grams(least) if len(own) >= least else own[:0]
                 yield pa.record_batch(
                     [
-                        batch.column(0)[i : i + 1],
+                        part.column(0)[i : i + 1],
                         _lists([own], pa.int64()),
                         _lists([np.unique(names)], pa.int64()),
                     ],
@@ -177,12 +184,10 @@ def contaminated(
     shared = spark.sparkContext.broadcast(bloom)
 
     def stretches(batches):
-        for batch in batches:
-            bits = shared.value
-            # As many texts as make up a part of bounded size, and one at least.
-            symbols, at = token_symbols(batch.column(1))
-            ids, rows = batch.column(0), ([], [], [])
-            for i in range(batch.num_rows):
+        bits = shared.value
+        for part, symbols, at in chain.from_iterable(map(token_parts, batches)):
+            ids, rows = part.column(0), ([], [], [])
+            for i in range(part.num_rows):
                 own = symbols[at[i] : at[i + 1]]
                 if len(own) < least:
                     continue

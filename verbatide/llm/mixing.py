@@ -16,13 +16,14 @@ correlated domains do not slow the rounds down.
 from __future__ import annotations
 
 import logging
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.decontaminate import token_symbols
+from verbatide.llm.decontaminate import token_parts
 from verbatide.llm.sampling import first_of_groups
 from verbatide.storage import cut_lineage
 
@@ -93,13 +94,12 @@ def train_classifier(docs: DataFrame, labels: DataFrame, domains) -> Classifier:
     few = spark.createDataFrame(picked, "doc_id long, domain string")
 
     def read(batches):
-        for batch in batches:
-            symbols, at = token_symbols(batch.column("text"))
+        for part, symbols, at in chain.from_iterable(map(token_parts, batches)):
             rows = [_features(symbols[a:b]) for a, b in zip(at[:-1], at[1:])]
             yield pa.record_batch(
                 [
-                    batch.column("doc_id"),
-                    batch.column("domain"),
+                    part.column("doc_id"),
+                    part.column("domain"),
                     pa.array([r[0].tolist() for r in rows], pa.list_(pa.int64())),
                     pa.array([r[1].tolist() for r in rows], pa.list_(pa.float64())),
                 ],
@@ -129,16 +129,15 @@ def domain_posteriors(docs: DataFrame, classifier: Classifier) -> DataFrame:
     without words has the posterior that the bias gives. ``place`` tells rows apart."""
 
     def read(batches):
-        for batch in batches:
-            symbols, at = token_symbols(batch.column("text"))
+        for part, symbols, at in chain.from_iterable(map(token_parts, batches)):
             rows = [
                 classifier.posterior(*_features(symbols[a:b])).tolist()
                 for a, b in zip(at[:-1], at[1:])
             ]
             yield pa.record_batch(
                 [
-                    batch.column("place"),
-                    batch.column("doc_id"),
+                    part.column("place"),
+                    part.column("doc_id"),
                     pa.array(np.diff(at)),
                     pa.array(rows, pa.list_(pa.float64())),
                 ],

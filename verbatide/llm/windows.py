@@ -15,6 +15,7 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 PIECE = 1 << 18
 LONG_WORD = 256
+# Bytes of texts that are worked on at once.
+TEXTS = 1 << 20
 _powers: dict = {}
 
 
@@ -136,6 +139,18 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def parts_of(batch: pa.RecordBatch, column: str = "text", most: int = TEXTS):
+    """The rows of a batch, in slices: as many as have texts of ``most`` bytes, and one
+    at least."""
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy()
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < batch.num_rows:
+        before = ends[at] - sizes[at]
+        end = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _word_names(padded: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of each word: its length, then eight bytes after another, are mixed in.
 
