@@ -45,3 +45,25 @@ def test_totals_as_a_table(documents, spark):
     assert sum(r for _, r in table.values()) == pytest.approx(whole, rel=1e-3)
     empty = domain_totals(mixed.limit(0), weights).collect()
     assert [(r.domain, r.target, r.reached) for r in empty] == [("a", 0.0, 0.0), ("b", 0.0, 0.0)]
+
+
+def test_rounds_read_packed_rows(spark):
+    # Each round used to read every row of the table anew.
+    draw = np.random.default_rng(4)
+    posteriors = draw.dirichlet([0.9, 0.3, 0.15], 300)
+    rows = [(int(n), p.tolist()) for n, p in zip(draw.integers(0, 300, 300), posteriors)]
+    wanted = np.array([0.97, 0.02, 0.01]) * sum(r[0] for r in rows)
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "n_tokens long, posterior array<double>"
+    df = spark.createDataFrame(rows, schema).repartition(3).mapInArrow(count, schema)
+    found = fit_rates(df, wanted.tolist()).collect()
+    totals = sum(r.n_tokens * r.rate * np.array(r.posterior) for r in found)
+    assert np.abs(totals - wanted).max() <= 1e-6 * wanted.sum()
+    # The whole, the packing and the result.
+    assert read.value == 3 * len(rows)

@@ -36,6 +36,9 @@ STEPS, BATCH, RATE, DECAY, SEED = 1000, 64, 0.05, 1e-5, 11
 TOLERANCE, MOST_ROUNDS = 1e-6, 60
 # Lengths of step that a round tries.
 LENGTHS = tuple(4.0**i for i in range(-3, 9))
+# Rows that a task of a round reads, where there are more than tasks that run at once; and
+# the numbers that it holds for as many rows as it works on at once.
+TASK_ROWS, CELLS = 1 << 18, 1 << 18
 
 
 def _features(symbols: np.ndarray):
@@ -171,6 +174,35 @@ def _blocks(batch, k):
     )
 
 
+def _packed(members: DataFrame, k: int, number: int) -> DataFrame:
+    """(tokens, posteriors): the numbers of many rows in one, as doubles, stored, and read
+    by as many tasks as ``number`` rows need."""
+
+    def pack(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tokens, posterior = _blocks(batch, k)
+            yield pa.record_batch(
+                [pa.array([x.tobytes()], pa.binary()) for x in (tokens, posterior)],
+                names=["tokens", "posteriors"],
+            )
+
+    rows = members.select("n_tokens", "posterior").mapInArrow(pack, "tokens binary, posteriors binary")
+    tasks = max(members.sparkSession.sparkContext.defaultParallelism, -(-number // TASK_ROWS))
+    return cut_lineage(rows).coalesce(tasks)
+
+
+def _unpacked(batches, k, most):
+    """(tokens, posteriors) of up to ``most`` rows at a time."""
+    for batch in batches:
+        for tokens, posterior in zip(batch.column("tokens"), batch.column("posteriors")):
+            tokens = np.frombuffer(tokens.as_buffer(), float)
+            posterior = np.frombuffer(posterior.as_buffer(), float).reshape(-1, k)
+            for at in range(0, len(tokens), most):
+                yield tokens[at : at + most], posterior[at : at + most]
+
+
 def fit_rates(members: DataFrame, targets: list[float]) -> DataFrame:
     """``members`` (n_tokens, posterior, ...) with the column ``rate``.
 
@@ -182,9 +214,10 @@ def fit_rates(members: DataFrame, targets: list[float]) -> DataFrame:
     vector of the domains: as it is, or scaled by the moments of all rows or of those
     whose rate is above zero. One pass adds up totals and moments for several lengths of
     each, and the best is taken; rows replay the steps so far, so no state is stored
-    between rounds. Among the steps is one that is short enough to bring a gain wherever
-    there is one, so a round that brings next to none ends the fit at the optimum; as a
-    last resort MOST_ROUNDS does. What was reached is logged, as a warning if it differs.
+    between rounds, which read the rows' numbers from a packed copy. Among the steps is
+    one that is short enough to bring a gain wherever there is one, so a round that
+    brings next to none ends the fit at the optimum; as a last resort MOST_ROUNDS does.
+    What was reached is logged, as a warning if it differs.
     A table without tokens, or without rows, has rate 0 for all rows.
     """
     k = len(targets)
@@ -193,35 +226,31 @@ def fit_rates(members: DataFrame, targets: list[float]) -> DataFrame:
 
     def survey(start, steps, trials):
         """(totals, moments of rows above zero, moments of all) after each trial step."""
-        rates, width = _replayed(start, steps), k + k * k
+        rates, width, tried = _replayed(start, steps), k + k * k, np.array(trials).T
 
         def add_up(batches):
-            sums, both = np.zeros((len(trials), width)), np.zeros((k, k))
-            for batch in batches:
-                tokens, posterior = _blocks(batch, k)
+            sums, both = np.zeros((len(trials), width)), np.zeros(k * k)
+            for tokens, posterior in _unpacked(batches, k, max(1, CELLS // (k * k + len(trials)))):
                 weighted = posterior * tokens[:, None]
-                both += weighted.T @ posterior
-                now = rates(posterior)
-                for own, trial in zip(sums, trials):
-                    rate = np.maximum(now - posterior @ trial, 0.0)
-                    above = rate > 0
-                    own[:k] += rate @ weighted
-                    own[k:] += (weighted[above].T @ posterior[above]).ravel()
-            flat = np.append(sums.ravel(), both.ravel()).tolist()
+                moments = (weighted[:, :, None] * posterior[:, None, :]).reshape(-1, k * k)
+                both += moments.sum(axis=0)
+                # A row for each row here, a column for each trial.
+                rate = np.maximum(rates(posterior)[:, None] - posterior @ tried, 0.0)
+                sums[:, :k] += rate.T @ weighted
+                sums[:, k:] += (rate > 0).T.astype(float) @ moments
+            flat = np.append(sums.ravel(), both).tolist()
             yield pa.record_batch([pa.array([flat], pa.list_(pa.float64()))], names=["sums"])
 
-        parts = members.select("n_tokens", "posterior").mapInArrow(add_up, "sums array<double>")
-        # Few rows: one for each task, of a size that the domains alone fix.
-        listed = parts.select(F.posexplode("sums").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
-        found = np.zeros(len(trials) * width + k * k)
-        for row in listed.collect():
-            found[row.i] = row.x
+        # One row for each task, of a size that the domains alone fix.
+        parts = packed.mapInArrow(add_up, "sums array<double>").toArrow().column(0).combine_chunks()
+        found = parts.flatten().to_numpy().reshape(-1, len(trials) * width + k * k).sum(axis=0)
         shaped = found[: -k * k].reshape(len(trials), width)
         return shaped[:, :k], shaped[:, k:].reshape(-1, k, k), found[-k * k :].reshape(k, k)
 
-    whole = members.agg(F.sum(F.col("n_tokens").cast("double"))).first()[0] or 0.0
+    whole, number = members.agg(F.sum(F.col("n_tokens").cast("double")), F.count("*")).first()
     if not whole:
         return members.withColumn("rate", F.lit(0.0))
+    packed = _packed(members, k, number)
     start, steps, rounds = wanted.sum() / whole, [], 0
     allowed = TOLERANCE * wanted.sum()
     (reached,), (active,), moments = survey(start, steps, [np.zeros(k)])
